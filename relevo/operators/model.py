@@ -41,33 +41,40 @@ class TuningSpec:
     reg_params: Sequence[float] = GRID_REG_PARAM
     num_folds: int = NUM_FOLDS
     seed: int = CV_SEED
-    parallelism: int = 4
+    parallelism: int = 8
     feature_col: str = "filtered"
     classifiers: Sequence[str] = field(default_factory=lambda: ("logistic",))
 
 
-def _classifier(kind: str):
+def _classifier(kind: str, prefix: str = ""):
+    cols = dict(
+        featuresCol=f"{prefix}features",
+        predictionCol=f"{prefix}prediction",
+        probabilityCol=f"{prefix}probability",
+        rawPredictionCol=f"{prefix}rawPrediction",
+    )
     if kind == "logistic":
-        return LogisticRegression(maxIter=MAX_ITER, regParam=REG_PARAM, elasticNetParam=ELASTIC_NET_PARAM)
+        return LogisticRegression(maxIter=MAX_ITER, regParam=REG_PARAM, elasticNetParam=ELASTIC_NET_PARAM, **cols)
     if kind == "naive_bayes":
-        return NaiveBayes(modelType="multinomial")
+        return NaiveBayes(modelType="multinomial", **cols)
     raise ValueError(f"unknown classifier {kind!r}")
 
 
-def relevance_cv(spec: TuningSpec, kind: str = "logistic") -> CrossValidator:
-    """Cross-validated ``HashingTF -> IDF -> classifier`` pipeline."""
-    htf = HashingTF(inputCol=spec.feature_col, outputCol="tf_features")
-    idf = IDF(inputCol="tf_features", outputCol="features")
-    clf = _classifier(kind)
+def relevance_cv(spec: TuningSpec, kind: str = "logistic", prefix: str = "") -> CrossValidator:
+    """Cross-validated ``HashingTF -> IDF -> classifier`` pipeline.
+
+    ``prefix`` renames every output column so that models of several kinds
+    can be applied one after another to the same rows (map-only)."""
+    htf = HashingTF(inputCol=spec.feature_col, outputCol=f"{prefix}tf_features")
+    idf = IDF(inputCol=f"{prefix}tf_features", outputCol=f"{prefix}features")
+    clf = _classifier(kind, prefix)
     grid = ParamGridBuilder().addGrid(htf.numFeatures, list(spec.num_features))
     if kind == "logistic":
         grid = grid.addGrid(clf.regParam, list(spec.reg_params))
-    else:
-        grid = grid.addGrid(clf.smoothing, [1.0])
     return CrossValidator(
         estimator=Pipeline(stages=[htf, idf, clf]),
         estimatorParamMaps=grid.build(),
-        evaluator=BinaryClassificationEvaluator(),
+        evaluator=BinaryClassificationEvaluator(rawPredictionCol=f"{prefix}rawPrediction"),
         numFolds=spec.num_folds,
         seed=spec.seed,
         parallelism=spec.parallelism,
@@ -83,7 +90,7 @@ class CollectionModel:
     all_auc: dict[str, float]
 
 
-def fit_collection(training: DataFrame, spec: TuningSpec) -> CollectionModel | None:
+def fit_collection(training: DataFrame, spec: TuningSpec, prefix: str = "") -> CollectionModel | None:
     """Tune each classifier kind on one collection's training rows and keep
     the best by mean cross-validated AUC.  ``None`` when the rows hold only
     one class (nothing to learn)."""
@@ -94,52 +101,124 @@ def fit_collection(training: DataFrame, spec: TuningSpec) -> CollectionModel | N
     best: CollectionModel | None = None
     aucs: dict[str, float] = {}
     for kind in spec.classifiers:
-        cv_model = relevance_cv(spec, kind).fit(training)
-        auc = max(cv_model.avgMetrics)
+        cv_model = relevance_cv(spec, kind, prefix).fit(training)
+        auc = float(max(cv_model.avgMetrics))
         aucs[kind] = auc
         if best is None or auc > best.cv_auc:
             best = CollectionModel(cid, kind, cv_model.bestModel, auc, aucs)
     return best
 
 
-def train_collections(training: DataFrame, spec: TuningSpec | None = None, concurrency: int = 4) -> dict[str, CollectionModel]:
+# Rows per partition of a collection's training set during tuning: a small
+# collection is coalesced to one partition (fewer tasks per job), a large
+# one keeps one partition per this many rows.
+TRAINING_ROWS_PER_PARTITION = 200_000
+
+
+def default_concurrency(spark) -> tuple[int, int]:
+    """(collections trained at once, fits per cross-validation at once)."""
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    return max(1, cores // 2), max(1, min(8, cores))
+
+
+def train_collections(
+    training: DataFrame,
+    spec: TuningSpec | None = None,
+    concurrency: int | None = None,
+    prefix: str = "",
+) -> dict[str, CollectionModel]:
     """One tuned model per collection of ``training`` (materialised and
-    partitioned by ``collection_id`` so each fit reads only its files)."""
-    spec = spec or TuningSpec()
-    ids = sorted(r[0] for r in training.select("collection_id").distinct().collect())
+    partitioned by ``collection_id`` so each fit reads only its files).
+
+    Only the per-collection row counts (one small aggregate) come to the
+    driver; they size each collection's partitions before tuning."""
+    spark = training.sparkSession
+    conc, par = default_concurrency(spark)
+    spec = spec or TuningSpec(parallelism=par)
+    sizes = {r[0]: r[1] for r in training.groupBy("collection_id").count().collect()}
 
     def run(cid: str):
-        part = training.filter(F.col("collection_id") == cid).persist(StorageLevel.MEMORY_AND_DISK)
+        part = training.filter(F.col("collection_id") == cid)
+        want = max(1, -(-sizes[cid] // TRAINING_ROWS_PER_PARTITION))
+        if want < part.rdd.getNumPartitions():
+            part = part.coalesce(want)
+        part = part.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return cid, fit_collection(part, spec)
+            return cid, fit_collection(part, spec, prefix)
         finally:
             part.unpersist()
 
-    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
-        results = list(pool.map(run, ids))
+    with ThreadPoolExecutor(max_workers=max(1, concurrency or conc)) as pool:
+        results = list(pool.map(run, sorted(sizes)))
     return {cid: m for cid, m in results if m is not None}
 
 
-def score(models: dict[str, CollectionModel], testing: DataFrame) -> DataFrame:
-    """``id, collection_id, prediction, probability_relevant`` for every text
-    of every trained collection (map-only: each model is applied to its
-    collection's rows)."""
+def apply_models(
+    models: dict[str, CollectionModel],
+    rows: DataFrame,
+    prefix: str = "",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Apply each collection's model to that collection's rows (map-only) and
+    union: ``id, collection_id, *keep, <prefix>prediction,
+    <prefix>probability_relevant``."""
     parts = [
-        m.model.transform(testing.filter(F.col("collection_id") == cid)).select(
+        m.model.transform(rows.filter(F.col("collection_id") == cid)).select(
             "id",
             "collection_id",
-            "prediction",
-            class_probability("probability").alias("probability_relevant"),
+            *keep,
+            F.col(f"{prefix}prediction").alias(f"{prefix}prediction"),
+            class_probability(f"{prefix}probability").alias(f"{prefix}probability_relevant"),
         )
         for cid, m in sorted(models.items())
     ]
     if not parts:
-        return testing.sparkSession.createDataFrame(
-            [], "id string, collection_id string, prediction double, probability_relevant double"
+        extra = "".join(f", {k} string" for k in keep)
+        return rows.sparkSession.createDataFrame(
+            [], f"id string, collection_id string{extra}, {prefix}prediction double, {prefix}probability_relevant double"
         )
     return reduce(DataFrame.unionByName, parts)
 
 
+def score(models: dict[str, CollectionModel], testing: DataFrame) -> DataFrame:
+    """``id, collection_id, prediction, probability_relevant`` for every text
+    of every trained collection."""
+    return apply_models(models, testing)
+
+
+def ensemble(
+    first: dict[str, CollectionModel],
+    second: dict[str, CollectionModel],
+    testing: DataFrame,
+    second_prefix: str = "nb_",
+) -> DataFrame:
+    """Average the relevance probabilities of two model sets (the second
+    trained with ``second_prefix`` columns).  Both models run one after the
+    other on the same rows, so no join is needed."""
+    parts = []
+    for cid in sorted(set(first) & set(second)):
+        rows = testing.filter(F.col("collection_id") == cid)
+        a = first[cid].model.transform(rows)
+        b = second[cid].model.transform(a)
+        parts.append(
+            b.select(
+                "id",
+                "collection_id",
+                class_probability("probability").alias("p_first"),
+                class_probability(f"{second_prefix}probability").alias("p_second"),
+            )
+        )
+    if not parts:
+        return testing.sparkSession.createDataFrame(
+            [], "id string, collection_id string, p_first double, p_second double, probability_relevant double, prediction double"
+        )
+    out = reduce(DataFrame.unionByName, parts)
+    avg = (F.col("p_first") + F.col("p_second")) / 2.0
+    return out.withColumn("probability_relevant", avg).withColumn(
+        "prediction", F.when(avg > 0.5, 1.0).otherwise(0.0)
+    )
+
+
 def model_summary(models: dict[str, CollectionModel]) -> list[tuple]:
     """Small per-collection table of the chosen models (for reports)."""
     rows = []

@@ -10,6 +10,31 @@ from pyspark.sql import functions as F
 
 # Fixed value: minimum support of the mining phase.
 MIN_SUPPORT = 0.02
+# With a minimum count of 1 every subset of every transaction is frequent; a
+# transaction of k items alone then yields 2^k - 1 sets.  Above this many
+# items the run is refused up front instead of exhausting memory.
+MAX_ITEMS_AT_COUNT_ONE = 24
+
+
+class ItemsetExplosion(ValueError):
+    """The requested support makes the result provably exponential."""
+
+
+def _check_output_bound(transactions: DataFrame, min_support: float, items_col: str, by: str) -> None:
+    """Exact lower bound on the output: per collection, if ``ceil(s * n) <= 1``
+    then the largest transaction's power set is part of the result."""
+    per = transactions.groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size(items_col)).alias("k")
+    )
+    bad = per.filter(
+        (F.ceil(F.lit(min_support) * F.col("n")) <= 1) & (F.col("k") > MAX_ITEMS_AT_COUNT_ONE)
+    ).limit(1).collect()
+    if bad:
+        r = bad[0]
+        raise ItemsetExplosion(
+            f"collection {r[by]!r}: min support {min_support} of {r['n']} texts is a count of 1, "
+            f"so a {r['k']}-item text alone gives 2^{r['k']} - 1 frequent sets; raise min_support"
+        )
 
 
 def frequent_itemsets(
@@ -27,6 +52,7 @@ def frequent_itemsets(
     to the driver.  ``transactions`` should be materialised partitioned by
     collection so that each run reads only its own files.
     """
+    _check_output_bound(transactions, min_support, items_col, by)
     ids = sorted(r[0] for r in transactions.select(by).distinct().collect())
     parts = []
     for cid in ids:

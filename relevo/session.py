@@ -26,12 +26,12 @@ SESSION_DEFAULTS = {
 }
 
 
-def get_session(master: str | None = None, app_name: str = "relevo", **conf: str) -> SparkSession:
+def get_session(master: str | None = None, app_name: str = "relevo", conf: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_DEFAULTS, **conf}.items():
-        builder = builder.config(key.replace("__", "."), value)
+    for key, value in {**SESSION_DEFAULTS, **(conf or {})}.items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
