@@ -20,6 +20,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -62,6 +63,11 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/{name}-{uuid.uuid4().hex}"
+    if partition_by:
+        # REBALANCE: AQE groups each partition value into few output files and
+        # splits a hot value (say a third of all rows) into advisory-size
+        # pieces, instead of one file per (input task, value).
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

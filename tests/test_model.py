@@ -84,3 +84,17 @@ def test_ensemble_averages_two_model_sets(spark, trained):
     e = ensemble(models, nb, train.select("id", "collection_id", "filtered")).collect()
     assert len(e) == 60
     assert all(abs(r.probability_relevant - (r.p_first + r.p_second) / 2) < 1e-12 for r in e)
+
+
+def test_save_and_load_model(spark, trained, tmp_path):
+    from relevo.operators.model import CollectionModel
+    from relevo.sources.sinks import load_model, save_model
+
+    train, models = trained
+    path = str(tmp_path / "model_a")
+    save_model(models["a"].model, path)
+    back = {"a": CollectionModel("a", "logistic", load_model(path), models["a"].cv_auc, {})}
+    rows = train.filter(F.col("collection_id") == "a")
+    x = {r.id: r.probability_relevant for r in score({"a": models["a"]}, rows).collect()}
+    y = {r.id: r.probability_relevant for r in score(back, rows).collect()}
+    assert x == y
