@@ -73,3 +73,17 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split input over the cluster before CPU-heavy row work.
+
+    A scan gives one task per file split; a table stored as one large row
+    group (or an unsplittable file) would run all cleaning in one task.  When
+    the scan has fewer partitions than the session's parallelism the rows are
+    redistributed round-robin; a well-split input is returned unchanged (no
+    shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 from relevo.functions.formats import TEXT_FAMILY, parse_cell
 from relevo.functions.text import KEY_SEPARATOR, clean_text, collection_of
 from relevo.operators.joins import attach_small
+from relevo.session import spread
 
 
 def load_cells(df: DataFrame, key_col: str = "row_key", cells_col: str = "cells") -> DataFrame:
     """Normalise any ``(key, joined cells)`` source to ``row_key, cells``.
 
     The store connector is the caller's ``spark.read.format(...)``; this only
-    fixes the column names.
+    fixes the column names (and spreads an under-split input).
     """
-    return df.select(F.col(key_col).cast("string").alias("row_key"), F.col(cells_col).alias("cells"))
+    return spread(df).select(F.col(key_col).cast("string").alias("row_key"), F.col(cells_col).alias("cells"))
 
 
 def explode_cells(cells: DataFrame) -> DataFrame:

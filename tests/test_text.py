@@ -83,3 +83,18 @@ def test_strip_html(spark):
     df = spark.createDataFrame([(html,)], "h string")
     got = df.select(clean_text(strip_html("h"))).first()[0]
     assert got == "Hello world"
+
+
+def test_linear_pattern_equals_fixed_pattern(spark):
+    """Property check on random strings over the characters that matter."""
+    import random
+
+    from relevo.functions.text import CLEAN_PATTERN, CLEAN_PATTERN_LINEAR
+
+    rng = random.Random(11)
+    alphabet = ["a", "B", "7", "_", "@", ":", "/", " ", "\t", "\x0b", "é", "-", "ab", "://", "http", "@x"]
+    rows = [("".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))),) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "t string")
+    a = F.regexp_replace("t", F.lit(CLEAN_PATTERN), F.lit(" "))
+    b = F.regexp_replace("t", F.lit(CLEAN_PATTERN_LINEAR), F.lit(" "))
+    assert df.filter(a != b).count() == 0
