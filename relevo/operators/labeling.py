@@ -92,3 +92,39 @@ def training_set(
 def testing_set(prepared: DataFrame, feature_col: str = "words", by: str = "collection_id") -> DataFrame:
     """Every text with its feature tokens as ``filtered``."""
     return prepared.select("id", by, F.col(feature_col).alias("filtered"))
+
+
+def multiclass_training_set(
+    prepared: DataFrame,
+    feature_col: str = "words",
+    pattern_col: str = "pattern",
+    by: str = "collection_id",
+    seed: int = SAMPLE_SEED,
+) -> DataFrame:
+    """Weak labels for a multi-class collection.
+
+    ``pattern`` holds one word set per class, each as space-joined words.  A
+    text's label is k (1-based) for the first class whose words all occur in
+    its stop-word-free tokens; texts holding none of the classes in any of
+    their tokens are class 0 candidates, sampled with the fraction labelled /
+    all texts of the collection (as in the binary case)."""
+    classes = F.transform(F.col(pattern_col), lambda p: F.split(p, " "))
+    hits = F.transform(classes, lambda c: F.size(F.array_except(c, F.col("filtered"))) == 0)
+    in_words = F.exists(classes, lambda c: F.size(F.array_except(c, F.col("words"))) == 0)
+    flagged = prepared.withColumn("_class", F.array_position(hits, True)).withColumn(
+        "is_candidate", ~in_words
+    )
+    stats = flagged.groupBy(by).agg(
+        F.try_divide(F.count_if(F.col("_class") > 0).cast("double"), F.count(F.lit(1))).alias("_fraction")
+    )
+    joined = attach_small(flagged, stats, on=by)
+    keep_zero = F.col("is_candidate") & (
+        hash_unit("id", seed) < F.coalesce(F.col("_fraction"), F.lit(0.0)) * F.lit(float(HASH_RANGE))
+    )
+    return joined.filter((F.col("_class") > 0) | keep_zero).select(
+        "id",
+        by,
+        "text",
+        F.col(feature_col).alias("filtered"),
+        F.col("_class").cast("double").alias("label"),
+    )

@@ -17,8 +17,9 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import HashingTF, IDF
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +58,10 @@ def _classifier(kind: str, prefix: str = ""):
         return LogisticRegression(maxIter=MAX_ITER, regParam=REG_PARAM, elasticNetParam=ELASTIC_NET_PARAM, **cols)
     if kind == "naive_bayes":
         return NaiveBayes(modelType="multinomial", **cols)
+    if kind == "multinomial":
+        return LogisticRegression(
+            maxIter=MAX_ITER, regParam=REG_PARAM, elasticNetParam=ELASTIC_NET_PARAM, family="multinomial", **cols
+        )
     raise ValueError(f"unknown classifier {kind!r}")
 
 
@@ -69,12 +74,16 @@ def relevance_cv(spec: TuningSpec, kind: str = "logistic", prefix: str = "") ->
     idf = IDF(inputCol=f"{prefix}tf_features", outputCol=f"{prefix}features")
     clf = _classifier(kind, prefix)
     grid = ParamGridBuilder().addGrid(htf.numFeatures, list(spec.num_features))
-    if kind == "logistic":
+    if kind in ("logistic", "multinomial"):
         grid = grid.addGrid(clf.regParam, list(spec.reg_params))
+    if kind == "multinomial":
+        evaluator = MulticlassClassificationEvaluator(predictionCol=f"{prefix}prediction", metricName="f1")
+    else:
+        evaluator = BinaryClassificationEvaluator(rawPredictionCol=f"{prefix}rawPrediction")
     return CrossValidator(
         estimator=Pipeline(stages=[htf, idf, clf]),
         estimatorParamMaps=grid.build(),
-        evaluator=BinaryClassificationEvaluator(rawPredictionCol=f"{prefix}rawPrediction"),
+        evaluator=evaluator,
         numFolds=spec.num_folds,
         seed=spec.seed,
         parallelism=spec.parallelism,
@@ -95,7 +104,8 @@ def fit_collection(training: DataFrame, spec: TuningSpec, prefix: str = "") -> C
     the best by mean cross-validated AUC.  ``None`` when the rows hold only
     one class (nothing to learn)."""
     labels = {r[0] for r in training.select("label").distinct().collect()}
-    if labels != {0.0, 1.0}:
+    multiclass = "multinomial" in spec.classifiers
+    if (len(labels) < 2) if multiclass else (labels != {0.0, 1.0}):
         return None
     cid = training.select("collection_id").first()[0]
     best: CollectionModel | None = None
@@ -186,6 +196,25 @@ def score(models: dict[str, CollectionModel], testing: DataFrame) -> DataFrame:
     return apply_models(models, testing)
 
 
+def apply_multiclass(models: dict[str, CollectionModel], rows: DataFrame) -> DataFrame:
+    """``id, collection_id, prediction`` (class index) and the probability of
+    the predicted class, per trained multi-class collection."""
+    parts = [
+        m.model.transform(rows.filter(F.col("collection_id") == cid)).select(
+            "id",
+            "collection_id",
+            "prediction",
+            F.array_max(vector_to_array("probability")).alias("probability_predicted"),
+        )
+        for cid, m in sorted(models.items())
+    ]
+    if not parts:
+        return rows.sparkSession.createDataFrame(
+            [], "id string, collection_id string, prediction double, probability_predicted double"
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def ensemble(
     first: dict[str, CollectionModel],
     second: dict[str, CollectionModel],

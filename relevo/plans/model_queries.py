@@ -12,11 +12,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relevo.operators.model import TuningSpec, ensemble, train_collections
+from relevo.operators.labeling import multiclass_training_set, testing_set
+from relevo.operators.model import TuningSpec, apply_multiclass, default_concurrency, ensemble, train_collections
 from relevo.operators.report import relevance_share
 from relevo.plans.jobs import Classification, classify, score_histograms
-from relevo.plans.queries import DOCUMENT_PATTERN, cleaned_documents
-from relevo.session import checkpoint_dir
+from relevo.plans.queries import DOCUMENT_PATTERN, cleaned_documents, language_documents
+from relevo.session import checkpoint_dir, materialize
 from relevo.sources.config import config_for_texts
 from relevo.sources.sinks import read_predictions_tsv, score_cells, write_predictions_tsv
 
@@ -104,6 +105,21 @@ def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_document_stream(spark, sf_dir, run)
 
 
+def q_multiclass_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-class collections (documents by language): multinomial logistic
+    regression tuned per collection by cross-validated F1; predicted class
+    and its probability for every text."""
+    prepared = materialize(
+        language_documents(spark, sf_dir).select("id", "collection_id", "text", "words", "filtered", "pattern"),
+        "language_prepared",
+        ["collection_id"],
+    )
+    train = materialize(multiclass_training_set(prepared), "language_training", ["collection_id"])
+    spec = TuningSpec(classifiers=("multinomial",), parallelism=default_concurrency(spark)[1])
+    models = train_collections(train, spec)
+    return apply_multiclass(models, testing_set(prepared))
+
+
 MODEL_QUERIES = {
     "relevance_scores": q_relevance_scores,
     "score_cells": q_score_cells,
@@ -114,4 +130,5 @@ MODEL_QUERIES = {
     "ensemble_scores": q_ensemble_scores,
     "prediction_files": q_prediction_files,
     "stream_scores": q_stream_scores,
+    "multiclass_scores": q_multiclass_scores,
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 from relevo.functions.stopwords import ENGLISH_STOP_WORDS
 from relevo.operators.labeling import HASH_RANGE, SAMPLE_SEED
 from relevo.operators.patterns import MIN_SUPPORT
-from relevo.plans.queries import AUDIT_K, DOCUMENT_PATTERN, SHORTLIST_K
+from relevo.plans.queries import AUDIT_K, DOCUMENT_PATTERN, LANGUAGE_CLASSES, SHORTLIST_K
 
 # Fixed values, RE2 spelling of the patterns in relevo.functions.text.
 _PAT = r"(@[A-Za-z0-9]+)|([^0-9A-Za-z \t])|([0-9A-Za-z_]+://[^ \t\n\x0B\f\r]+)"
@@ -64,13 +64,31 @@ def strip_html(x: str) -> str:
     return f"regexp_replace({inner}, {_lit(_HTML_ENTITY)}, ' ', 'g')"
 
 
-DOCS = f"""
-d AS (SELECT source || '-' || CAST(doc_id AS VARCHAR) AS id, source AS collection_id, text AS raw FROM documents),
+def _docs(group: str) -> str:
+    return f"""
+d AS (SELECT {group} || '-' || CAST(doc_id AS VARCHAR) AS id, {group} AS collection_id, text AS raw FROM documents),
 c AS (SELECT id, collection_id, {clean('raw')} AS text FROM d),
 w AS (SELECT *, {tokenize('text')} AS words FROM c),
 p AS (SELECT *, {no_stop_words('words')} AS filtered FROM w)
 """
 
+
+DOCS = _docs("source")
+
+
+def _multiclass() -> str:
+    classes = ["[" + ", ".join(_lit(w) for w in c.split(" ")) + "]::VARCHAR[]" for c in LANGUAGE_CLASSES]
+    hits = "[" + ", ".join(f"list_has_all(filtered, {c})" for c in classes) + "]"
+    any_words = " OR ".join(f"list_has_all(words, {c})" for c in classes)
+    return f"""WITH {_docs('lang')},
+l AS (SELECT p.*, coalesce(list_position({hits}, true), 0) AS cls, NOT ({any_words}) AS cand,
+             {hash_unit('id')} AS h FROM p),
+g AS (SELECT collection_id, count(*) FILTER (WHERE cls > 0)::DOUBLE / count(*) AS f FROM l GROUP BY collection_id)
+SELECT id, collection_id, cls::DOUBLE AS label, len(words)::BIGINT AS n_features
+FROM l JOIN g USING (collection_id)
+WHERE cls > 0 OR (cand AND h < coalesce(f, 0.0) * {float(HASH_RANGE)})
+"""
+
 LABELS = f"""
 l AS (SELECT p.*, list_has_all(filtered, {_PATTERN}) AS pos, NOT list_has_all(words, {_PATTERN}) AS cand,
              {hash_unit('id')} AS h FROM p),
@@ -209,6 +227,7 @@ FROM events GROUP BY event_type""",
 SELECT collection_id, n_texts, n_positive, n_candidates, round(positive_fraction, 6) AS positive_fraction FROM gf""",
         "training_set": _training("positive_fraction") + "SELECT id, collection_id, label, n_features FROM t",
         "training_set_balanced": _training("balanced_fraction") + "SELECT id, collection_id, label, n_features FROM t",
+        "multiclass_training_set": _multiclass(),
         "testing_set": f"""WITH {DOCS}
 SELECT id, collection_id, len(words)::BIGINT AS n_features, array_to_string(words, ' ') AS features FROM p""",
         "audit_sample": _training("positive_fraction")

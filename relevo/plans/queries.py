@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from relevo.functions.formats import itemset_line, parse_cell
 from relevo.functions.text import clean_text, strip_html
 from relevo.operators.features import term_idf
-from relevo.operators.labeling import label_flags, positive_stats, testing_set, training_set
+from relevo.operators.labeling import (
+    label_flags,
+    multiclass_training_set,
+    positive_stats,
+    testing_set,
+    training_set,
+)
 from relevo.operators.patterns import MIN_SUPPORT, frequent_itemsets, shortlist
 from relevo.operators.preprocess import prepare_texts, transactions
 from relevo.operators.report import audit_sample, histogram
@@ -25,6 +31,9 @@ from relevo.sources.lines import parse_lines
 DOCUMENT_PATTERN = ("ing", "tion")
 SHORTLIST_K = 10
 AUDIT_K = 5
+# Multi-class collections: documents grouped by language, one word set per
+# class (space-joined); class 0 = none of them.
+LANGUAGE_CLASSES = ("ing tion", "les des", "der die")
 
 
 def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +52,20 @@ def configured_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_collections(prepared, config, key_col="id")
 
 
+def language_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared documents keyed ``<lang>-<doc_id>`` (collection = language)
+    with the multi-class config attached."""
+    d = tables.read_table(spark, sf_dir, "documents")
+    texts = d.select(
+        F.concat_ws("-", "lang", F.col("doc_id").cast("string")).alias("id"),
+        F.col("lang").alias("collection_id"),
+        clean_text("text").alias("text"),
+    )
+    prepared = prepare_texts(texts)
+    config = config_for_texts(prepared, LANGUAGE_CLASSES, kind="multiclass")
+    return select_collections(prepared, config, key_col="id")
+
+
 def _joined(col: str) -> F.Column:
     return F.array_join(col, " ")
 
@@ -146,6 +169,11 @@ def q_training_set_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _training(spark, sf_dir, balanced=True)
 
 
+def q_multiclass_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = multiclass_training_set(language_documents(spark, sf_dir))
+    return t.select("id", "collection_id", "label", F.size("filtered").cast("long").alias("n_features"))
+
+
 def q_testing_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = testing_set(prepared_documents(spark, sf_dir))
     return t.select("id", "collection_id", F.size("filtered").cast("long").alias("n_features"), _joined("filtered").alias("features"))
@@ -204,6 +232,7 @@ SQL_CHECKED = {
     "positive_share": q_positive_share,
     "training_set": q_training_set,
     "training_set_balanced": q_training_set_balanced,
+    "multiclass_training_set": q_multiclass_training_set,
     "testing_set": q_testing_set,
     "audit_sample": q_audit_sample,
     "term_idf": q_term_idf,

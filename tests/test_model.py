@@ -98,3 +98,29 @@ def test_save_and_load_model(spark, trained, tmp_path):
     x = {r.id: r.probability_relevant for r in score({"a": models["a"]}, rows).collect()}
     y = {r.id: r.probability_relevant for r in score(back, rows).collect()}
     assert x == y
+
+
+def test_multiclass_labels_and_model(spark):
+    from relevo.operators.labeling import multiclass_training_set
+    from relevo.operators.model import apply_multiclass
+    from relevo.operators.preprocess import prepare_texts
+
+    rows = []
+    for i in range(60):
+        k = i % 3
+        text = ["storm flood river", "music party dance", "nothing else here"][k] + f" word{i % 4}"
+        rows.append((f"m-{i}", "m", text))
+    df = spark.createDataFrame(rows, "id string, collection_id string, text string")
+    classes = F.array(F.lit("storm flood"), F.lit("music party"))
+    prepared = prepare_texts(df).withColumn("pattern", classes)
+    t = multiclass_training_set(prepared)
+    labels = {r.id: r.label for r in t.collect()}
+    assert all(labels[f"m-{i}"] == float(i % 3 + 1) for i in range(60) if i % 3 < 2)
+    assert all(labels.get(f"m-{i}", 0.0) == 0.0 for i in range(60) if i % 3 == 2)
+    spec = TuningSpec(num_features=(64,), reg_params=(0.01,), num_folds=2, classifiers=("multinomial",))
+    models = train_collections(t, spec, concurrency=1)
+    out = apply_multiclass(models, prepared.select("id", "collection_id", F.col("words").alias("filtered"))).collect()
+    assert len(out) == 60
+    assert all(0.0 <= r.probability_predicted <= 1.0 for r in out)
+    acc = sum(1 for r in out if int(r.id.split("-")[1]) % 3 < 2 and r.prediction == int(r.id.split("-")[1]) % 3 + 1)
+    assert acc >= 35
