@@ -46,14 +46,24 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def keep_long_terms(col: Column | str, min_length: int = MIN_TERM_LENGTH) -> Column:
+    """Terms (runs between single blanks) of at least ``min_length``
+    characters, joined by one blank.
+
+    Same result as ``array_join(filter(split(s, ' '), t -> length(t) >= n),
+    ' ')`` but without a lambda, so the projection stays in whole-stage
+    codegen: short runs are deleted, blank runs squeezed, ends trimmed."""
+    short = f"(?<![^ ])[^ ]{{1,{min_length - 1}}}(?![^ ])"
+    no_short = F.regexp_replace(_c(col), F.lit(short), F.lit(""))
+    return F.btrim(F.regexp_replace(no_short, F.lit(" {2,}"), F.lit(" ")), F.lit(" "))
+
+
 def clean_text(col: Column | str) -> Column:
     """Replace mentions, punctuation and URLs by blanks, strip the ends and
     keep only terms of at least ``MIN_TERM_LENGTH`` characters."""
     replaced = F.regexp_replace(_c(col), F.lit(CLEAN_PATTERN_LINEAR), F.lit(" "))
     stripped = F.btrim(replaced, F.lit(CLEAN_STRIP_CHARS))
-    terms = F.split(stripped, " ")
-    kept = F.filter(terms, lambda t: F.length(t) >= MIN_TERM_LENGTH)
-    return F.array_join(kept, " ")
+    return keep_long_terms(stripped)
 
 
 def tokenize(col: Column | str) -> Column:

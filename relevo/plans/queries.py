@@ -45,11 +45,19 @@ def prepared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_texts(cleaned_documents(spark, sf_dir))
 
 
-def configured_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared documents with their collection's config row (pattern)."""
+def configured_documents(spark: SparkSession, sf_dir: str, reused: bool = False) -> DataFrame:
+    """Prepared documents with their collection's config row (pattern).
+
+    ``reused``: the caller reads the result twice (fractions, then the
+    sample), so it is written once under the checkpoint folder instead of
+    cleaning every text twice."""
     prepared = prepared_documents(spark, sf_dir)
     config = config_for_texts(prepared, DOCUMENT_PATTERN)
-    return select_collections(prepared, config, key_col="id")
+    out = select_collections(prepared, config, key_col="id")
+    if reused:
+        cols = ["id", "collection_id", "text", "words", "filtered", "pattern"]
+        out = materialize(out.select(*cols), "configured_documents", ["collection_id"])
+    return out
 
 
 def language_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +165,7 @@ def q_positive_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _training(spark: SparkSession, sf_dir: str, balanced: bool) -> DataFrame:
-    t = training_set(configured_documents(spark, sf_dir), balanced=balanced)
+    t = training_set(configured_documents(spark, sf_dir, reused=True), balanced=balanced)
     return t.select("id", "collection_id", "label", F.size("filtered").cast("long").alias("n_features"))
 
 
@@ -180,7 +188,7 @@ def q_testing_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = training_set(configured_documents(spark, sf_dir))
+    t = training_set(configured_documents(spark, sf_dir, reused=True))
     return audit_sample(t, "label", k=AUDIT_K).select("collection_id", "label", "sample_rank", "id")
 
 

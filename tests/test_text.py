@@ -98,3 +98,17 @@ def test_linear_pattern_equals_fixed_pattern(spark):
     a = F.regexp_replace("t", F.lit(CLEAN_PATTERN), F.lit(" "))
     b = F.regexp_replace("t", F.lit(CLEAN_PATTERN_LINEAR), F.lit(" "))
     assert df.filter(a != b).count() == 0
+
+
+def test_keep_long_terms_equals_split_filter_join(spark):
+    import random
+
+    from relevo.functions.text import keep_long_terms
+
+    rng = random.Random(5)
+    alphabet = ["a", "b", "c", " ", " ", "\t", "xy", "abc"]
+    rows = [("".join(rng.choice(alphabet) for _ in range(rng.randint(0, 25))),) for _ in range(3000)]
+    rows += [("",), (" ",), ("ab",), ("abc",), (" abc ",), ("a\tb",), ("ab\t cd",)]
+    df = spark.createDataFrame(rows, "t string")
+    ref = F.array_join(F.filter(F.split("t", " "), lambda x: F.length(x) >= 3), " ")
+    assert df.filter(keep_long_terms("t") != ref).count() == 0
