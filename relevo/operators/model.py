@@ -9,12 +9,13 @@ several collections trained concurrently.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -154,12 +155,21 @@ def train_collections(
             part = part.coalesce(want)
         part = part.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return cid, fit_collection(part, spec, prefix)
+            try:
+                return cid, fit_collection(part, spec, prefix)
+            except Exception as err:  # noqa: BLE001 - one retry of a deterministic fit
+                # Tuning is seeded, so a second attempt gives the same model;
+                # a repeated failure is raised.
+                trace = str(getattr(err, "_stackTrace", "") or "")[:2000]
+                print(f"relevo: tuning {cid!r} failed once, retrying: {err}\n{trace}", file=sys.stderr)
+                return cid, fit_collection(part, spec, prefix)
         finally:
             part.unpersist()
 
+    # inheritable_thread_target: each worker thread starts with the caller's
+    # Spark local properties (job group, SQL execution id state, pools).
     with ThreadPoolExecutor(max_workers=max(1, concurrency or conc)) as pool:
-        results = list(pool.map(run, sorted(sizes)))
+        results = list(pool.map(inheritable_thread_target(run), sorted(sizes)))
     return {cid: m for cid, m in results if m is not None}
 
 

@@ -4,7 +4,7 @@ distributed FP-growth and model fits loop over collections."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,12 +53,18 @@ class Classification:
     stats: DataFrame
     spec: TuningSpec
     feature_col: str = "words"
+    _scores: DataFrame | None = field(default=None, repr=False)
 
     def testing(self) -> DataFrame:
         return testing_set(self.prepared, self.feature_col)
 
     def scores(self) -> DataFrame:
-        return score(self.models, self.testing())
+        """Scores of every text, computed once and written under the
+        checkpoint folder (partitioned by collection); every summary reads
+        that table instead of re-running the models."""
+        if self._scores is None:
+            self._scores = materialize(score(self.models, self.testing()), "scores", ["collection_id"])
+        return self._scores
 
     def training_predictions(self) -> DataFrame:
         return apply_models(self.models, self.training, keep=("label",))
