@@ -221,7 +221,7 @@ SELECT id, len(words)::BIGINT AS n_words, array_to_string(words, ' ') AS words,
         "page_texts": f"SELECT page_id AS id, {clean(strip_html('html'))} AS text FROM pages",
         "event_props": """
 SELECT event_type, count(*) AS n_events, count(CAST(json_extract(props, '$.k') AS BIGINT)) AS n_with_k,
-       sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS sum_k
+       sum(CAST(json_extract(props, '$.k') AS BIGINT))::BIGINT AS sum_k
 FROM events GROUP BY event_type""",
         "positive_share": f"""WITH {DOCS}, {LABELS}
 SELECT collection_id, n_texts, n_positive, n_candidates, round(positive_fraction, 6) AS positive_fraction FROM gf""",
@@ -233,7 +233,7 @@ SELECT id, collection_id, len(words)::BIGINT AS n_features, array_to_string(word
         "audit_sample": _training("positive_fraction")
         + f""", r AS (SELECT collection_id, label, id,
         row_number() OVER (PARTITION BY collection_id, label ORDER BY h, id) AS sample_rank FROM t)
-SELECT collection_id, label, sample_rank, id FROM r WHERE sample_rank <= {AUDIT_K}""",
+SELECT collection_id, label, sample_rank::BIGINT AS sample_rank, id FROM r WHERE sample_rank <= {AUDIT_K}""",
         "term_idf": f"""WITH {DOCS},
 tm AS (SELECT DISTINCT id, unnest(words) AS term FROM p),
 n AS (SELECT count(*) AS n FROM p)

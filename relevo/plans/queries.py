@@ -189,7 +189,9 @@ def q_testing_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = training_set(configured_documents(spark, sf_dir, reused=True))
-    return audit_sample(t, "label", k=AUDIT_K).select("collection_id", "label", "sample_rank", "id")
+    return audit_sample(t, "label", k=AUDIT_K).select(
+        "collection_id", "label", F.col("sample_rank").cast("long").alias("sample_rank"), "id"
+    )
 
 
 # --- features, item sets, histograms ----------------------------------------
