@@ -101,3 +101,14 @@ def test_config_sizes_are_checked_before_broadcast(spark):
     plan = select_collections(texts, cfg)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert F is not None
+
+
+def test_spread_only_when_under_split(spark, tmp_path):
+    from relevo.session import spread
+
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
+    assert spread(wide) is wide
+    narrow = spark.range(0, 1000, numPartitions=1)
+    out = spread(narrow)
+    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in out.collect()) == list(range(1000))
