@@ -148,24 +148,27 @@ def train_collections(
     spec = spec or TuningSpec(parallelism=par)
     sizes = {r[0]: r[1] for r in training.groupBy("collection_id").count().collect()}
 
-    def run(cid: str):
+    def attempt(cid: str):
         part = training.filter(F.col("collection_id") == cid)
         want = max(1, -(-sizes[cid] // TRAINING_ROWS_PER_PARTITION))
         if want < part.rdd.getNumPartitions():
             part = part.coalesce(want)
         part = part.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            try:
-                return cid, fit_collection(part, spec, prefix)
-            except Exception as err:  # noqa: BLE001 - one retry of a deterministic fit
-                # Tuning is seeded, so a second attempt gives the same model;
-                # a repeated failure is raised.
-                trace = str(getattr(err, "_stackTrace", "") or "")[:2000]
-                print(f"relevo: tuning {cid!r} failed once, retrying: {err}\n{trace}", file=sys.stderr)
-                return cid, fit_collection(part, spec, prefix)
+            return fit_collection(part, spec, prefix)
         finally:
             part.unpersist()
 
+    def run(cid: str):
+        try:
+            return cid, attempt(cid)
+        except Exception as err:  # noqa: BLE001 - one retry of a deterministic fit
+            # Tuning is seeded, so a second attempt gives the same model; a
+            # repeated failure is raised.
+            trace = str(getattr(err, "_stackTrace", "") or "")[:2000]
+            print(f"relevo: tuning {cid!r} failed once, retrying: {err}\n{trace}", file=sys.stderr)
+            return cid, attempt(cid)
+
     # inheritable_thread_target: each worker thread starts with the caller's
     # Spark local properties (job group, SQL execution id state, pools).
     with ThreadPoolExecutor(max_workers=max(1, concurrency or conc)) as pool:
