@@ -44,11 +44,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the setting is absent (local tests) a fresh folder is made.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor shares "
+                "(a machine-local temporary folder is not safe on a cluster)"
+            )
         path = tempfile.mkdtemp(prefix="relevo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
