@@ -42,7 +42,8 @@ def get_session(master: str | None = None, app_name: str = "relevo", conf: dict[
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) a fresh folder is made.
+    Only when the setting is absent and the master is local (tests) a fresh
+    folder is made; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
