@@ -55,7 +55,12 @@ def test_query_equals_oracle(spark, cons, sf_small, name):
     folder = SF_MEDIUM if name in ON_MEDIUM else sf_small
     if folder not in cons:
         pytest.skip(f"{folder} not present")
-    ours = _rows(SQL_CHECKED[name](spark, folder).toPandas())
+    df = SQL_CHECKED[name](spark, folder)
+    types = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "DoubleType()": "DOUBLE", "IntegerType()": "INTEGER"}
+    ours_t = {f.name: types.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    want_t = {r[0]: r[1] for r in cons[folder].execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert ours_t == want_t
+    ours = _rows(df.toPandas())
     want = _rows(cons[folder].execute(E.oracle_sql()[name]).df())
     assert ours[0] == want[0]
     assert len(ours[1]) == len(want[1])
