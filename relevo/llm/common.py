@@ -49,3 +49,29 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     out[heads] = starts
     out[heads[1:]] -= starts[:-1] + lengths[:-1] - 1
     return np.cumsum(out)
+
+
+def map_columns(df: DataFrame, needed: list[str], fields, compute) -> DataFrame:
+    """Add columns that ``compute`` makes from the ``needed`` ones.
+
+    ``compute`` gets the needed columns of one Arrow batch as lists and gives
+    one list for each of ``fields`` (Spark struct fields).  The input's other
+    columns pass through untouched; a column of the same name as a new one is
+    replaced.  Rows stay in their partitions; nothing is shuffled."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructType
+
+    new = {f.name for f in fields}
+    keep = [f for f in df.schema.fields if f.name not in new]
+    schema = StructType([*keep, *fields])
+    names, types = [f.name for f in keep], [to_arrow_type(f.dataType) for f in fields]
+
+    def run(batches):
+        for batch in batches:
+            made = compute(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in needed))
+            cols = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            cols += [pa.array(v, t) for v, t in zip(made, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, *(f.name for f in fields)])
+
+    return df.mapInArrow(run, schema)
