@@ -8,10 +8,14 @@ count.  The sum of the weights, by itself and per length, goes through a
 logistic curve.
 
 The lexicon is learned: over a bounded sample of labelled documents
-(``sample_documents``, chosen by a hash of the id) Spark counts, for every
-word and word beginning, the toxic and the other documents that hold it; the
-weights are log-odds.  Exception phrases are an entry's word with the one
-before or after it, where the sample shows the phrase in clean documents only.
+(``sample_documents``, chosen by a hash of the id; of near copies, which share
+their least shingle hash, one) Spark counts, for every word and word
+beginning, the toxic and the other documents that hold it and its occurrences
+there; the weights are the log-odds of the occurrences.  Words that merely stand beside insults are left out: entries are
+taken in order of the evidence they have in toxic documents that fewer than
+``cover`` entries explain so far.  Exception phrases are an entry's word with
+the one before or after it, where the sample shows the phrase in clean
+documents only.
 Scoring is one pass over the documents without a shuffle.
 
 Defined results: null and empty texts have no matches and get the score of a
@@ -23,8 +27,10 @@ through, of a clashing name the result's stays.
 
 from __future__ import annotations
 
+import bisect
 import math
 import unicodedata
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -40,11 +46,16 @@ ORACLE_SQL = None
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: Labelled documents that the lexicon and the curve are learned from.
-SAMPLE_DOCUMENTS = 10_000
-#: Lengths of word beginnings, fewest toxic documents of an entry, least
-#: log-odds, and entries kept (the strongest).
-STEMS = (4, 5, 6, 7)
-LEAST_DOCUMENTS, LEAST_ODDS, ENTRIES = 4, 3.0, 5000
+SAMPLE_DOCUMENTS = 20_000
+#: Lengths of word beginnings; an entry's fewest toxic documents, least
+#: log-odds and least log-likelihood ratio; candidates kept (the strongest).
+STEMS = (4, 5, 6, 7, 8, 9, 10)
+LEAST_DOCUMENTS, LEAST_ODDS, LEAST_RATIO, CANDIDATES = 3, 2.0, 24.0, 20_000
+#: Entries that a toxic document may be explained by before it lends no more
+#: evidence.
+COVER = 3
+#: Occurrences of a word in one document that are evidence.
+REPEATS = 3
 
 # Letters of other scripts that look like Latin ones, and digits
 # and signs written for letters.  "l" and "1" stand for "i" as well.
@@ -79,10 +90,19 @@ def fold(text: str | None) -> str:
     return f" {(text or '').translate(_FOLDING)} "
 
 
-def terms(text: str | None) -> set[str]:
-    """Folded words (blank at both ends) and word beginnings (blank before)."""
-    words = set(fold(text).split())
-    return {f" {w} " for w in words if len(w) >= STEMS[0]} | {f" {w[:n]}" for w in words for n in STEMS if len(w) >= n}
+def terms(text: str | None) -> Counter:
+    """How often each folded word (blank at both ends) and word beginning
+    (blank before) occurs; a word repeated on and on counts ``REPEATS`` times."""
+    out: Counter = Counter()
+    for w, n in Counter(fold(text).split()).items():
+        n = min(n, REPEATS)
+        if len(w) >= STEMS[0]:
+            out[f" {w} "] += n
+            for k in STEMS:
+                if k > len(w):
+                    break
+                out[f" {w[:k]}"] += n
+    return out
 
 
 class Lexicon:
@@ -116,8 +136,8 @@ class Lexicon:
         return found
 
     def features(self, text: str | None) -> list[float]:
-        """One, the summed weight by itself and per word's length of text (a
-        word counts once, with its heaviest entry)."""
+        """One, the summed weight by itself and per length of text (each
+        occurrence of a word counts once, with its heaviest entry)."""
         folded = fold(text)
         best: dict[int, float] = {}
         for start, _, w in self.matches(folded):
@@ -143,70 +163,123 @@ def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
 
 
 def _counts(texts: DataFrame) -> DataFrame:
-    """``term, bad, good``: documents of either label that hold a term.  Each
-    task counts a batch before anything is shuffled."""
+    """``term, bad, good, bad_n, good_n``: documents of either label that hold
+    a term, and its occurrences there.  Each task counts a batch before
+    anything is shuffled."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            by = (Counter(), Counter())
+            docs, hits = (Counter(), Counter()), (Counter(), Counter())
             for t, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                by[y].update(terms(t))
-            keys = list(by[0].keys() | by[1].keys())
+                own = terms(t)
+                docs[y].update(own.keys())
+                hits[y].update(own)
+            keys = list(docs[0].keys() | docs[1].keys())
             for i in range(0, len(keys), 50_000):
                 part = keys[i : i + 50_000]
-                yield pa.RecordBatch.from_pydict({"term": pa.array(part, pa.string()), "bad": pa.array([by[1][k] for k in part], pa.int64()), "good": pa.array([by[0][k] for k in part], pa.int64())})
-
-    return texts.mapInArrow(run, "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-
-
-def _entries(rows) -> dict[str, float]:
-    """Entries without those whose shorter beginning does as well."""
-    kept: dict[str, float] = {}
-    for term, odds in sorted(rows, key=lambda r: (len(r[0].strip()), r[0].endswith(" "), r[0])):
-        if all(kept.get(term[:n], -9.0) < odds - 1 for n in range(2, len(term))):
-            kept[term] = odds
-    return kept
+                sums = {n: pa.array([c[k] for k in part], pa.int64()) for n, c in (("bad", docs[1]), ("good", docs[0]), ("bad_n", hits[1]), ("good_n", hits[0]))}
+                yield pa.RecordBatch.from_pydict({"term": pa.array(part, pa.string()), **sums})
+
+    return texts.mapInArrow(run, "term string, bad long, good long, bad_n long, good_n long").groupBy("term").agg(*(F.sum(c).alias(c) for c in ("bad", "good", "bad_n", "good_n")))
+
+
+def _ratio(bad: float, good: float, bads: float, goods: float) -> float:
+    """Log-likelihood ratio of a term's counts against an even spread."""
+    expect = (bad + good) * bads / (bads + goods)
+    if bad <= expect:
+        return 0.0
+    rest = (bad + good) - expect
+    return 2 * (bad * math.log(bad / expect) + (good * math.log(good / rest) if good else 0.0))
+
+
+def choose_entries(counts: dict, documents: list[list[str]], bad_size: float, good_size: float, cover: int = COVER) -> dict[str, float]:
+    """Terms with enough evidence, and their odds: their occurrences (``counts``: term to
+    ``bad``, ``bad_n``, ``good_n``, ``odds``) against the length of either kind of text,
+    for the share of the toxic ``documents`` (candidate terms of each) that
+    isn't explained yet."""
+    holders: dict[str, set[int]] = {}
+    for d, own in enumerate(documents):
+        for t in own:
+            holders.setdefault(t, set()).add(d)
+    left, chosen = dict.fromkeys(range(len(documents)), 0), {}
+
+    def rank(t):
+        c = counts[t]
+        return (_ratio(c["bad_n"] * len(holders[t]) / c["bad"], c["good_n"], bad_size, good_size), -len(t), t)
+
+    queue = sorted(((rank(t), t) for t in holders))
+    while queue:
+        was, t = queue.pop()
+        if was[0] < LEAST_RATIO:
+            break
+        now = rank(t)
+        if queue and now < queue[-1][0]:  # its evidence shrank since
+            bisect.insort(queue, (now, t))
+            continue
+        if now[0] < LEAST_RATIO or len(holders[t]) < LEAST_DOCUMENTS:
+            continue
+        odds = counts[t]["odds"]
+        if any(chosen.get(t[:n], -9.0) > odds - 1.5 for n in range(2, len(t))):
+            continue  # a shorter beginning of the same words does as well
+        chosen[t] = odds
+        for d in list(holders[t]):
+            left[d] += 1
+            if left[d] >= cover:
+                for other in documents[d]:
+                    holders[other].discard(d)
+    return chosen
+
+
+def _least_shingle(text: str | None) -> int:
+    words = fold(text).split()
+    return min((zlib.crc32(" ".join(words[i : i + 4]).encode()) for i in range(max(1, len(words) - 3))), default=0)
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, exceptions=()) -> Lexicon:
     """A lexicon from labelled rows whose crc fold isn't the held-out one;
     ``exceptions``: further exception phrases."""
+    broadcast = docs.sparkSession.sparkContext.broadcast
     usable = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter((crc_fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("toxic").isin(0, 1))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample_documents)
-    texts = materialize(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "toxicity-sample")
-    n = dict(texts.groupBy("toxic").count().collect())
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = map_columns(texts, ["text"], [T.StructField("shingle", T.LongType())], lambda ts: [[_least_shingle(t) for t in ts]])
+    texts = texts.groupBy("shingle").agg(F.min(F.struct("doc_id", "text", "toxic")).alias("one")).select("one.text", "one.toxic")
+    texts = materialize(texts, "toxicity-sample")
+    n = {r["toxic"]: r for r in texts.groupBy("toxic").agg(F.sum(F.length("text")).alias("size")).collect()}
     if not n:
         return Lexicon({})
-    odds = F.log((F.col("bad") + 0.5) / (n.get(1, 0) + 1)) - F.log((F.col("good") + 0.5) / (n.get(0, 0) + 1))
-    strong = _counts(texts).filter(F.col("bad") >= LEAST_DOCUMENTS).select("term", odds.alias("odds")).filter(F.col("odds") >= LEAST_ODDS)
-    weights = _entries([tuple(r) for r in strong.orderBy(F.desc("odds"), "term").limit(ENTRIES).collect()])
-    first = Lexicon(weights, {fold(x) for x in exceptions})
-    held = docs.sparkSession.sparkContext.broadcast(first)
-
-    def phrases(batch_texts, batch_labels):
+    bad_size, good_size = ((n[y]["size"] or 0) + 1 if y in n else 1 for y in (1, 0))
+    odds = F.log((F.col("bad_n") + 0.5) / bad_size) - F.log((F.col("good_n") + 0.5) / good_size)
+    strong = _counts(texts).filter(F.col("bad") >= LEAST_DOCUMENTS).select("term", "bad", "bad_n", "good_n", odds.alias("odds")).filter(F.col("odds") >= LEAST_ODDS)
+    candidates = {r["term"]: r for r in strong.orderBy(F.desc("odds"), "term").limit(CANDIDATES).collect()}
+    held = broadcast(frozenset(candidates))
+    own = map_columns(texts.filter("toxic = 1"), ["text"], [T.StructField("own", T.ArrayType(T.StringType()))], lambda ts: [[sorted(terms(t).keys() & held.value) for t in ts]])
+    weights = choose_entries(candidates, sorted(r["own"] for r in own.select("own").collect()), bad_size, good_size)
+    held1 = broadcast(Lexicon(weights, {fold(x) for x in exceptions}))
+
+    def phrases(batch_texts):
         out = []
         for t in batch_texts:
             folded, found = fold(t), set()
-            for start, end, _ in held.value.matches(folded):
+            for start, end, _ in held1.value.matches(folded):
                 stop = folded.find(" ", max(end - 1, start + 1))
                 before, after = folded.rfind(" ", 0, start), folded.find(" ", stop + 1)
                 found |= {p for p in (folded[before : stop + 1] if before >= 0 else "", folded[start : after + 1] if after > 0 else "") if len(p.split()) == 2}
             out.append(sorted(found))
         return [out]
 
-    seen = map_columns(texts, ["text", "toxic"], [T.StructField("phrase", T.ArrayType(T.StringType()))], phrases)
+    seen = map_columns(texts, ["text"], [T.StructField("phrase", T.ArrayType(T.StringType()))], phrases)
     spared = (
         seen.select("toxic", F.explode("phrase").alias("phrase")).groupBy("phrase").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-        .filter((F.col("bad") == 0) & (F.col("n") >= LEAST_DOCUMENTS)).orderBy(F.desc("n"), "phrase").limit(ENTRIES)
+        .filter((F.col("bad") == 0) & (F.col("n") >= LEAST_DOCUMENTS)).orderBy(F.desc("n"), "phrase").limit(CANDIDATES)
     )
     lexicon = Lexicon(weights, {fold(x) for x in exceptions} | {r["phrase"] for r in spared.collect()})
-    held2 = docs.sparkSession.sparkContext.broadcast(lexicon)
+    held2 = broadcast(lexicon)
     rows = map_columns(texts, ["text"], [T.StructField("x", T.ArrayType(T.DoubleType()))], lambda ts: [[held2.value.features(t) for t in ts]]).select("x", "toxic").collect()
-    rows = sorted(tuple(r) for r in rows)
+    rows = sorted((r["x"], r["toxic"]) for r in rows)
     lexicon.curve = _curve(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float))
-    lexicon._automaton = None
     return lexicon
 
 
