@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from relevo.llm import decontamination, quality_crf, sharding, toxicity, url_filters
+from relevo.llm import decontamination, line_dedup, quality_crf, sharding, toxicity, url_filters, vector_search
 
-_MODULES = (sharding, toxicity, quality_crf, decontamination, url_filters)
+_MODULES = (sharding, toxicity, vector_search, quality_crf, decontamination, url_filters, line_dedup)
 
 QUERIES = {m.NAME: m.query for m in _MODULES}
 ORACLES = {m.NAME: m.ORACLE_SQL for m in _MODULES if m.ORACLE_SQL}
