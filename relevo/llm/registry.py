@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from relevo.llm import decontamination, line_dedup, near_duplicates, quality_crf, sentencepiece_fst, sharding, toxicity, url_filters, vector_search
+from relevo.llm import (
+    decontamination,
+    line_dedup,
+    near_duplicates,
+    quality_crf,
+    sentencepiece_fst,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    url_filters,
+    vector_search,
+)
 
-_MODULES = (sharding, toxicity, vector_search, near_duplicates, sentencepiece_fst, quality_crf, decontamination, url_filters, line_dedup)
+_MODULES = (sharding, toxicity, vector_search, suffix_dedup, near_duplicates, sentencepiece_fst, quality_crf, decontamination, url_filters, line_dedup)
 
 QUERIES = {m.NAME: m.query for m in _MODULES}
 ORACLES = {m.NAME: m.ORACLE_SQL for m in _MODULES if m.ORACLE_SQL}
