@@ -75,3 +75,14 @@ def map_columns(df: DataFrame, needed: list[str], fields, compute) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names=[*names, *(f.name for f in fields)])
 
     return df.mapInArrow(run, schema)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``text`` and all other columns as the struct ``rest``, so that working
+    columns can't clash with them."""
+    return docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
+
+
+def unpacked(columns: list[str], **changed: F.Column) -> list[F.Column]:
+    """The columns of a packed table in their order; ``changed`` replaces."""
+    return [changed.get(c, F.col("text") if c == "text" else F.col("rest")[c]).alias(c) for c in columns]

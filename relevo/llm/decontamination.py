@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relevo.llm.common import map_columns, ranges, table, utf8
+from relevo.llm.common import map_columns, packed, ranges, table, unpacked, utf8
 from relevo.llm.fm_index import FMIndex
 
 NAME = "op8_decontamination"
@@ -186,19 +186,19 @@ def cut_spans(text: str, spans: list) -> str:
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with hit words cut out of their texts; a document that is
     left without any word goes.  ``n_chars``, where present, follows the text."""
-    found = find_contamination(docs.withColumn("_source_text", F.col("text")), benchmark, window)
+    found = find_contamination(packed(docs), benchmark, window)
     left = map_columns(
         found,
-        ["_source_text", "spans"],
+        ["text", "spans"],
         [T.StructField("text", T.StringType())],
         lambda texts, spans: [[cut_spans(t, s) if s else t for t, s in zip(texts, spans, strict=True)]],
     )
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     left = left.filter((F.size("spans") == 0) | (hit < F.col("n_words")))
+    changed = {}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        left = left.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return left.select(*docs.columns)
+        changed["n_chars"] = F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest.n_chars"))
+    return left.select(*unpacked(docs.columns, **changed))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
