@@ -3,10 +3,13 @@
     python -m relevo mine    --config cfg.json --lines DIR | --cells PATH | --texts PATH  --out OUT
     python -m relevo predict --config cfg.json --lines DIR | --cells PATH | --texts PATH  --out OUT
 
-``--lines``: tab-separated text files (``<collection>-<id> TAB text``);
+``--lines``: tab-separated text files (``<collection>-<id> TAB text``), either
+one folder of them or a root with a folder ``z_<id>`` for each collection
+(absent ones are skipped and named);
 ``--cells``: Parquet with ``row_key, cells`` (JSON cells joined by newlines);
 ``--texts``: Parquet with ``id, text`` (raw text).  ``mine`` writes pattern
-files and item sets; ``predict`` writes score cells and prediction files.
+files and item sets; ``predict`` writes score cells, prediction files and the
+fitted models.  Both write the run's output names.
 """
 
 from __future__ import annotations
@@ -21,13 +24,19 @@ from relevo.functions.text import clean_text, collection_of
 from relevo.operators.model import GRID_NUM_FEATURES, GRID_REG_PARAM, NUM_FOLDS, TuningSpec, default_concurrency
 from relevo.plans.jobs import classify, mine_patterns
 from relevo.session import get_session
-from relevo.sources import cells_to_texts, load_cells, parse_lines, read_config, read_lines
-from relevo.sources.sinks import write_predictions_tsv, write_score_cells
+from relevo.sources import cells_to_texts, load_cells, parse_lines, read_collections, read_config, read_lines
+from relevo.sources.sinks import write_predictions_tsv, write_run_names, write_score_cells
 
 
-def _texts(spark: SparkSession, args) -> DataFrame | None:
+def _texts(spark: SparkSession, args, config: DataFrame) -> DataFrame | None:
     if args.lines:
-        lines = read_lines(spark, args.lines)
+        ids = [r[0] for r in config.select("collection_id").distinct().orderBy("collection_id").collect()]
+        lines, absent = read_collections(spark, args.lines, ids)
+        if lines is None:
+            lines = read_lines(spark, args.lines)
+        else:
+            for cid in absent:
+                print(f"collection {cid}: no folder below {args.lines}, skipped", file=sys.stderr)
         return None if lines is None else parse_lines(lines)
     if args.cells:
         return cells_to_texts(load_cells(spark.read.parquet(args.cells)))
@@ -54,10 +63,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     run_ts = args.run_ts or time.strftime("%Y%m%d-%H%M%S")
     config = read_config(spark, args.config)
-    texts = _texts(spark, args)
+    texts = _texts(spark, args, config)
     if texts is None:
         print(f"no input at {args.lines}; nothing to do", file=sys.stderr)
         return 0
+    write_run_names(config, f"{args.out}/names", run_ts)
     if args.mode == "mine":
         mine_patterns(texts, config, min_support=args.min_support, out_path=f"{args.out}/patterns", run_ts=run_ts)
     else:
@@ -67,7 +77,7 @@ def main(argv: list[str] | None = None) -> int:
             num_folds=args.num_folds,
             parallelism=default_concurrency(spark)[1],
         )
-        run = classify(texts, config, spec)
+        run = classify(texts, config, spec, models_path=f"{args.out}/models/run_ts={run_ts}")
         scores = run.scores()
         write_score_cells(scores, f"{args.out}/score_cells/run_ts={run_ts}")
         write_predictions_tsv(scores, f"{args.out}/predictions", run_ts)

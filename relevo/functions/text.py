@@ -29,6 +29,9 @@ CLEAN_PATTERN = r"(@[A-Za-z0-9]+)|([^0-9A-Za-z \t])|(\w+:\/\/\S+)"
 # engine rescans the rest of every word from each of its positions.
 # tests/test_text.py checks both patterns give the same result.
 CLEAN_PATTERN_LINEAR = r"(@[A-Za-z0-9]+)|([^0-9A-Za-z \t])|((?<![0-9A-Za-z])\w++:\/\/\S+)"
+# The pattern's first part, and the ASCII characters of its second one.
+_MENTION = r"@[A-Za-z0-9]+"
+_ASCII_SIGNS = "".join(chr(i) for i in range(128) if not chr(i).isalnum() and chr(i) not in " \t")
 # Characters stripped from both ends after the replacement.
 CLEAN_STRIP_CHARS = " \t"
 # Terms (split on a single blank) shorter than this are dropped.
@@ -60,8 +63,17 @@ def keep_long_terms(col: Column | str, min_length: int = MIN_TERM_LENGTH) -> Col
 
 def clean_text(col: Column | str) -> Column:
     """Replace mentions, punctuation and URLs by blanks, strip the ends and
-    keep only terms of at least ``MIN_TERM_LENGTH`` characters."""
-    replaced = F.regexp_replace(_c(col), F.lit(CLEAN_PATTERN_LINEAR), F.lit(" "))
+    keep only terms of at least ``MIN_TERM_LENGTH`` characters.
+
+    The pattern costs by the number of its matches, and nearly all are single
+    signs.  A text without ``://`` can hold no URL match: its mentions go by
+    the pattern's first part (only if it has an ``@``), its ASCII signs by a
+    character table, and what isn't ASCII by a class (only if there is any)."""
+    c = _c(col)
+    mentions = F.when(F.contains(c, F.lit("@")), F.regexp_replace(c, F.lit(_MENTION), F.lit(" "))).otherwise(c)
+    signs = F.translate(mentions, _ASCII_SIGNS, " " * len(_ASCII_SIGNS))
+    plain = F.when(F.octet_length(signs) > F.length(signs), F.regexp_replace(signs, F.lit(r"[^\x00-\x7F]"), F.lit(" "))).otherwise(signs)
+    replaced = F.when(F.contains(c, F.lit("://")), F.regexp_replace(c, F.lit(CLEAN_PATTERN_LINEAR), F.lit(" "))).otherwise(plain)
     stripped = F.btrim(replaced, F.lit(CLEAN_STRIP_CHARS))
     return keep_long_terms(stripped)
 

@@ -2,36 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from relevo.session import checkpoint_dir
+from relevo.session import materialize
 
-# Largest side (rows) that is broadcast; one row per collection / group is far
-# below it.  Above it the join stays a shuffle join (AQE splits skewed keys).
-MAX_BROADCAST_ROWS = 200_000
 
-
-def attach_small(
-    large: DataFrame,
-    small: DataFrame,
-    on: str | list[str],
-    how: str = "inner",
-    max_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def attach_small(large: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Join a small table (config rows, per-group statistics) onto a large one.
 
-    The small side is computed once and checkpointed to the shared checkpoint
-    folder (its lineage may hold a full scan of the large table; the files
-    survive a lost executor and nothing stays cached).  It is broadcast only
-    when its row count is within ``max_rows``; otherwise the plan keeps a
-    shuffle join, where AQE's skew handling splits a hot key's partition.
-    """
-    checkpoint_dir(small.sparkSession)
-    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
-    small = cached.checkpoint(eager=True)
-    cached.unpersist()
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return large.join(side, on=on, how=how)
+    The small side is written once to the shared checkpoint folder (its lineage
+    may hold a full scan of the large table).  The size of its files is what
+    the planner sees: below ``spark.sql.autoBroadcastJoinThreshold`` it is
+    broadcast, above it the join is a shuffle join, where AQE splits a hot
+    key's partition."""
+    return large.join(materialize(small, "small"), on=on, how=how)

@@ -57,6 +57,20 @@ def positive_stats(flagged: DataFrame, by: str = "collection_id") -> DataFrame:
     )
 
 
+def sample_training(flagged: DataFrame, by: str = "collection_id", seed: int = SAMPLE_SEED, balanced: bool = False) -> DataFrame:
+    """Positives (``label`` 1.0) and the sampled negative candidates (0.0) of a
+    flagged table, with its other columns.  Two reads of ``flagged``: one small
+    aggregate for the fractions, then one filter."""
+    stats = positive_stats(flagged, by).select(
+        by, F.col("balanced_fraction" if balanced else "positive_fraction").alias("_fraction")
+    )
+    keep_negative = F.col("is_candidate") & (
+        hash_unit("id", seed) < F.coalesce(F.col("_fraction"), F.lit(0.0)) * F.lit(float(HASH_RANGE))
+    )
+    joined = attach_small(flagged, stats, on=by).filter(F.col("is_positive") | keep_negative)
+    return joined.withColumn("label", F.when(F.col("is_positive"), F.lit(1.0)).otherwise(F.lit(0.0))).drop("_fraction")
+
+
 def training_set(
     prepared: DataFrame,
     feature_col: str = "words",
@@ -69,24 +83,10 @@ def training_set(
 
     ``prepared`` has ``id, text, words, filtered`` and the collection's
     pattern.  ``feature_col`` (default ``words``: stop words stay in the
-    model) is returned as ``filtered``.  Two scans: one small aggregate for
-    the fractions (broadcast back after a size check), then one filter.
+    model) is returned as ``filtered``.
     """
-    flagged = label_flags(prepared, pattern_col)
-    stats = positive_stats(flagged, by).select(
-        by, F.col("balanced_fraction" if balanced else "positive_fraction").alias("_fraction")
-    )
-    joined = attach_small(flagged, stats, on=by)
-    keep_negative = F.col("is_candidate") & (
-        hash_unit("id", seed) < F.coalesce(F.col("_fraction"), F.lit(0.0)) * F.lit(float(HASH_RANGE))
-    )
-    return joined.filter(F.col("is_positive") | keep_negative).select(
-        "id",
-        by,
-        "text",
-        F.col(feature_col).alias("filtered"),
-        F.when(F.col("is_positive"), F.lit(1.0)).otherwise(F.lit(0.0)).alias("label"),
-    )
+    sampled = sample_training(label_flags(prepared, pattern_col), by, seed, balanced)
+    return sampled.select("id", by, "text", F.col(feature_col).alias("filtered"), "label")
 
 
 def testing_set(prepared: DataFrame, feature_col: str = "words", by: str = "collection_id") -> DataFrame:

@@ -1,15 +1,19 @@
 """Relevance classifiers: TF-IDF features and logistic regression, tuned by
 cross-validation, one model per collection.
 
-The pipeline is one flat ``[HashingTF, IDF, LogisticRegression]`` so that the
-IDF is refitted for every grid cell's hash size.  Every fit is Spark's
-distributed ML; only the loop over collections runs on the driver, with
-several collections trained concurrently.
+The tuned cells are (hash size, regularisation).  A fold is a hash of seed and
+id, so it depends neither on the file layout nor on the number of rows.  For
+each fold and hash size the features are fitted and computed once and serve
+every regularisation.  Every fit is Spark's distributed ML; only the loops over
+collections, folds and cells run on the driver, several of them at a time.
+
+Every text gets a score row.  A collection whose training rows hold one class
+gets that class (``status`` ``one_class``); a collection without training rows
+gets nulls (``untrained``).
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -21,11 +25,11 @@ from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import HashingTF, IDF
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relevo.functions.formats import class_probability
+from relevo.operators.labeling import hash_unit
 
 # Model and tuning settings of the classification phase.
 MAX_ITER = 10
@@ -66,68 +70,100 @@ def _classifier(kind: str, prefix: str = ""):
     raise ValueError(f"unknown classifier {kind!r}")
 
 
-def relevance_cv(spec: TuningSpec, kind: str = "logistic", prefix: str = "") -> CrossValidator:
-    """Cross-validated ``HashingTF -> IDF -> classifier`` pipeline.
+def _features(spec: TuningSpec, num_features: int, prefix: str) -> tuple[HashingTF, IDF]:
+    htf = HashingTF(inputCol=spec.feature_col, outputCol=f"{prefix}tf_features", numFeatures=num_features)
+    return htf, IDF(inputCol=f"{prefix}tf_features", outputCol=f"{prefix}features")
 
-    ``prefix`` renames every output column so that models of several kinds
-    can be applied one after another to the same rows (map-only)."""
-    htf = HashingTF(inputCol=spec.feature_col, outputCol=f"{prefix}tf_features")
-    idf = IDF(inputCol=f"{prefix}tf_features", outputCol=f"{prefix}features")
-    clf = _classifier(kind, prefix)
-    grid = ParamGridBuilder().addGrid(htf.numFeatures, list(spec.num_features))
-    if kind in ("logistic", "multinomial"):
-        grid = grid.addGrid(clf.regParam, list(spec.reg_params))
+
+def _evaluator(kind: str, prefix: str):
     if kind == "multinomial":
-        evaluator = MulticlassClassificationEvaluator(predictionCol=f"{prefix}prediction", metricName="f1")
-    else:
-        evaluator = BinaryClassificationEvaluator(rawPredictionCol=f"{prefix}rawPrediction")
-    return CrossValidator(
-        estimator=Pipeline(stages=[htf, idf, clf]),
-        estimatorParamMaps=grid.build(),
-        evaluator=evaluator,
-        numFolds=spec.num_folds,
-        seed=spec.seed,
-        parallelism=spec.parallelism,
-    )
+        return MulticlassClassificationEvaluator(predictionCol=f"{prefix}prediction", metricName="f1")
+    return BinaryClassificationEvaluator(rawPredictionCol=f"{prefix}rawPrediction")
+
+
+def fold_of(id_col: str, folds: int, seed: int = CV_SEED) -> F.Column:
+    """Fold number (0 .. folds - 1) of a row, from its id alone."""
+    return hash_unit(id_col, seed) % F.lit(folds)
 
 
 @dataclass
 class CollectionModel:
+    """``kind`` ``constant``: the training rows held one class, ``label``."""
+
     collection_id: str
     kind: str
-    model: PipelineModel
-    cv_auc: float
-    all_auc: dict[str, float]
-
-
-def fit_collection(training: DataFrame, spec: TuningSpec, prefix: str = "") -> CollectionModel | None:
-    """Tune each classifier kind on one collection's training rows and keep
-    the best by mean cross-validated AUC.  ``None`` when the rows hold only
-    one class (nothing to learn)."""
-    labels = {r[0] for r in training.select("label").distinct().collect()}
-    multiclass = "multinomial" in spec.classifiers
-    if (len(labels) < 2) if multiclass else (labels != {0.0, 1.0}):
-        return None
-    cid = training.select("collection_id").first()[0]
+    model: PipelineModel | None
+    cv_auc: float | None
+    all_auc: dict[str, float | None]
+    label: float | None = None
+    folds: int = 0
+
+
+def _regularisations(spec: TuningSpec, kind: str) -> list[float | None]:
+    return list(spec.reg_params) if kind in ("logistic", "multinomial") else [None]
+
+
+def _fit(kind: str, prefix: str, reg: float | None, features: DataFrame):
+    clf = _classifier(kind, prefix)
+    return (clf.copy({clf.regParam: reg}) if reg is not None else clf).fit(features)
+
+
+def _tuned(training: DataFrame, spec: TuningSpec, kind: str, prefix: str) -> tuple[tuple[int, float | None], float | None, int]:
+    """The best cell, its mean metric and the number of folds behind it.
+
+    Only folds whose held-out and remaining rows both hold several classes
+    count: on others the metric says nothing.  Without any such fold the first
+    cell is taken and there is no metric."""
+    spark = training.sparkSession
+    folded = training.withColumn("_fold", fold_of("id", spec.num_folds, spec.seed))
+    classes: dict[int, set] = {}
+    for r in folded.groupBy("_fold", "label").count().collect():
+        classes.setdefault(r["_fold"], set()).add(r["label"])
+    usable = [f for f, own in classes.items() if len(own) > 1 and len(set().union(*(c for g, c in classes.items() if g != f))) > 1]
+    evaluator, metrics = _evaluator(kind, prefix), {}
+
+    def cells(task: tuple[int, int]) -> None:
+        fold, num_features = task
+        htf, idf = _features(spec, num_features, prefix)
+        hashed = htf.transform(folded).persist(StorageLevel.MEMORY_AND_DISK)
+        rest = hashed.filter(F.col("_fold") != fold)
+        fitted = idf.fit(rest)
+        train = fitted.transform(rest).select("label", f"{prefix}features").persist(StorageLevel.MEMORY_AND_DISK)
+        held = fitted.transform(hashed.filter(F.col("_fold") == fold)).select("label", f"{prefix}features").persist(StorageLevel.MEMORY_AND_DISK)
+        for reg in _regularisations(spec, kind):
+            metrics[fold, num_features, reg] = evaluator.evaluate(_fit(kind, prefix, reg, train).transform(held))
+        for df in (held, train, hashed):
+            df.unpersist()
+
+    with ThreadPoolExecutor(max_workers=max(1, spec.parallelism)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(cells), [(f, n) for f in sorted(usable) for n in spec.num_features]))
+    best, best_mean = (spec.num_features[0], _regularisations(spec, kind)[0]), None
+    for n in spec.num_features:
+        for reg in _regularisations(spec, kind):
+            mean = sum(metrics[f, n, reg] for f in usable) / len(usable) if usable else None
+            if mean is not None and (best_mean is None or mean > best_mean):
+                best, best_mean = (n, reg), mean
+    return best, best_mean, len(usable)
+
+
+def fit_collection(training: DataFrame, spec: TuningSpec, collection_id: str, prefix: str = "") -> CollectionModel:
+    """Tune each classifier kind on one collection's training rows (of several
+    classes) and keep the best by mean cross-validated metric."""
     best: CollectionModel | None = None
-    aucs: dict[str, float] = {}
+    metrics: dict[str, float | None] = {}
     for kind in spec.classifiers:
-        cv_model = relevance_cv(spec, kind, prefix).fit(training)
-        auc = float(max(cv_model.avgMetrics))
-        aucs[kind] = auc
-        if best is None or auc > best.cv_auc:
-            best = CollectionModel(cid, kind, cv_model.bestModel, auc, aucs)
+        (num_features, reg), mean, folds = _tuned(training, spec, kind, prefix)
+        metrics[kind] = mean
+        if best is None or (mean if mean is not None else -1.0) > (best.cv_auc if best.cv_auc is not None else -1.0):
+            clf = _classifier(kind, prefix)
+            clf = clf.copy({clf.regParam: reg}) if reg is not None else clf
+            model = Pipeline(stages=[*_features(spec, num_features, prefix), clf]).fit(training)
+            best = CollectionModel(collection_id, kind, model, mean, metrics, folds=folds)
     return best
 
 
-# Rows per partition of a collection's training set during tuning: a small
-# collection is coalesced to one partition (fewer tasks per job), a large
-# one keeps one partition per this many rows.
-TRAINING_ROWS_PER_PARTITION = 200_000
-
-
 def default_concurrency(spark) -> tuple[int, int]:
-    """(collections trained at once, fits per cross-validation at once)."""
+    """(collections trained at once, fits per collection at once)."""
     cores = max(1, spark.sparkContext.defaultParallelism)
     return max(1, cores // 2), max(1, min(8, cores))
 
@@ -138,42 +174,53 @@ def train_collections(
     concurrency: int | None = None,
     prefix: str = "",
 ) -> dict[str, CollectionModel]:
-    """One tuned model per collection of ``training`` (materialised and
-    partitioned by ``collection_id`` so each fit reads only its files).
+    """One model per collection of ``training`` (materialised and partitioned
+    by ``collection_id`` so each fit reads only its files); a collection of one
+    class gets a constant one.
 
-    Only the per-collection row counts (one small aggregate) come to the
-    driver; they size each collection's partitions before tuning."""
+    Only the classes of each collection (one small aggregate) come to the
+    driver."""
     spark = training.sparkSession
     conc, par = default_concurrency(spark)
     spec = spec or TuningSpec(parallelism=par)
-    sizes = {r[0]: r[1] for r in training.groupBy("collection_id").count().collect()}
-
-    def attempt(cid: str):
-        part = training.filter(F.col("collection_id") == cid)
-        want = max(1, -(-sizes[cid] // TRAINING_ROWS_PER_PARTITION))
-        if want < part.rdd.getNumPartitions():
-            part = part.coalesce(want)
-        part = part.persist(StorageLevel.MEMORY_AND_DISK)
+    labels: dict[str, list] = {}
+    for r in training.select("collection_id", "label").distinct().collect():
+        labels.setdefault(r[0], []).append(r[1])
+
+    def run(cid: str) -> CollectionModel:
+        if len(labels[cid]) < 2:
+            return CollectionModel(cid, "constant", None, None, {}, label=labels[cid][0])
+        part = training.filter(F.col("collection_id") == cid).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return fit_collection(part, spec, prefix)
+            return fit_collection(part, spec, cid, prefix)
         finally:
             part.unpersist()
 
-    def run(cid: str):
-        try:
-            return cid, attempt(cid)
-        except Exception as err:  # noqa: BLE001 - one retry of a deterministic fit
-            # Tuning is seeded, so a second attempt gives the same model; a
-            # repeated failure is raised.
-            trace = str(getattr(err, "_stackTrace", "") or "")[:2000]
-            print(f"relevo: tuning {cid!r} failed once, retrying: {err}\n{trace}", file=sys.stderr)
-            return cid, attempt(cid)
-
-    # inheritable_thread_target: each worker thread starts with the caller's
-    # Spark local properties (job group, SQL execution id state, pools).
+    # each worker thread starts with the caller's Spark local properties
+    # (job group, tags, pools)
     with ThreadPoolExecutor(max_workers=max(1, concurrency or conc)) as pool:
-        results = list(pool.map(inheritable_thread_target(run), sorted(sizes)))
-    return {cid: m for cid, m in results if m is not None}
+        results = list(pool.map(inheritable_thread_target(spark)(run), sorted(labels)))
+    return {m.collection_id: m for m in results}
+
+
+def _scored(models: dict[str, CollectionModel], rows: DataFrame, keep: Sequence[str], outputs: dict, constants: dict, fill: dict) -> DataFrame:
+    """``id, collection_id, *keep, *outputs, status`` for every row: each
+    model's rows by its transform (map-only), the rest by their constants."""
+    trained = {cid: m for cid, m in sorted(models.items()) if m.model is not None}
+    common = ["id", "collection_id", *keep]
+    parts = [
+        m.model.transform(rows.filter(F.col("collection_id") == cid)).select(*common, *[c.alias(n) for n, c in outputs.items()], F.lit("trained").alias("status"))
+        for cid, m in trained.items()
+    ]
+    rest = rows.filter(~F.coalesce(F.col("collection_id").isin(list(trained)), F.lit(False))) if trained else rows
+    single = [(cid, float(m.label)) for cid, m in sorted(models.items()) if m.model is None]
+    if single:
+        rest = rest.join(rows.sparkSession.createDataFrame(single, "collection_id string, _label double"), "collection_id", "left")
+    else:
+        rest = rest.withColumn("_label", F.lit(None).cast("double"))
+    status = F.when(F.col("_label").isNotNull(), "one_class").otherwise("untrained")
+    parts.append(rest.select(*common, *[constants.get(n, fill.get(n, F.lit(None).cast("double"))).alias(n) for n in outputs], status.alias("status")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def apply_models(
@@ -182,50 +229,25 @@ def apply_models(
     prefix: str = "",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Apply each collection's model to that collection's rows (map-only) and
-    union: ``id, collection_id, *keep, <prefix>prediction,
-    <prefix>probability_relevant``."""
-    parts = [
-        m.model.transform(rows.filter(F.col("collection_id") == cid)).select(
-            "id",
-            "collection_id",
-            *keep,
-            F.col(f"{prefix}prediction").alias(f"{prefix}prediction"),
-            class_probability(f"{prefix}probability").alias(f"{prefix}probability_relevant"),
-        )
-        for cid, m in sorted(models.items())
-    ]
-    if not parts:
-        extra = "".join(f", {k} string" for k in keep)
-        return rows.sparkSession.createDataFrame(
-            [], f"id string, collection_id string{extra}, {prefix}prediction double, {prefix}probability_relevant double"
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """Each collection's model on that collection's rows: ``id,
+    collection_id, *keep, <prefix>prediction, <prefix>probability_relevant,
+    status``, one row per input row."""
+    outputs = {f"{prefix}prediction": F.col(f"{prefix}prediction"), f"{prefix}probability_relevant": class_probability(f"{prefix}probability")}
+    return _scored(models, rows, keep, outputs, {n: F.col("_label") for n in outputs}, {})
 
 
 def score(models: dict[str, CollectionModel], testing: DataFrame) -> DataFrame:
-    """``id, collection_id, prediction, probability_relevant`` for every text
-    of every trained collection."""
+    """``id, collection_id, prediction, probability_relevant, status`` for
+    every text."""
     return apply_models(models, testing)
 
 
 def apply_multiclass(models: dict[str, CollectionModel], rows: DataFrame) -> DataFrame:
-    """``id, collection_id, prediction`` (class index) and the probability of
-    the predicted class, per trained multi-class collection."""
-    parts = [
-        m.model.transform(rows.filter(F.col("collection_id") == cid)).select(
-            "id",
-            "collection_id",
-            "prediction",
-            F.array_max(vector_to_array("probability")).alias("probability_predicted"),
-        )
-        for cid, m in sorted(models.items())
-    ]
-    if not parts:
-        return rows.sparkSession.createDataFrame(
-            [], "id string, collection_id string, prediction double, probability_predicted double"
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """``id, collection_id, prediction`` (class index), the probability of the
+    predicted class, and ``status``, for every row."""
+    outputs = {"prediction": F.col("prediction"), "probability_predicted": F.array_max(vector_to_array("probability"))}
+    sure = F.when(F.col("_label").isNotNull(), F.lit(1.0))
+    return _scored(models, rows, (), outputs, {"prediction": F.col("_label"), "probability_predicted": sure}, {})
 
 
 def ensemble(
@@ -235,36 +257,22 @@ def ensemble(
     second_prefix: str = "nb_",
 ) -> DataFrame:
     """Average the relevance probabilities of two model sets (the second
-    trained with ``second_prefix`` columns).  Both models run one after the
-    other on the same rows, so no join is needed."""
-    parts = []
-    for cid in sorted(set(first) & set(second)):
-        rows = testing.filter(F.col("collection_id") == cid)
-        a = first[cid].model.transform(rows)
-        b = second[cid].model.transform(a)
-        parts.append(
-            b.select(
-                "id",
-                "collection_id",
-                class_probability("probability").alias("p_first"),
-                class_probability(f"{second_prefix}probability").alias("p_second"),
-            )
-        )
-    if not parts:
-        return testing.sparkSession.createDataFrame(
-            [], "id string, collection_id string, p_first double, p_second double, probability_relevant double, prediction double"
-        )
-    out = reduce(DataFrame.unionByName, parts)
-    avg = (F.col("p_first") + F.col("p_second")) / 2.0
-    return out.withColumn("probability_relevant", avg).withColumn(
-        "prediction", F.when(avg > 0.5, 1.0).otherwise(0.0)
-    )
+    trained with ``second_prefix`` columns) for every text; where only one set
+    knows the collection, its probability counts alone.  Both models run one
+    after the other on the same rows, so no join is needed."""
+    a = apply_models(first, testing, keep=("filtered",)).withColumnsRenamed({"probability_relevant": "p_first", "status": "_s1"})
+    b = apply_models(second, a, second_prefix, keep=("p_first", "_s1"))
+    b = b.withColumnRenamed(f"{second_prefix}probability_relevant", "p_second")
+    avg = F.coalesce((F.col("p_first") + F.col("p_second")) / 2.0, "p_first", "p_second")
+    status = F.when((F.col("_s1") == "trained") | (F.col("status") == "trained"), "trained").when(avg.isNotNull(), "one_class").otherwise("untrained")
+    prediction = F.when(avg > 0.5, 1.0).when(avg.isNotNull(), 0.0)
+    return b.select("id", "collection_id", "p_first", "p_second", avg.alias("probability_relevant"), prediction.alias("prediction"), status.alias("status"))
 
 
 def model_summary(models: dict[str, CollectionModel]) -> list[tuple]:
-    """Small per-collection table of the chosen models (for reports)."""
-    rows = []
-    for cid, m in sorted(models.items()):
-        stages = m.model.stages
-        rows.append((cid, m.kind, float(m.cv_auc), int(stages[0].getNumFeatures())))
-    return rows
+    """Small per-collection table of the chosen models (for reports):
+    collection, kind, metric, hash size, folds."""
+    return [
+        (cid, m.kind, m.cv_auc, None if m.model is None else int(m.model.stages[0].getNumFeatures()), m.folds)
+        for cid, m in sorted(models.items())
+    ]

@@ -2,39 +2,22 @@
 
 from __future__ import annotations
 
+import math
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from relevo.session import materialize
+
 # Fixed value: minimum support of the mining phase.
 MIN_SUPPORT = 0.02
-# With a minimum count of 1 every subset of every transaction is frequent; a
-# transaction of k items alone then yields 2^k - 1 sets.  Above this many
-# items the run is refused up front instead of exhausting memory.
-MAX_ITEMS_AT_COUNT_ONE = 24
-
-
-class ItemsetExplosion(ValueError):
-    """The requested support makes the result provably exponential."""
-
-
-def _check_output_bound(transactions: DataFrame, min_support: float, items_col: str, by: str) -> None:
-    """Exact lower bound on the output: per collection, if ``ceil(s * n) <= 1``
-    then the largest transaction's power set is part of the result."""
-    per = transactions.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size(items_col)).alias("k")
-    )
-    bad = per.filter(
-        (F.ceil(F.lit(min_support) * F.col("n")) <= 1) & (F.col("k") > MAX_ITEMS_AT_COUNT_ONE)
-    ).limit(1).collect()
-    if bad:
-        r = bad[0]
-        raise ItemsetExplosion(
-            f"collection {r[by]!r}: min support {min_support} of {r['n']} texts is a count of 1, "
-            f"so a {r['k']}-item text alone gives 2^{r['k']} - 1 frequent sets; raise min_support"
-        )
+# Fewest texts of a frequent set, whatever the support.  With 1, every subset
+# of every text is frequent in a collection of few texts.
+MIN_COUNT = 1
 
 
 def frequent_itemsets(
@@ -43,32 +26,42 @@ def frequent_itemsets(
     items_col: str = "items",
     by: str = "collection_id",
     num_partitions: int | None = None,
+    min_count: int = MIN_COUNT,
 ) -> DataFrame:
-    """Word sets occurring in at least ``ceil(min_support * n)`` texts of their
-    collection: ``collection_id, items (sorted), freq``.
+    """Word sets occurring in at least ``max(ceil(min_support * n),
+    min_count)`` texts of their collection: ``collection_id, items (sorted),
+    freq``.
 
     Runs Spark's distributed FP-growth once per collection (support is
-    relative to each collection's size); only the list of collection ids comes
-    to the driver.  ``transactions`` should be materialised partitioned by
-    collection so that each run reads only its own files.
+    relative to each collection's size), several collections at a time; only
+    the collections' sizes come to the driver.  ``transactions`` should be
+    materialised partitioned by collection so that each run reads only its own
+    files.  The sets are mined here, once, and written to the shared folder;
+    what reads the result doesn't mine again.
     """
-    _check_output_bound(transactions, min_support, items_col, by)
-    ids = sorted(r[0] for r in transactions.select(by).distinct().collect())
-    parts = []
-    for cid in ids:
-        fp = FPGrowth(itemsCol=items_col, minSupport=min_support)
+    spark = transactions.sparkSession
+    sizes = {r[0]: r[1] for r in transactions.groupBy(by).count().collect()}
+
+    def mine(cid: str) -> DataFrame:
+        n = sizes[cid]
+        # the support that FP-growth turns back into the wanted count
+        least = max(math.ceil(min_support * n), min_count)
+        fp = FPGrowth(itemsCol=items_col, minSupport=min(1.0, (least - 0.5) / n))
         if num_partitions:
             fp = fp.setNumPartitions(num_partitions)
         model = fp.fit(transactions.filter(F.col(by) == cid).select(items_col))
-        parts.append(
-            model.freqItemsets.select(
+        return materialize(
+            model.freqItemsets.filter(F.col("freq") >= least).select(
                 F.lit(cid).alias(by),
                 F.array_sort("items").alias("items"),
                 F.col("freq").cast("long").alias("freq"),
-            )
+            ),
+            "itemsets",
         )
+
+    with ThreadPoolExecutor(max_workers=max(1, spark.sparkContext.defaultParallelism // 2)) as pool:
+        parts = list(pool.map(inheritable_thread_target(spark)(mine), sorted(sizes)))
     if not parts:
-        spark = transactions.sparkSession
         return spark.createDataFrame([], f"{by} string, items array<string>, freq long")
     return reduce(DataFrame.unionByName, parts)
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relevo.operators.labeling import label_flags, positive_stats, testing_set, training_set
+from relevo.operators.labeling import label_flags, positive_stats, sample_training
 from relevo.operators.model import (
     CollectionModel,
     TuningSpec,
@@ -18,11 +18,12 @@ from relevo.operators.model import (
     score,
     train_collections,
 )
-from relevo.operators.patterns import MIN_SUPPORT, frequent_itemsets
+from relevo.operators.patterns import MIN_COUNT, MIN_SUPPORT, frequent_itemsets
 from relevo.operators.preprocess import prepare_texts, transactions
 from relevo.operators.report import histogram, training_error
 from relevo.session import materialize
 from relevo.sources.cells import select_collections
+from relevo.sources.models import save_models
 from relevo.sources.sinks import write_patterns, write_predictions_tsv
 
 
@@ -32,14 +33,15 @@ def mine_patterns(
     min_support: float = MIN_SUPPORT,
     out_path: str | None = None,
     run_ts: str | None = None,
+    min_count: int = MIN_COUNT,
 ) -> DataFrame:
     """J1: cleaned texts (``id, collection_id, text``) -> frequent word sets
     per collection (``collection_id, items, freq``); optionally written as
     pattern files."""
     if config is not None:
         texts = select_collections(texts, config.select("collection_id"))
-    tx = materialize(transactions(prepare_texts(texts)), "transactions", ["collection_id"])
-    sets = frequent_itemsets(tx, min_support=min_support)
+    tx = transactions(prepare_texts(texts), keep=("collection_id",))
+    sets = frequent_itemsets(materialize(tx, "transactions", ["collection_id"]), min_support=min_support, min_count=min_count)
     if out_path:
         write_patterns(sets, out_path, run_ts or "run")
     return sets
@@ -52,11 +54,10 @@ class Classification:
     models: dict[str, CollectionModel]
     stats: DataFrame
     spec: TuningSpec
-    feature_col: str = "words"
     _scores: DataFrame | None = field(default=None, repr=False)
 
     def testing(self) -> DataFrame:
-        return testing_set(self.prepared, self.feature_col)
+        return self.prepared.select("id", "collection_id", "filtered")
 
     def scores(self) -> DataFrame:
         """Scores of every text, computed once and written under the
@@ -73,10 +74,10 @@ class Classification:
         err = training_error(self.training_predictions(), self.stats)
         spark = self.training.sparkSession
         aucs = spark.createDataFrame(
-            [(cid, m.kind, float(m.cv_auc)) for cid, m in sorted(self.models.items())],
+            [(cid, m.kind, m.cv_auc) for cid, m in sorted(self.models.items())],
             "collection_id string, classifier string, cv_auc double",
         )
-        return err.join(F.broadcast(aucs), "collection_id", "left")
+        return err.join(aucs, "collection_id", "left")
 
 
 def classify(
@@ -88,27 +89,26 @@ def classify(
     concurrency: int | None = None,
     predictions_path: str | None = None,
     run_ts: str | None = None,
+    models_path: str | None = None,
 ) -> Classification:
     """J2: cleaned texts + config -> weak labels -> one tuned model per
     collection -> scores for every text.
 
-    Prepared texts and the training set are written once under the
-    checkpoint folder, partitioned by collection, so the model loop reads
-    only each collection's files and never recomputes the cleaning.
+    The tokens and label flags are written once under the checkpoint folder
+    (neither texts nor a second token column), partitioned by collection, so
+    the model loop reads only each collection's files and never recomputes the
+    cleaning.
     """
     spec = spec or TuningSpec(parallelism=default_concurrency(texts.sparkSession)[1])
-    prepared = select_collections(prepare_texts(texts), config)
-    prepared = materialize(
-        prepared.select("id", "collection_id", "text", "words", "filtered", "pattern"),
-        "prepared",
-        ["collection_id"],
-    )
-    train = materialize(
-        training_set(prepared, feature_col=feature_col, balanced=balanced), "training", ["collection_id"]
-    )
-    stats = positive_stats(label_flags(prepared))
+    flagged = label_flags(select_collections(prepare_texts(texts), config))
+    flagged = flagged.select("id", "collection_id", "is_positive", "is_candidate", F.col(feature_col).alias("filtered"))
+    prepared = materialize(flagged, "prepared", ["collection_id"])
+    train = sample_training(prepared, balanced=balanced).select("id", "collection_id", "filtered", "label")
+    train = materialize(train, "training", ["collection_id"])
     models = train_collections(train, spec, concurrency=concurrency)
-    result = Classification(prepared, train, models, stats, spec, feature_col)
+    if models_path:
+        save_models(models, models_path)
+    result = Classification(prepared, train, models, positive_stats(prepared), spec)
     if predictions_path:
         write_predictions_tsv(result.scores(), predictions_path, run_ts or "run")
     return result

@@ -11,17 +11,18 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from relevo.operators.labeling import multiclass_training_set, testing_set
 from relevo.operators.model import TuningSpec, apply_multiclass, default_concurrency, ensemble, train_collections
 from relevo.operators.report import relevance_share
 from relevo.plans.jobs import Classification, classify, score_histograms
-from relevo.plans.queries import DOCUMENT_PATTERN, cleaned_documents, language_documents
+from relevo.plans.queries import DOCUMENT_PATTERN, RUN_STAMP, cleaned_documents, language_documents
 from relevo.session import checkpoint_dir, materialize
 from relevo.sources.config import config_for_texts
 from relevo.sources.sinks import read_predictions_tsv, score_cells, write_predictions_tsv
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _RUNS: dict[tuple, object] = {}
 
 
@@ -29,10 +30,19 @@ def _cached(spark: SparkSession, sf_dir: str, kind: str, build):
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
     with _LOCK:
         if key not in _RUNS:
+            # one folder's runs at a time
+            for old in [k for k in _RUNS if k[:2] != key[:2]]:
+                del _RUNS[old]
             _RUNS[key] = build()
         return _RUNS[key]
 
 
+def release_runs() -> None:
+    """Forget trained runs, so that the next query trains anew."""
+    with _LOCK:
+        _RUNS.clear()
+
+
 def document_classification(spark: SparkSession, sf_dir: str) -> Classification:
     def build() -> Classification:
         texts = cleaned_documents(spark, sf_dir)
@@ -69,19 +79,26 @@ def q_relevance_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_classifier_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per collection: cross-validated AUC of logistic regression and naive
-    Bayes and the better of the two."""
-    lr = document_classification(spark, sf_dir).models
-    nb = _naive_bayes(spark, sf_dir)
-    rows = []
-    for cid in sorted(set(lr) | set(nb)):
-        a = float(lr[cid].cv_auc) if cid in lr else None
-        b = float(nb[cid].cv_auc) if cid in nb else None
-        best = "logistic" if b is None or (a is not None and a >= b) else "naive_bayes"
-        rows.append((cid, a, b, best))
-    return spark.createDataFrame(
-        rows, "collection_id string, logistic_auc double, naive_bayes_auc double, best string"
-    )
+    """Per collection of the texts: cross-validated AUC of logistic regression
+    and naive Bayes and the better of the two (null where neither was tuned)."""
+    run = document_classification(spark, sf_dir)
+    metric = "collection_id string, kind string, auc double"
+    pairs = [("logistic", run.models), ("naive_bayes", _naive_bayes(spark, sf_dir))]
+    tuned = spark.createDataFrame([(cid, kind, m.cv_auc) for kind, models in pairs for cid, m in sorted(models.items())], metric)
+    wide = tuned.groupBy("collection_id").pivot("kind", ["logistic", "naive_bayes"]).agg(F.max("auc"))
+    wide = run.prepared.select("collection_id").distinct().join(wide, "collection_id", "left")
+    a, b = F.col("logistic"), F.col("naive_bayes")
+    best = F.when(a.isNull() & b.isNull(), None).when(b.isNull() | (a >= b), "logistic").otherwise("naive_bayes")
+    return wide.select("collection_id", a.alias("logistic_auc"), b.alias("naive_bayes_auc"), best.alias("best"))
+
+
+def q_scored_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with what its score rests on."""
+    return document_classification(spark, sf_dir).scores().select("id", "collection_id", "status")
+
+
+def q_multiclass_scored_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q_multiclass_scores(spark, sf_dir).select("id", "collection_id", "status")
 
 
 def q_ensemble_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +111,7 @@ def q_prediction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     collection and run stamp) written and read back."""
     run = document_classification(spark, sf_dir)
     path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/predictions-{uuid.uuid4().hex}"
-    write_predictions_tsv(run.scores(), path, run_ts="20160420-182946")
+    write_predictions_tsv(run.scores(), path, run_ts=RUN_STAMP)
     return read_predictions_tsv(spark, path).select("id", "Probability", "collection_id", "run_ts")
 
 
@@ -105,18 +122,27 @@ def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_document_stream(spark, sf_dir, run)
 
 
+def _multiclass(spark: SparkSession, sf_dir: str):
+    """(tokens of every text, models) of the documents by language."""
+
+    def build():
+        prepared = materialize(
+            language_documents(spark, sf_dir).select("id", "collection_id", "text", "words", "filtered", "pattern").drop("text"),
+            "language_prepared",
+            ["collection_id"],
+        )
+        train = multiclass_training_set(prepared.withColumn("text", F.lit(None).cast("string"))).drop("text")
+        spec = TuningSpec(classifiers=("multinomial",), parallelism=default_concurrency(spark)[1])
+        return prepared, train_collections(materialize(train, "language_training", ["collection_id"]), spec)
+
+    return _cached(spark, sf_dir, "multiclass", build)
+
+
 def q_multiclass_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-class collections (documents by language): multinomial logistic
     regression tuned per collection by cross-validated F1; predicted class
     and its probability for every text."""
-    prepared = materialize(
-        language_documents(spark, sf_dir).select("id", "collection_id", "text", "words", "filtered", "pattern"),
-        "language_prepared",
-        ["collection_id"],
-    )
-    train = materialize(multiclass_training_set(prepared), "language_training", ["collection_id"])
-    spec = TuningSpec(classifiers=("multinomial",), parallelism=default_concurrency(spark)[1])
-    models = train_collections(train, spec)
+    prepared, models = _multiclass(spark, sf_dir)
     return apply_multiclass(models, testing_set(prepared))
 
 
@@ -131,4 +157,6 @@ MODEL_QUERIES = {
     "prediction_files": q_prediction_files,
     "stream_scores": q_stream_scores,
     "multiclass_scores": q_multiclass_scores,
+    "scored_ids": q_scored_ids,
+    "multiclass_scored_ids": q_multiclass_scored_ids,
 }

@@ -10,8 +10,16 @@ from __future__ import annotations
 
 from relevo.functions.stopwords import ENGLISH_STOP_WORDS
 from relevo.operators.labeling import HASH_RANGE, SAMPLE_SEED
-from relevo.operators.patterns import MIN_SUPPORT
-from relevo.plans.queries import AUDIT_K, DOCUMENT_PATTERN, LANGUAGE_CLASSES, SHORTLIST_K
+from relevo.operators.model import CV_SEED, NUM_FOLDS
+from relevo.plans.queries import (
+    AUDIT_K,
+    DOCUMENT_PATTERN,
+    LANGUAGE_CLASSES,
+    MINING_MIN_COUNT,
+    MINING_SUPPORT,
+    RUN_STAMP,
+    SHORTLIST_K,
+)
 
 # Fixed values, RE2 spelling of the patterns in relevo.functions.text.
 _PAT = r"(@[A-Za-z0-9]+)|([^0-9A-Za-z \t])|([0-9A-Za-z_]+://[^ \t\n\x0B\f\r]+)"
@@ -19,8 +27,6 @@ _HTML_BLOCK = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>
 _HTML_TAG = r"(?s)<[^>]*>"
 _HTML_ENTITY = r"&(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
 _LINE_BLANKS = r"[\t\n\x0B\f\r \x{1c}-\x{1f}\x{85}\pZ]"
-# Largest item-set size the unrolled oracle enumerates.
-_MAX_SET_SIZE = 8
 
 
 def _lit(s: str) -> str:
@@ -54,8 +60,8 @@ def unique(x: str) -> str:
     return f"list_sort(list_distinct(list_filter({x}, lambda w: w <> '')))"
 
 
-def hash_unit(x: str) -> str:
-    return f"('0x' || substr(md5('{SAMPLE_SEED}:' || {x}), 1, 8))::BIGINT"
+def hash_unit(x: str, seed: int = SAMPLE_SEED) -> str:
+    return f"('0x' || substr(md5('{seed}:' || {x}), 1, 8))::BIGINT"
 
 
 def strip_html(x: str) -> str:
@@ -76,18 +82,25 @@ p AS (SELECT *, {no_stop_words('words')} AS filtered FROM w)
 DOCS = _docs("source")
 
 
-def _multiclass() -> str:
+def _multiclass(scored: bool = False) -> str:
     classes = ["[" + ", ".join(_lit(w) for w in c.split(" ")) + "]::VARCHAR[]" for c in LANGUAGE_CLASSES]
     hits = "[" + ", ".join(f"list_has_all(filtered, {c})" for c in classes) + "]"
     any_words = " OR ".join(f"list_has_all(words, {c})" for c in classes)
     return f"""WITH {_docs('lang')},
 l AS (SELECT p.*, coalesce(list_position({hits}, true), 0) AS cls, NOT ({any_words}) AS cand,
              {hash_unit('id')} AS h FROM p),
-g AS (SELECT collection_id, count(*) FILTER (WHERE cls > 0)::DOUBLE / count(*) AS f FROM l GROUP BY collection_id)
-SELECT id, collection_id, cls::DOUBLE AS label, len(words)::BIGINT AS n_features
+g AS (SELECT collection_id, count(*) FILTER (WHERE cls > 0)::DOUBLE / count(*) AS f FROM l GROUP BY collection_id),
+t AS (SELECT id, collection_id, cls::DOUBLE AS label, len(words)::BIGINT AS n_features
 FROM l JOIN g USING (collection_id)
-WHERE cls > 0 OR (cand AND h < coalesce(f, 0.0) * {float(HASH_RANGE)})
-"""
+WHERE cls > 0 OR (cand AND h < coalesce(f, 0.0) * {float(HASH_RANGE)}))
+""" + (_STATUS if scored else "SELECT id, collection_id, label, n_features FROM t")
+
+
+# What the score of every text rests on: the classes among its collection's
+# training rows.
+_STATUS = """, k AS (SELECT collection_id, count(DISTINCT label) AS k FROM t GROUP BY collection_id)
+SELECT p.id, p.collection_id, CASE coalesce(k, 0) WHEN 0 THEN 'untrained' WHEN 1 THEN 'one_class' ELSE 'trained' END AS status
+FROM p LEFT JOIN k USING (collection_id)"""
 
 LABELS = f"""
 l AS (SELECT p.*, list_has_all(filtered, {_PATTERN}) AS pos, NOT list_has_all(words, {_PATTERN}) AS cand,
@@ -110,32 +123,23 @@ t AS (SELECT l.id, l.collection_id, CASE WHEN pos THEN 1.0 ELSE 0.0 END::DOUBLE
 
 
 def _itemsets() -> str:
-    levels = [
-        """
-u AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id, role AS collection_id, text AS raw
-      FROM conversations WHERE role = 'user'),"""
-        + f"""
+    """Sets grown by one larger word at a time, as long as they are frequent."""
+    return f"""
+WITH RECURSIVE u AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id, role AS collection_id, text AS raw
+      FROM conversations),
 uc AS (SELECT id, collection_id, {clean('raw')} AS text FROM u),
 uw AS (SELECT *, {no_stop_words(tokenize('text'))} AS filtered FROM uc),
 e AS (SELECT DISTINCT id, collection_id, x AS w FROM uw, unnest(filtered) AS t(x) WHERE x <> ''),
-th AS (SELECT collection_id, ceil({MIN_SUPPORT} * count(*)) AS m FROM uc GROUP BY collection_id),
-f1 AS (SELECT e.collection_id, [e.w] AS items, count(*) AS freq FROM e JOIN th USING (collection_id)
-       GROUP BY e.collection_id, e.w, th.m HAVING count(*) >= th.m),
-o1 AS (SELECT e.id, e.collection_id, [e.w] AS items, e.w AS last FROM e
-       JOIN f1 ON f1.collection_id = e.collection_id AND f1.items = [e.w])"""
-    ]
-    for k in range(2, _MAX_SET_SIZE + 1):
-        levels.append(
-            f""",
-c{k} AS (SELECT o.id, o.collection_id, list_append(o.items, x.last) AS items, x.last
-        FROM o{k - 1} o JOIN o1 x ON o.id = x.id AND x.last > o.last),
-f{k} AS (SELECT c.collection_id, c.items, count(*) AS freq FROM c{k} c JOIN th USING (collection_id)
-        GROUP BY c.collection_id, c.items, th.m HAVING count(*) >= th.m),
-o{k} AS (SELECT c.* FROM c{k} c SEMI JOIN f{k} f ON f.collection_id = c.collection_id AND f.items = c.items)"""
-        )
-    union = " UNION ALL ".join(f"SELECT * FROM f{k}" for k in range(1, _MAX_SET_SIZE + 1))
-    return "WITH" + "".join(levels) + f""",
-fs AS ({union})
+th AS (SELECT collection_id, greatest(ceil({MINING_SUPPORT} * count(*)), {MINING_MIN_COUNT}) AS m FROM uc GROUP BY collection_id),
+f1 AS (SELECT e.collection_id, e.w FROM e JOIN th USING (collection_id) GROUP BY e.collection_id, e.w, th.m HAVING count(*) >= th.m),
+o1 AS MATERIALIZED (SELECT e.id, e.collection_id, [e.w] AS items, e.w AS last FROM e SEMI JOIN f1 ON f1.collection_id = e.collection_id AND f1.w = e.w),
+grown AS (SELECT id, collection_id, items, last FROM o1
+  UNION ALL
+  SELECT id, collection_id, items, last FROM (
+    SELECT *, count(*) OVER (PARTITION BY collection_id, items) AS n FROM (
+      SELECT g.id, g.collection_id, list_append(g.items, x.last) AS items, x.last
+      FROM grown g JOIN o1 x ON g.id = x.id AND g.collection_id = x.collection_id AND x.last > g.last)) JOIN th USING (collection_id) WHERE n >= m),
+fs AS (SELECT collection_id, items, count(*) AS freq FROM grown GROUP BY collection_id, items)
 """
 
 
@@ -196,6 +200,13 @@ FROM dl FULL OUTER JOIN rw ON dl.collection_id = rw.collection_id
 """
 
 
+def _labelled() -> str:
+    return f"""
+WITH q AS (SELECT source AS collection_id, quality::DOUBLE AS label, {hash_unit('CAST(doc_id AS VARCHAR)')} / {float(HASH_RANGE)} AS probability
+      FROM documents JOIN labels USING (doc_id)),
+s AS (SELECT *, CASE WHEN probability > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM q)"""
+
+
 def _lines() -> str:
     strip = f"regexp_replace(value, '^{_LINE_BLANKS}+|{_LINE_BLANKS}+$', '', 'g')"
     return f"""
@@ -248,5 +259,27 @@ FROM tm, n GROUP BY term""",
         FROM fs WHERE len(items) BETWEEN 2 AND 4)
 SELECT collection_id, rank::BIGINT AS rank, items, freq FROM r WHERE rank <= {SHORTLIST_K}""",
         "event_histogram": _histogram(),
+        "pattern_file_lines": _itemsets()
+        + """SELECT collection_id, row_number() OVER (PARTITION BY collection_id ORDER BY freq DESC, items DESC)::BIGINT AS line_no,
+       CAST(freq AS VARCHAR) || ' ' || array_to_string(items, ' ') AS line FROM fs""",
+        "prediction_roundtrip": f"""SELECT CAST(event_id AS VARCHAR) AS id, event_type AS collection_id, '{RUN_STAMP}' AS run_ts,
+       CAST(value AS DOUBLE) AS probability FROM events""",
+        "score_cell_rows": """SELECT CAST(event_id AS VARCHAR) AS row_key, 'classification' AS column_family, 'probability2' AS qualifier,
+       CAST(value AS DOUBLE) AS value FROM events""",
+        "run_names": """SELECT event_id, strftime(ts, '%Y%m%d-%H%M%S') || '_' || CAST(event_id AS VARCHAR) || '_' || event_type AS output_name FROM events""",
+        "fold_numbers": f"""WITH d AS (SELECT source || '-' || CAST(doc_id AS VARCHAR) AS id, source AS collection_id FROM documents)
+SELECT id, collection_id, {hash_unit('id', CV_SEED)} % {NUM_FOLDS} AS fold FROM d""",
+        "vector_probability": "SELECT event_id, CAST(value AS DOUBLE) AS probability FROM events WHERE value IS NOT NULL",
+        "label_error": _labelled() + """, n AS (SELECT source AS collection_id, count(*) AS n_texts FROM documents GROUP BY source)
+SELECT collection_id, any_value(n_texts) AS n_texts, count(*) AS n_training, count(*) FILTER (label <> prediction) AS n_wrong,
+       round(count(*) FILTER (label <> prediction)::DOUBLE / any_value(n_texts), 6) AS error_all_texts,
+       round(count(*) FILTER (label <> prediction)::DOUBLE / count(*), 6) AS error_training
+FROM s JOIN n USING (collection_id) GROUP BY collection_id""",
+        "label_share": _labelled() + """
+SELECT collection_id, count(*) AS n_texts, count(*) FILTER (prediction = 1.0) AS n_relevant,
+       round(avg(prediction), 6) AS relevant_share, round(avg(probability), 6) AS mean_probability
+FROM s GROUP BY collection_id""",
+        "scored_ids": _training("positive_fraction") + _STATUS,
+        "multiclass_scored_ids": _multiclass(scored=True),
     }
     return sql

@@ -4,33 +4,47 @@ over the whole test tables.  Computed columns carry the same names as in
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relevo.functions.formats import itemset_line, parse_cell
+from relevo.functions.formats import class_probability, itemset_line, output_name, parse_cell
 from relevo.functions.text import clean_text, strip_html
 from relevo.operators.features import term_idf
 from relevo.operators.labeling import (
+    HASH_RANGE,
+    hash_unit,
     label_flags,
     multiclass_training_set,
     positive_stats,
+    sample_training,
     testing_set,
-    training_set,
 )
-from relevo.operators.patterns import MIN_SUPPORT, frequent_itemsets, shortlist
+from relevo.operators.model import NUM_FOLDS, fold_of
+from relevo.operators.patterns import shortlist
 from relevo.operators.preprocess import prepare_texts, transactions
-from relevo.operators.report import audit_sample, histogram
+from relevo.operators.report import audit_sample, histogram, relevance_share, training_error
 from relevo.plans import tables
-from relevo.session import materialize
+from relevo.plans.jobs import mine_patterns
+from relevo.session import checkpoint_dir, materialize
 from relevo.sources.cells import cells_to_texts, load_cells, select_collections
 from relevo.sources.config import config_for_texts
 from relevo.sources.lines import parse_lines
+from relevo.sources.sinks import numbered_lines, read_predictions_tsv, score_cells, write_predictions_tsv, write_score_cells
 
 # Pattern chosen for every document collection of the test data (what a
 # person would put in the config after reading the mined sets).
 DOCUMENT_PATTERN = ("ing", "tion")
 SHORTLIST_K = 10
 AUDIT_K = 5
+# Support and least count of the mining queries (long assistant turns make the
+# default support explode; the job's default stays as it is).
+MINING_SUPPORT = 0.1
+MINING_MIN_COUNT = 2
+# Run stamp of the queries that write files.
+RUN_STAMP = "20240102-030405"
 # Multi-class collections: documents grouped by language, one word set per
 # class (space-joined); class 0 = none of them.
 LANGUAGE_CLASSES = ("ing tion", "les des", "der die")
@@ -45,19 +59,20 @@ def prepared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_texts(cleaned_documents(spark, sf_dir))
 
 
-def configured_documents(spark: SparkSession, sf_dir: str, reused: bool = False) -> DataFrame:
-    """Prepared documents with their collection's config row (pattern).
-
-    ``reused``: the caller reads the result twice (fractions, then the
-    sample), so it is written once under the checkpoint folder instead of
-    cleaning every text twice."""
+def configured_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared documents with their collection's config row (pattern)."""
     prepared = prepared_documents(spark, sf_dir)
     config = config_for_texts(prepared, DOCUMENT_PATTERN)
-    out = select_collections(prepared, config, key_col="id")
-    if reused:
-        cols = ["id", "collection_id", "text", "words", "filtered", "pattern"]
-        out = materialize(out.select(*cols), "configured_documents", ["collection_id"])
-    return out
+    return select_collections(prepared, config, key_col="id")
+
+
+def flagged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrow label table ``id, collection_id, is_positive, is_candidate,
+    n_features``, written once: the fractions and the sample both read it, and
+    no text is written or shuffled."""
+    flagged = label_flags(configured_documents(spark, sf_dir))
+    narrow = flagged.select("id", "collection_id", "is_positive", "is_candidate", F.size("words").cast("long").alias("n_features"))
+    return materialize(narrow, "flagged_documents")
 
 
 def language_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,8 +180,8 @@ def q_positive_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _training(spark: SparkSession, sf_dir: str, balanced: bool) -> DataFrame:
-    t = training_set(configured_documents(spark, sf_dir, reused=True), balanced=balanced)
-    return t.select("id", "collection_id", "label", F.size("filtered").cast("long").alias("n_features"))
+    t = sample_training(flagged_documents(spark, sf_dir), balanced=balanced)
+    return t.select("id", "collection_id", "label", "n_features")
 
 
 def q_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +203,7 @@ def q_testing_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = training_set(configured_documents(spark, sf_dir, reused=True))
+    t = sample_training(flagged_documents(spark, sf_dir))
     return audit_sample(t, "label", k=AUDIT_K).select(
         "collection_id", "label", F.col("sample_rank").cast("long").alias("sample_rank"), "id"
     )
@@ -202,15 +217,16 @@ def q_term_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idf.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
-def mined_user_turns(spark: SparkSession, sf_dir: str, min_support: float = MIN_SUPPORT) -> DataFrame:
-    turns = tables.user_turns(spark, sf_dir)
+def mined_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item sets of all conversation turns, one collection per role, mined
+    once per session and table folder."""
+    turns = tables.conversation_turns(spark, sf_dir)
     cleaned = turns.select("id", "collection_id", clean_text("raw").alias("text"))
-    tx = materialize(transactions(prepare_texts(cleaned)), "user_turn_items", ["collection_id"])
-    return frequent_itemsets(tx, min_support=min_support)
+    return mine_patterns(cleaned, min_support=MINING_SUPPORT, min_count=MINING_MIN_COUNT)
 
 
 def q_frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = mined_user_turns(spark, sf_dir)
+    sets = mined_turns(spark, sf_dir)
     return sets.select(
         "collection_id",
         _joined("items").alias("items"),
@@ -221,7 +237,7 @@ def q_frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_pattern_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = shortlist(mined_user_turns(spark, sf_dir), k=SHORTLIST_K)
+    sets = shortlist(mined_turns(spark, sf_dir), k=SHORTLIST_K)
     return sets.select("collection_id", F.col("rank").cast("long").alias("rank"), _joined("items").alias("items"), "freq")
 
 
@@ -230,6 +246,85 @@ def q_event_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram(ev, "value", "event_type")
 
 
+# --- sinks and reports on a given score -------------------------------------
+
+
+def q_pattern_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the pattern files with their number in the file."""
+    return numbered_lines(mined_turns(spark, sf_dir))
+
+
+def _event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores taken from ``events``: value as the probability."""
+    ev = tables.read_table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("event_id").cast("string").alias("id"),
+        F.col("event_type").alias("collection_id"),
+        F.col("value").cast("double").alias("probability_relevant"),
+    )
+
+
+def q_prediction_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction files written and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/predictions-{uuid.uuid4().hex}"
+    write_predictions_tsv(_event_scores(spark, sf_dir), path, run_ts=RUN_STAMP)
+    back = read_predictions_tsv(spark, path)
+    return back.select("id", "collection_id", "run_ts", F.col("Probability").alias("probability"))
+
+
+def q_score_cell_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score cells written twice for one run and read back (once)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/cells-{uuid.uuid4().hex}/run_ts={RUN_STAMP}"
+    scores = _event_scores(spark, sf_dir)
+    write_score_cells(scores, path)
+    write_score_cells(scores, path)
+    cells = spark.read.schema(score_cells(scores).schema).parquet(path)
+    return cells.select("row_key", "column_family", "qualifier", F.col("value").cast("double").alias("value"))
+
+
+def q_run_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Output names of runs stamped with the events' times."""
+    ev = tables.read_table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    return ev.select("event_id", output_name("ts", F.col("event_id").cast("string"), kind).alias("output_name"))
+
+
+def q_fold_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-validation fold of every document."""
+    t = tables.document_texts(spark, sf_dir)
+    return t.select("id", "collection_id", fold_of("id", NUM_FOLDS).cast("long").alias("fold"))
+
+
+def q_vector_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class probability picked out of a vector built from columns."""
+    ev = tables.read_table(spark, sf_dir, "events")
+    vector = array_to_vector(F.array(-F.col("value").cast("double"), F.col("value").cast("double")))
+    return ev.filter("value is not null").select("event_id", class_probability(vector).alias("probability"))
+
+
+def _labelled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A documented score for the labelled documents: the hash of the id as
+    the probability, ``quality`` as the label."""
+    d = tables.read_table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("collection_id"))
+    labels = tables.read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    p = hash_unit("id") / F.lit(float(HASH_RANGE))
+    rows = d.join(labels, "doc_id").select(F.col("doc_id").cast("string").alias("id"), "collection_id", "label")
+    return rows.withColumn("probability_relevant", p).withColumn("prediction", F.when(F.col("probability_relevant") > 0.5, 1.0).otherwise(0.0))
+
+
+def q_label_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Misclassified rows per collection for the documented score."""
+    texts = tables.read_table(spark, sf_dir, "documents").groupBy(F.col("source").alias("collection_id")).agg(F.count(F.lit(1)).alias("n_texts"))
+    out = training_error(_labelled_scores(spark, sf_dir), texts)
+    return out.select("collection_id", "n_texts", "n_training", "n_wrong", *[F.round(c, 6).alias(c) for c in ("error_all_texts", "error_training")])
+
+
+def q_label_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share predicted relevant per collection for the documented score."""
+    out = relevance_share(_labelled_scores(spark, sf_dir))
+    return out.select("collection_id", "n_texts", "n_relevant", *[F.round(c, 6).alias(c) for c in ("relevant_share", "mean_probability")])
+
+
 SQL_CHECKED = {
     "clean_text": q_clean_text,
     "tokens": q_tokens,
@@ -249,4 +344,12 @@ SQL_CHECKED = {
     "frequent_itemsets": q_frequent_itemsets,
     "pattern_shortlist": q_pattern_shortlist,
     "event_histogram": q_event_histogram,
+    "pattern_file_lines": q_pattern_file_lines,
+    "prediction_roundtrip": q_prediction_roundtrip,
+    "score_cell_rows": q_score_cell_rows,
+    "run_names": q_run_names,
+    "fold_numbers": q_fold_numbers,
+    "vector_probability": q_vector_probability,
+    "label_error": q_label_error,
+    "label_share": q_label_share,
 }

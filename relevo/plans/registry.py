@@ -6,14 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from relevo.plans.model_queries import MODEL_QUERIES
 from relevo.plans.queries import SQL_CHECKED
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = dict(SQL_CHECKED)
-    try:
-        from relevo.plans.model_queries import MODEL_QUERIES
-    except ImportError:
-        MODEL_QUERIES = {}
-    out.update(MODEL_QUERIES)
-    return out
+    return {**SQL_CHECKED, **MODEL_QUERIES}

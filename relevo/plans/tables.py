@@ -1,8 +1,8 @@
 """Roles of the driver's test tables.
 
 * ``documents``: texts with row key ``<source>-<doc_id>``; collection = source.
-* ``conversations`` (user turns): short texts ("tweets") for item-set mining;
-  row key ``<conv_id>-<turn>``, one collection ``user``.
+* ``conversations``: short texts ("tweets") for item-set mining; row key
+  ``<conv_id>-<turn>``, one collection per role.
 * wide-column cells and tab-separated lines are rendered from ``documents`` by
   Spark itself, so their work grows with the table.
 * ``pages``: raw web pages; ``events``: numeric values and JSON properties.
@@ -33,10 +33,11 @@ def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, collection_id, raw`` for the user turns of ``conversations``."""
+def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, collection_id, raw`` for every turn of ``conversations``; the
+    role is the collection."""
     c = read_table(spark, sf_dir, "conversations")
-    return c.filter(F.col("role") == "user").select(
+    return c.select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
         F.col("role").alias("collection_id"),
         F.col("text").alias("raw"),

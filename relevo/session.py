@@ -65,7 +65,8 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
 
     This cuts the lineage (a lost executor re-reads the written files instead
     of recomputing) and, with ``partition_by``, lets per-collection reads prune
-    partitions.
+    partitions.  The written schema is read back as it was, so partition
+    values keep their type (id ``007`` stays a string).
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/{name}-{uuid.uuid4().hex}"
@@ -78,18 +79,16 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an under-split input over the cluster before CPU-heavy row work.
-
-    A scan gives one task per file split; a table stored as one large row
-    group (or an unsplittable file) would run all cleaning in one task.  When
-    the scan has fewer partitions than the session's parallelism the rows are
-    redistributed round-robin; a well-split input is returned unchanged (no
-    shuffle)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
+    """Spread an input that can't be split before CPU-heavy row work.
+
+    A table in one file of one row group (or any unsplittable file) is scanned
+    by one task; its rows are redistributed round-robin.  An input of several
+    splits is returned as it is, however many cores there are: its scan is
+    already parallel, and a shuffle of raw text would cost more."""
+    if df.rdd.getNumPartitions() < 2:
+        return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
     return df

@@ -63,22 +63,19 @@ def select_collections(
 ) -> DataFrame:
     """Texts of every configured collection, with the config row attached.
 
-    ``delimited``: the collection is the key part before the separator (equi
-    join).  Raw prefix mode (a key belongs to every configured id it starts
-    with): each key is expanded to its prefixes of the configured id lengths,
-    which keeps it an equi join instead of a nested-loop prefix match.
+    A key is expanded to its prefixes of the configured id lengths, which keeps
+    this an equi join instead of a nested-loop prefix match.  ``delimited``: the
+    separator must follow the prefix (so an id may hold separators itself);
+    else a key belongs to every configured id it starts with.
     """
     cfg = config.withColumnRenamed("collection_id", "_cid")
+    lengths = sorted(r[0] for r in cfg.select(F.length("_cid")).distinct().collect() if r[0] is not None)
+    keyed = (
+        texts.withColumn("_len", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")))
+        .withColumn("_cid", F.substring(F.col(key_col), F.lit(1), F.col("_len")))
+        .filter(F.length("_cid") == F.col("_len"))
+    )
     if delimited:
-        keyed = texts.withColumn("_cid", collection_of(key_col))
-    else:
-        lengths = [r[0] for r in cfg.select(F.length("_cid")).distinct().collect()]
-        expanded = F.explode(F.array(*[F.lit(n) for n in sorted(lengths)]))
-        keyed = (
-            texts.withColumn("_len", expanded)
-            .withColumn("_cid", F.substring(F.col(key_col), 1, F.col("_len")))
-            .filter(F.length("_cid") == F.col("_len"))
-            .drop("_len")
-        )
-    out = attach_small(keyed.drop("collection_id"), cfg, on="_cid")
+        keyed = keyed.filter(F.substring(F.col(key_col), F.col("_len") + 1, F.lit(1)) == KEY_SEPARATOR)
+    out = attach_small(keyed.drop("_len", "collection_id"), cfg, on="_cid")
     return out.withColumnRenamed("_cid", "collection_id")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,17 +15,35 @@ from relevo.functions.text import clean_text, collection_of
 LINE_BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 
+# Fixed value: folder of one collection's text files below the input root.
+COLLECTION_FOLDER = "z_{}"
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame | None:
     """Scan a text directory (one row per line, column ``value``).
 
     A missing path gives ``None`` so that a caller can skip the collection.
     """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    try:
+        return spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return spark.read.text(path)
+
+
+def read_collections(spark: SparkSession, root: str, ids: Iterable[str]) -> tuple[DataFrame | None, list[str]]:
+    """Lines of all configured collections from their folders ``z_<id>`` below
+    ``root``, and the ids whose folder is absent.  The folders that are there
+    become one scan."""
+    found, absent = [], []
+    for cid in ids:
+        path = f"{root.rstrip('/')}/{COLLECTION_FOLDER.format(cid)}"
+        if read_lines(spark, path) is None:
+            absent.append(cid)
+        else:
+            found.append(path)
+    return (spark.read.text(found) if found else None), absent
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:

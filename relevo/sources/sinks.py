@@ -8,7 +8,7 @@ so that reruns with the same stamp are repeatable.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -17,6 +17,12 @@ from relevo.functions.formats import SCORE_FAMILY, SCORE_QUALIFIER, itemset_line
 PREDICTION_FILE_SCHEMA = StructType(
     [StructField("id", StringType()), StructField("Probability", DoubleType())]
 )
+# Partition columns of the output folders; given when reading, so that
+# collection ids stay text.
+_FOLDERS = [StructField("collection_id", StringType()), StructField("run_ts", StringType())]
+# Only the folders of the collections and stamps that are written are replaced.
+_KEEP_OTHERS = {"partitionOverwriteMode": "dynamic"}
+_FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
 
 
 def score_cells(
@@ -37,9 +43,12 @@ def score_cells(
 
 
 def write_score_cells(scores: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
-    """Write score cells back keyed by row key (any DataFrame writer format;
-    a wide-column store connector is passed as ``fmt`` plus its options)."""
-    score_cells(scores).write.format(fmt).options(**options).mode("append").save(path)
+    """Write score cells back keyed by row key.  A wide-column store connector
+    is passed as ``fmt`` plus its options (it puts cells, so a rerun replaces
+    them); for a file format the folder of the run is replaced, so a rerun
+    doesn't double the cells."""
+    mode = "overwrite" if fmt in _FILE_FORMATS else "append"
+    score_cells(scores).write.format(fmt).options(**options).mode(mode).save(path)
 
 
 def write_predictions_tsv(
@@ -49,7 +58,7 @@ def write_predictions_tsv(
     probability_col: str = "probability_relevant",
 ) -> None:
     """Prediction files ``id TAB Probability`` with a header, one folder per
-    collection and run stamp."""
+    collection and run stamp; other collections' and runs' folders stay."""
     (
         scores.select(
             "id",
@@ -58,6 +67,7 @@ def write_predictions_tsv(
             F.lit(run_ts).alias("run_ts"),
         )
         .write.mode("overwrite")
+        .options(**_KEEP_OTHERS)
         .partitionBy("collection_id", "run_ts")
         .option("sep", "\t")
         .option("header", True)
@@ -66,31 +76,45 @@ def write_predictions_tsv(
 
 
 def read_predictions_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """Read prediction files back (header ``id, Probability``)."""
+    """Read prediction files back (header ``id, Probability``) with their
+    ``collection_id`` and ``run_ts``, both text."""
     return (
         spark.read.option("sep", "\t")
         .option("header", True)
-        .schema(PREDICTION_FILE_SCHEMA)
+        .schema(StructType([*PREDICTION_FILE_SCHEMA.fields, *_FOLDERS]))
         .csv(path)
     )
 
 
 def pattern_lines(itemsets: DataFrame) -> DataFrame:
-    """Pattern file lines ``freq item item ...`` in file order (frequency
-    descending, ties by item list descending)."""
-    return itemsets.orderBy(F.desc("freq"), F.desc("items")).select(
+    """Pattern file lines ``freq item item ...`` in file order per collection
+    (frequency descending, ties by item list descending)."""
+    return itemsets.orderBy("collection_id", F.desc("freq"), F.desc("items")).select(
         "collection_id", itemset_line("freq", "items").alias("line")
     )
 
 
+def numbered_lines(itemsets: DataFrame) -> DataFrame:
+    """Pattern file lines with their number in the collection's file
+    (``line_no`` from 1)."""
+    order = Window.partitionBy("collection_id").orderBy(F.desc("freq"), F.desc("items"))
+    return itemsets.select("collection_id", F.row_number().over(order).cast("long").alias("line_no"), itemset_line("freq", "items").alias("line"))
+
+
 def write_patterns(itemsets: DataFrame, path: str, run_ts: str) -> None:
     """Pattern files (UTF-8 text) per collection and run stamp, plus the item
-    sets as Parquet next to them."""
+    sets as Parquet next to them; other collections' and runs' folders stay."""
     lines = pattern_lines(itemsets).withColumn("run_ts", F.lit(run_ts))
-    lines.write.mode("overwrite").partitionBy("collection_id", "run_ts").text(f"{path}/lines")
-    itemsets.withColumn("run_ts", F.lit(run_ts)).write.mode("overwrite").partitionBy(
-        "collection_id", "run_ts"
-    ).parquet(f"{path}/itemsets")
+    folders = ("collection_id", "run_ts")
+    lines.write.mode("overwrite").options(**_KEEP_OTHERS).partitionBy(*folders).text(f"{path}/lines")
+    itemsets.withColumn("run_ts", F.lit(run_ts)).write.mode("overwrite").options(**_KEEP_OTHERS).partitionBy(*folders).parquet(f"{path}/itemsets")
+
+
+def write_run_names(config: DataFrame, path: str, run_ts: str) -> None:
+    """The run's output name ``<stamp>_<Id>_<name>`` of every collection, one
+    folder per stamp."""
+    named = config.select("collection_id", F.concat_ws("_", F.lit(run_ts), "collection_id", "name").alias("output_name"), F.lit(run_ts).alias("run_ts"))
+    named.write.mode("overwrite").options(**_KEEP_OTHERS).partitionBy("run_ts").json(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

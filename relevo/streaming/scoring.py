@@ -2,46 +2,29 @@
 
 Stateless Structured Streaming: file source -> cleaning and tokens (built-in
 expressions) -> each collection's ``PipelineModel.transform`` (row-wise) ->
-exactly-once Parquet file sink, checkpointed under the shared checkpoint
+one Parquet folder per micro-batch, checkpointed under the shared checkpoint
 folder.  ``trigger(availableNow=True)`` processes what is there and stops.
 """
 
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from relevo.functions.formats import class_probability
 from relevo.functions.text import clean_text, collection_of
-from relevo.operators.model import CollectionModel
+from relevo.operators.model import CollectionModel, score
 from relevo.operators.preprocess import prepare_texts
 from relevo.session import checkpoint_dir
 
 
-def score_stream(
-    texts: DataFrame,
-    models: dict[str, CollectionModel],
-    feature_col: str = "words",
-) -> DataFrame:
-    """Streaming (or static) ``id, collection_id, text`` -> scores.
-
-    Only collections with a model are scored; each branch filters its
-    collection and applies its model, so the plan stays map-only."""
+def score_batch(texts: DataFrame, models: dict[str, CollectionModel], feature_col: str = "words") -> DataFrame:
+    """``id, collection_id, text`` -> scores with ``status``, one row per text
+    (texts of collections without a model are kept)."""
     rows = prepare_texts(texts).select("id", "collection_id", F.col(feature_col).alias("filtered"))
-    parts = [
-        m.model.transform(rows.filter(F.col("collection_id") == cid)).select(
-            "id",
-            "collection_id",
-            "prediction",
-            class_probability("probability").alias("probability_relevant"),
-        )
-        for cid, m in sorted(models.items())
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return score(models, rows)
 
 
 def start_scoring(
@@ -52,18 +35,30 @@ def start_scoring(
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    scored = score_stream(stream, models)
-    writer = (
-        scored.writeStream.format("parquet")
-        .option("path", sink_path)
-        .option("checkpointLocation", checkpoint_path)
-        .partitionBy("collection_id")
-        .outputMode("append")
-    )
+    """Score each micro-batch: its texts are read and tokenised once, kept for
+    the models' branches, and written to the batch's own folder, which a
+    repeated batch replaces."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = prepare_texts(batch).select("id", "collection_id", F.col("words").alias("filtered")).persist()
+        try:
+            score(models, rows).write.mode("overwrite").partitionBy("collection_id").parquet(f"{sink_path}/batch={number}")
+        finally:
+            rows.unpersist()
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "10 seconds")
     return writer.start()
 
 
+SCORES = "id string, prediction double, probability_relevant double, status string, batch long, collection_id string"
+
+
+def read_scores(spark: SparkSession, sink_path: str) -> DataFrame:
+    """What the stream has written; collection ids are text."""
+    return spark.read.schema(SCORES).parquet(sink_path)
+
+
 def score_document_stream(spark: SparkSession, sf_dir: str, run) -> DataFrame:
     """Stream ``documents`` through the trained models of ``run`` and return
     what the sink holds."""
@@ -83,4 +78,4 @@ def score_document_stream(spark: SparkSession, sf_dir: str, run) -> DataFrame:
     base = f"{checkpoint_dir(spark).rstrip('/')}/relevo/stream-{uuid.uuid4().hex}"
     query = start_scoring(texts, run.models, f"{base}/sink", f"{base}/checkpoint")
     query.awaitTermination()
-    return spark.read.parquet(f"{base}/sink")
+    return read_scores(spark, f"{base}/sink").drop("batch")

@@ -4,32 +4,37 @@ import glob
 import json
 
 from relevo.__main__ import main
+from relevo.sources.models import load_models
 
+STAMP = "20240506-070809"
 
-def test_mine_and_predict(spark, tmp_path):
-    d = tmp_path / "z_602"
-    d.mkdir()
-    lines = []
-    for i in range(40):
-        if i % 2:
-            lines.append(f"602-{i}\tAfrican lives matter today in the crash news {i}")
-        else:
-            lines.append(f"602-{i}\tWeather forecast sunny weekend ahead number{i}")
-    lines.append("broken line without tab")
-    (d / "part-0").write_text("\n".join(lines) + "\n")
-    cfg = tmp_path / "cfg.json"
-    cfg.write_text(json.dumps({"collections": [{"Id": "602", "name": "Germanwings", "type": "binary", "FP": ["african", "lives"]}]}))
-    out = tmp_path / "out"
-    assert main(["mine", "--config", str(cfg), "--lines", str(d), "--out", str(out), "--run-ts", "20160420-182946"]) == 0
-    pattern_files = glob.glob(str(out / "patterns/lines/collection_id=602/run_ts=20160420-182946/*.txt"))
-    text = "".join(open(f).read() for f in pattern_files)
-    assert "20 african" in text or "20 lives african" in text or "20 african lives" in text
-    assert main([
-        "predict", "--config", str(cfg), "--lines", str(d), "--out", str(out), "--run-ts", "20160420-182946",
-        "--num-folds", "2", "--num-features", "64", "--reg-params", "0.01",
-    ]) == 0
-    cells = spark.read.parquet(str(out / "score_cells"))
-    assert cells.count() == 40
+
+def _folder(root, cid):
+    d = root / f"z_{cid}"
+    d.mkdir(parents=True)
+    lines = [f"{cid}-{i}\tBrass band plays street music near bridge {i}" if i % 2 else f"{cid}-{i}\tQuiet garden with apple trees number{i}" for i in range(40)]
+    (d / "part-0").write_text("\n".join([*lines, "broken line without tab"]) + "\n")
+
+
+def test_mine_and_predict(spark, tmp_path, capsys):
+    root, out, cfg = tmp_path / "data", tmp_path / "out", tmp_path / "cfg.json"
+    for cid in ("0071", "new-town"):
+        _folder(root, cid)
+    own = [{"Id": cid, "name": f"name of {cid}", "FP": ["street", "music"]} for cid in ("0071", "new-town", "999")]
+    cfg.write_text(json.dumps({"collections": own}))
+    common = ["--config", str(cfg), "--lines", str(root), "--out", str(out), "--run-ts", STAMP]
+    assert main(["mine", *common]) == 0
+    assert "collection 999" in capsys.readouterr().err
+    for cid in ("0071", "new-town"):
+        files = glob.glob(str(out / f"patterns/lines/collection_id={cid}/run_ts={STAMP}/*.txt"))
+        assert "20 music street" in "".join(open(f).read() for f in files)
+    assert main(["predict", *common, "--num-folds", "2", "--num-features", "64", "--reg-params", "0.01"]) == 0
+    assert spark.read.parquet(str(out / "score_cells")).count() == 80
     preds = spark.read.option("sep", "\t").option("header", True).csv(str(out / "predictions"))
-    assert preds.count() == 40 and "Probability" in preds.columns
-    assert main(["mine", "--config", str(cfg), "--lines", str(tmp_path / "z_999"), "--out", str(out)]) == 0
+    assert preds.count() == 80 and "Probability" in preds.columns
+    names = {r.output_name for r in spark.read.json(str(out / "names")).collect()}
+    assert f"{STAMP}_0071_name of 0071" in names
+    assert set(load_models(spark, str(out / f"models/run_ts={STAMP}"))) == {"0071", "new-town"}
+    # one folder of text files, and no input at all
+    assert main(["mine", "--config", str(cfg), "--lines", str(root / "z_0071"), "--out", str(out / "one"), "--run-ts", STAMP]) == 0
+    assert main(["mine", "--config", str(cfg), "--lines", str(tmp_path / "absent"), "--out", str(out)]) == 0

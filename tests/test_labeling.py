@@ -70,7 +70,7 @@ def test_balanced_sample_is_close_to_positives(spark):
 def test_hash_unit_matches_python_md5(spark):
     import hashlib
 
-    df = spark.createDataFrame([("602-1",), ("x",)], "id string")
+    df = spark.createDataFrame([("712-1",), ("x",)], "id string")
     got = [r[0] for r in df.select(hash_unit("id")).collect()]
-    want = [int(hashlib.md5(f"12345:{i}".encode()).hexdigest()[:8], 16) for i in ("602-1", "x")]
+    want = [int(hashlib.md5(f"12345:{i}".encode()).hexdigest()[:8], 16) for i in ("712-1", "x")]
     assert got == want

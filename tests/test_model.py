@@ -54,10 +54,51 @@ def test_same_seed_same_scores(spark, trained):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
 
 
-def test_single_class_collection_is_skipped(spark):
+def test_every_text_gets_a_row(spark, trained):
+    train, models = trained
     rows = [(f"z-{i}", "z", ["x", "y"], 1.0) for i in range(6)]
+    single = spark.createDataFrame(rows, "id string, collection_id string, filtered array<string>, label double")
+    models = {**models, **train_collections(single, SMALL, concurrency=1)}
+    assert models["z"].kind == "constant" and models["z"].label == 1.0
+    other = spark.createDataFrame([("q-1", "q", ["x"], 0.0), ("n-1", None, None, 0.0)], single.schema)
+    out = {r.id: r for r in score(models, train.unionByName(single).unionByName(other)).collect()}
+    assert len(out) == train.count() + 8
+    assert out["z-0"].status == "one_class" and out["z-0"].prediction == out["z-0"].probability_relevant == 1.0
+    assert out["q-1"].status == out["n-1"].status == "untrained" and out["q-1"].probability_relevant is None
+    assert out["a-0"].status == "trained"
+    both = ensemble(models, {"a": models["z"]}, train.filter("collection_id = 'b'").unionByName(other)).collect()
+    assert len(both) == 32 and {r.id: r.status for r in both}["q-1"] == "untrained"
+    assert score({}, other).count() == 2
+
+
+def test_layout_does_not_change_models(spark, trained):
+    train, models = trained
+    want = {r.id: r.probability_relevant for r in score(models, train).collect()}
+    for other in (train.repartition(7), train.coalesce(1)):
+        again = train_collections(other, SMALL, concurrency=2)
+        assert {c: m.cv_auc for c, m in again.items()} == pytest.approx({c: m.cv_auc for c, m in models.items()})
+        got = {r.id: r.probability_relevant for r in score(again, train).collect()}
+        assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_folds_of_one_class_do_not_count(spark):
+    rows = [(f"f-{i}", "f", ["good" if i < 3 else "bad", f"w{i}"], 1.0 if i < 3 else 0.0) for i in range(12)]
     df = spark.createDataFrame(rows, "id string, collection_id string, filtered array<string>, label double")
-    assert train_collections(df, SMALL, concurrency=1) == {}
+    m = train_collections(df, SMALL, concurrency=1)["f"]
+    assert m.model is not None and 0 <= m.folds <= SMALL.num_folds
+    assert (m.cv_auc is None) == (m.folds == 0)
+
+
+def test_saved_models_load(spark, trained, tmp_path):
+    from relevo.sources.models import load_models, save_models
+
+    train, models = trained
+    path = str(tmp_path / "models")
+    save_models(models, path)
+    back = load_models(spark, path)
+    assert {c: (m.kind, m.cv_auc, m.folds) for c, m in back.items()} == {c: (m.kind, m.cv_auc, m.folds) for c, m in models.items()}
+    a = {r.id: r.probability_relevant for r in score(models, train).collect()}
+    assert a == {r.id: r.probability_relevant for r in score(back, train).collect()}
 
 
 def test_reports_and_sinks(spark, trained, tmp_path):

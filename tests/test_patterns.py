@@ -76,3 +76,11 @@ def test_shortlist_top_k_and_plan(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert F is not None
+
+
+def test_least_count(spark):
+    tx = _tx(spark, [["a", "b"], ["a", "c"], ["d"]])
+    got = {(tuple(r["items"])): r.freq for r in frequent_itemsets(tx, 0.1, min_count=2).collect()}
+    assert got == {("a",): 2}
+    assert frequent_itemsets(tx, 0.1, min_count=5).count() == 0
+    assert frequent_itemsets(tx.limit(0), 0.1).count() == 0

@@ -12,8 +12,7 @@ def _plan(df):
 
 @pytest.mark.parametrize("name", sorted(SQL_CHECKED))
 def test_no_cartesian_or_nested_loop(spark, sf_small, name):
-    folder = "/root/testdata/sf0.01" if name in ("frequent_itemsets", "pattern_shortlist") else sf_small
-    plan = _plan(SQL_CHECKED[name](spark, folder))
+    plan = _plan(SQL_CHECKED[name](spark, sf_small))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
@@ -29,3 +28,12 @@ def test_term_idf_uses_partial_aggregation(spark, sf_small):
     plan = _plan(SQL_CHECKED["term_idf"](spark, sf_small))
     assert "partial_count" in plan
     assert "Subquery" in plan or "subquery" in plan
+
+
+def test_label_queries_write_and_shuffle_no_text(spark, sf_small):
+    from relevo.plans.queries import flagged_documents
+
+    flagged = flagged_documents(spark, sf_small)
+    assert flagged.columns == ["id", "collection_id", "is_positive", "is_candidate", "n_features"]
+    plan = _plan(SQL_CHECKED["training_set"](spark, sf_small))
+    assert "text" not in plan and "filtered" not in plan

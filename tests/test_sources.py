@@ -22,34 +22,34 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 def test_read_config(spark):
     cfg = read_config(spark, os.path.join(HERE, "fixtures", "collections_config.json"))
     rows = {r["collection_id"]: r for r in cfg.collect()}
-    assert len(rows) == 6
-    assert rows["700"]["name"] == "wdbj7 shooting "
-    assert rows["700"]["pattern"] == ["unbelievable", "roanoke", "gun"]
-    assert rows["602"]["type"] == "binary"
+    assert len(rows) == 4
+    assert rows["71"]["name"] == "street music "
+    assert rows["71"]["pattern"] == ["music", "street", "brass"]
+    assert rows["0071"]["type"] == rows["305"]["type"] == "binary" and rows["305"]["pattern"] == []
 
 
 def test_parse_lines_arity(spark):
     lines = [
-        ("602-1\tHello world again",),
+        ("712-1\tHello world again",),
         ("no tab here",),
-        ("602-2\tone\ttwo",),
-        ("602-3\t",),
-        ("  602-4\tpadded text  ",),
+        ("712-2\tone\ttwo",),
+        ("712-3\t",),
+        ("  712-4\tpadded text  ",),
     ]
     got = parse_lines(spark.createDataFrame(lines, "value string")).collect()
     assert [(r.id, r.collection_id, r.text) for r in got] == [
-        ("602-1", "602", "Hello world again"),
-        ("602-4", "602", "padded text"),
+        ("712-1", "712", "Hello world again"),
+        ("712-4", "712", "padded text"),
     ]
 
 
 def test_read_lines_missing_and_present(spark, tmp_path):
     assert read_lines(spark, str(tmp_path / "z_999")) is None
-    d = tmp_path / "z_602"
+    d = tmp_path / "z_712"
     d.mkdir()
-    (d / "part-0").write_text("602-1\tsome text here\n602-2\tmore text here\n")
+    (d / "part-0").write_text("712-1\tsome text here\n712-2\tmore text here\n")
     df = read_lines(spark, str(d))
-    assert sorted(r.id for r in parse_lines(df).collect()) == ["602-1", "602-2"]
+    assert sorted(r.id for r in parse_lines(df).collect()) == ["712-1", "712-2"]
 
 
 def _cells(*objs):
@@ -59,56 +59,96 @@ def _cells(*objs):
 def test_cells_families_and_qualifiers(spark):
     rows = [
         (
-            "602-1",
+            "712-1",
             _cells(
                 {"columnFamily": "collection-management", "qualifier": "text", "value": "First text here"},
                 {"columnFamily": "metadata", "qualifier": "lang", "value": "en"},
                 {"columnFamily": "collection-management", "qualifier": "other", "value": "Second one here"},
             ),
         ),
-        ("602-2", _cells({"columnFamily": "metadata", "qualifier": "lang", "value": "fr"})),
+        ("712-2", _cells({"columnFamily": "metadata", "qualifier": "lang", "value": "fr"})),
     ]
     cells = load_cells(spark.createDataFrame(rows, "row_key string, cells string"))
     got = sorted((r.id, r.text) for r in cells_to_texts(cells).collect())
-    assert got == [("602-1", "First text here"), ("602-1", "Second one here")]
+    assert got == [("712-1", "First text here"), ("712-1", "Second one here")]
     only = cells_to_texts(cells, qualifier="text").collect()
-    assert [(r.id, r.text) for r in only] == [("602-1", "First text here")]
+    assert [(r.id, r.text) for r in only] == [("712-1", "First text here")]
 
 
 def test_prefix_raw_and_delimited(spark):
     texts = spark.createDataFrame(
-        [("602-1", "a"), ("60-2", "b"), ("6021-3", "c")], "id string, text string"
+        [("712-1", "a"), ("71-2", "b"), ("7123-3", "c")], "id string, text string"
     )
-    cfg = config_from_rows(spark, [{"Id": "60", "name": "x", "FP": []}, {"Id": "602", "name": "y", "FP": []}])
+    cfg = config_from_rows(spark, [{"Id": "71", "name": "x", "FP": []}, {"Id": "712", "name": "y", "FP": []}])
     delim = sorted((r.collection_id, r.id) for r in select_collections(texts, cfg).collect())
-    assert delim == [("60", "60-2"), ("602", "602-1")]
+    assert delim == [("71", "71-2"), ("712", "712-1")]
     raw = sorted((r.collection_id, r.id) for r in select_collections(texts, cfg, delimited=False).collect())
-    assert raw == [("60", "60-2"), ("60", "602-1"), ("60", "6021-3"), ("602", "602-1"), ("602", "6021-3")]
-    assert texts.filter(key_prefix_filter("id", "60", delimited=False)).count() == 3
-    assert texts.filter(key_prefix_filter("id", "60")).count() == 1
+    assert raw == [("71", "71-2"), ("71", "712-1"), ("71", "7123-3"), ("712", "712-1"), ("712", "7123-3")]
+    assert texts.filter(key_prefix_filter("id", "71", delimited=False)).count() == 3
+    assert texts.filter(key_prefix_filter("id", "71")).count() == 1
 
 
 def test_prefix_filter_reaches_parquet_scan(spark, tmp_path):
     p = str(tmp_path / "t")
-    spark.createDataFrame([("602-1", "a")], "id string, text string").write.parquet(p)
-    plan = spark.read.parquet(p).filter(key_prefix_filter("id", "602"))._jdf.queryExecution().executedPlan().toString()
-    assert "StringStartsWith(id,602-)" in plan
+    spark.createDataFrame([("712-1", "a")], "id string, text string").write.parquet(p)
+    plan = spark.read.parquet(p).filter(key_prefix_filter("id", "712"))._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(id,712-)" in plan
+
+
+def test_ids_that_hold_the_separator(spark):
+    texts = spark.createDataFrame([("new-town-1", "a"), ("new-2", "b"), ("newer-3", "c"), ("x", "d"), (None, "e")], "id string, text string")
+    cfg = config_from_rows(spark, [{"Id": "new-town", "FP": []}, {"Id": "new", "FP": []}])
+    got = sorted((r.collection_id, r.id) for r in select_collections(texts, cfg).collect())
+    assert got == [("new", "new-2"), ("new", "new-town-1"), ("new-town", "new-town-1")]
+    assert select_collections(texts, cfg.limit(0)).count() == 0
+
+
+def test_materialised_ids_keep_their_text(spark):
+    from relevo.session import materialize
+
+    df = spark.createDataFrame([("007", 1), ("7", 2), (None, 3)], "collection_id string, n int")
+    back = materialize(df, "ids", ["collection_id"])
+    assert back.schema["collection_id"].dataType.simpleString() == "string"
+    assert sorted(((r.collection_id, r.n) for r in back.collect()), key=repr) == [("007", 1), ("7", 2), (None, 3)]
+
+
+def test_outputs_keep_other_runs_and_collections(spark, tmp_path):
+    from relevo.sources import read_predictions_tsv, write_patterns, write_predictions_tsv, write_run_names, write_score_cells
+
+    def scores(cid, p):
+        return spark.createDataFrame([(f"{cid}-1", cid, p)], "id string, collection_id string, probability_relevant double")
+
+    path = str(tmp_path / "predictions")
+    for cid, stamp, p in (("007", "r1", 0.1), ("7", "r1", 0.2), ("007", "r2", 0.3), ("007", "r2", 0.4)):
+        write_predictions_tsv(scores(cid, p), path, stamp)
+    got = sorted((r.collection_id, r.run_ts, r.Probability) for r in read_predictions_tsv(spark, path).collect())
+    assert got == [("007", "r1", 0.1), ("007", "r2", 0.4), ("7", "r1", 0.2)]
+    for _ in range(2):
+        write_score_cells(scores("7", 0.5), str(tmp_path / "cells"))
+    assert spark.read.parquet(str(tmp_path / "cells")).count() == 1
+    sets = spark.createDataFrame([("7", ["a"], 2), ("7", ["b"], 3), ("8", ["c"], 1)], "collection_id string, items array<string>, freq long")
+    write_patterns(sets, str(tmp_path / "patterns"), "r1")
+    write_patterns(sets.filter("collection_id = '7'"), str(tmp_path / "patterns"), "r2")
+    lines = spark.read.text(str(tmp_path / "patterns/lines")).collect()
+    assert sorted((str(r.collection_id), r.run_ts, r.value) for r in lines) == [("7", "r1", "2 a"), ("7", "r1", "3 b"), ("7", "r2", "2 a"), ("7", "r2", "3 b"), ("8", "r1", "1 c")]
+    cfg = config_from_rows(spark, [{"Id": "007", "name": "own name", "FP": []}])
+    write_run_names(cfg, str(tmp_path / "names"), "r1")
+    assert [r.output_name for r in spark.read.json(str(tmp_path / "names")).collect()] == ["r1_007_own name"]
 
 
 def test_config_sizes_are_checked_before_broadcast(spark):
-    texts = spark.createDataFrame([("602-1", "a")], "id string, text string")
-    cfg = config_from_rows(spark, [{"Id": "602", "name": "y", "FP": []}])
+    texts = spark.createDataFrame([("712-1", "a")], "id string, text string")
+    cfg = config_from_rows(spark, [{"Id": "712", "name": "y", "FP": []}])
     plan = select_collections(texts, cfg)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert F is not None
 
 
-def test_spread_only_when_under_split(spark, tmp_path):
+def test_spread_only_what_cannot_be_split(spark):
     from relevo.session import spread
 
-    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
+    wide = spark.range(0, 1000, numPartitions=2)
     assert spread(wide) is wide
-    narrow = spark.range(0, 1000, numPartitions=1)
-    out = spread(narrow)
+    out = spread(spark.range(0, 1000, numPartitions=1))
     assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r.id for r in out.collect()) == list(range(1000))

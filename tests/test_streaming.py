@@ -8,7 +8,7 @@ from relevo.functions.text import clean_text, collection_of
 from relevo.operators.model import TuningSpec, score, train_collections
 from relevo.operators.preprocess import prepare_texts
 from relevo.session import checkpoint_dir
-from relevo.streaming.scoring import start_scoring
+from relevo.streaming.scoring import read_scores, start_scoring
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -17,13 +17,14 @@ def test_stream_equals_batch(spark, tmp_path):
         pos = i % 2 == 0
         text = "storm flood river warning" if pos else "music party dance tonight"
         rows.append((f"s-{i}", f"{text} item{i % 3}"))
+    rows.append(("unknown-1", "a text of no collection"))
     src = tmp_path / "in"
     spark.createDataFrame(rows, "key string, body string").write.parquet(str(src))
 
     static = spark.read.parquet(str(src))
     texts = static.select(F.col("key").alias("id"), collection_of("key").alias("collection_id"), clean_text("body").alias("text"))
     prepared = prepare_texts(texts)
-    train = prepared.select(
+    train = prepared.filter("collection_id = 's'").select(
         "id", "collection_id", F.col("words").alias("filtered"),
         F.when(F.array_contains("words", "storm"), 1.0).otherwise(0.0).alias("label"),
     )
@@ -34,6 +35,8 @@ def test_stream_equals_batch(spark, tmp_path):
     base = f"{checkpoint_dir(spark)}/test-stream-{uuid.uuid4().hex}"
     q = start_scoring(stexts, models, f"{base}/sink", f"{base}/ckpt")
     q.awaitTermination()
-    got = {r.id: r.probability_relevant for r in spark.read.parquet(f"{base}/sink").collect()}
-    want = {r.id: r.probability_relevant for r in score(models, prepared.select("id", "collection_id", F.col("words").alias("filtered"))).collect()}
+    out = read_scores(spark, f"{base}/sink").collect()
+    assert {r.id: r.status for r in out}["unknown-1"] == "untrained" and len(out) == 41
+    got = {r.id: r.probability_relevant for r in out if r.status == "trained"}
+    want = {r.id: r.probability_relevant for r in score(models, prepared.filter("collection_id = 's'").select("id", "collection_id", F.col("words").alias("filtered"))).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
