@@ -66,6 +66,7 @@ class Transducer:
             else:
                 self.surface.append("" if kind == _CONTROL else " ⁇ ")
         self.merges, self.byte_fallback, self.prefix, self.unknown = merges, byte_fallback, prefix, unknown
+        self.longest = max(map(len, self.ids), default=1)
         #: Weight of every piece, and None for the other beginnings of pieces.
         self.arcs = {p[:n]: None for p in self.ids for n in range(1, len(p) + 1)} | {p: -s for p, s in self.score.items()}
         self.penalty = 10.0 - min(self.score.values(), default=0.0)  # of an unknown character
@@ -118,15 +119,44 @@ class Transducer:
 
     def shortest_path(self, word: str) -> list[str]:
         """Pieces (or single characters without a piece) of least weight."""
-        n, merges, arcs, pairs, penalty = len(word), self.merges, self.arcs.get, self.pairs.get, self.penalty
+        return self._finite_path(word) if self.merges else self._least_path(word)
+
+    def _finite_path(self, word: str) -> list[str]:
+        """The one path of weight 0 through the composed machine, depth first
+        with the longest piece ahead.  A place that once was left without a
+        way on is never entered again: only one path of weight 0 leads to it,
+        whichever piece came last."""
+        n, ids, pairs, longest = len(word), self.ids, self.pairs.get, self.longest
+        out: list[str] = []
+        dead: set[int] = set()
+        at, before, end = 0, None, min(n, longest)
+        while at < n:
+            while end > at:
+                if end not in dead:
+                    piece = word[at:end]
+                    if (piece in ids or end == at + 1) and (before is None or pairs((before, piece)) or self.pair_passes(before, piece)):
+                        break
+                end -= 1
+            if end > at:
+                out.append(piece)
+                at, before = end, piece
+                end = min(n, at + longest)
+            else:
+                dead.add(at)
+                end = at - 1  # a shorter piece at the place before
+                at -= len(out.pop())
+                before = out[-1] if out else None
+        return out
+
+    def _least_path(self, word: str) -> list[str]:
+        """Viterbi search from the left."""
+        n, arcs, penalty = len(word), self.arcs.get, self.penalty
         weight: list = [None] * (n + 1)
         last: list = [None] * (n + 1)
         weight[0] = 0.0
         for i in range(n):
-            here = weight[i]
-            if here is None:
+            if weight[i] is None:
                 continue
-            before = last[i]
             for j in range(i + 1, n + 1):
                 piece = word[i:j]
                 arc = arcs(piece, _OUTSIDE)
@@ -134,13 +164,9 @@ class Transducer:
                     continue  # only the beginning of pieces
                 if arc is _OUTSIDE and j > i + 1:
                     break
-                if arc is None or arc is _OUTSIDE:
-                    arc = penalty
-                if merges:
-                    if weight[j] is None and (before is None or pairs((before, piece)) or self.pair_passes(before, piece)):
-                        weight[j], last[j] = here, piece
-                elif weight[j] is None or here + arc < weight[j]:
-                    weight[j], last[j] = here + arc, piece
+                w = weight[i] + (penalty if arc is None or arc is _OUTSIDE else arc)
+                if weight[j] is None or w < weight[j]:
+                    weight[j], last[j] = w, piece
         out, at = [], n
         while at:
             out.append(last[at])
