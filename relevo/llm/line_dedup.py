@@ -1,70 +1,71 @@
 """Removal of lines that repeat an earlier line, exactly or nearly (operator
 10), DataFrame functions only.
 
-A line's set is its distinct lower-case words (ASCII punctuation is a blank).
-A line goes if any line before it, in the order (doc_id, line number), has a
-Jaccard similarity of ``percent`` per cent or more with it, whether that line
-itself stays or not.  Lines without words stay.
+A line's set is its distinct lower-case words (parted by blanks).  A line goes
+if any line before it, in the order (doc_id, line number), has a Jaccard
+similarity of ``percent`` per cent or more with it, whether that line itself
+stays or not.  Lines without words stay.
 
 Words are ordered by rarity: by the level (log2) of how often the words of
 their hash bucket occur in the whole table, then by hash.  This order is the
 same everywhere, which is all that the prefix filter needs, and the table of
 levels has a fixed size.
 
-1. Each line goes to its rarest word's group, dealt over ``SALTS`` parts, and
-   is compared with the part's first line; lines of a set that the part holds
-   earlier, and lines similar to the part's first, are settled.  So a group of
-   thousands of copies, or near copies, shrinks to about one open line a part.
-2. Set-similarity join of the open lines with all earlier distinct ones on the
-   words of their prefixes, with the length and positional filters and a
-   64-bit parity bitmap, whose differing bits never outnumber the differing
-   words.  The surviving pairs' words are fetched and the Jaccard verified.
+1. The words of each line's prefix are dealt by word, once.  Of lines of the
+   same set (a 64-bit hash of it, its size and bitmap agree) all but the first
+   are settled, and only first lines go on.  Within a word, pairs of a line
+   and an earlier one pass the length and positional filters and a parity
+   bitmap, whose differing bits never outnumber the differing words.
+2. Words that more than ``CROWD`` such lines share would make too many pairs
+   where thousands of lines are near copies.  Their lines are first compared
+   with the first line of their part of the word's group; those that match are
+   settled, and only the lines that are left meet all earlier ones.
+3. The words of the pairs' lines are fetched and the Jaccard verified exactly.
 
-Both sides of the join are one shuffle, and the documents, dealt by id once,
-serve the lines, the verification and the rebuilt texts.
+A bitmap of fixed size over the ids' hashes tells the documents that no pair
+can touch; they pass by without being shuffled.
 
 Defined results: null and empty texts have no lines and come back as they
-are; rows that share an id (null ids count as the least) are ordered by a hash of
-their columns, and rows repeated exactly are one document, whose lines don't
-remove each other; a
-document of which no line stays keeps an empty text; an empty table gives an
-empty result; other columns pass through.
+are; rows that share an id (null ids count as the least) are ordered by a hash
+of their columns, and rows repeated exactly are one document, whose lines
+don't remove each other; a document of which no line stays keeps an empty
+text; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from relevo.llm.common import table
+from relevo.llm.common import packed, table, unpacked
 from relevo.session import materialize
 
 NAME = "op10_line_dedup"
 PERCENT = 80
-SALTS = 32
-#: Hash buckets of the table of word frequencies.
-BUCKETS = 1 << 15
+#: Hash buckets of the table of word frequencies, and of the touched ids.
+BUCKETS = 1 << 17
+#: Lines that may meet each other on a word at once, and lines of a part of
+#: a larger group.
+CROWD, PART = 256, 4096
 _HASH_BITS = 57
-_PUNCTUATION = string.punctuation + "\t\r\x0b\x0c"
 _LEAST = -(1 << 63)
+_LOW = (1 << 32) - 1
 
 
 def words(line: Column) -> Column:
     """Distinct words of a line."""
-    plain = F.translate(F.lower(line), _PUNCTUATION, " " * len(_PUNCTUATION))
-    return F.array_remove(F.array_distinct(F.split(plain, " ")), "")
+    return F.array_remove(F.array_distinct(F.split(F.lower(line), " ")), "")
+
 
+def _id() -> Column:
+    return F.coalesce(F.col("rest.doc_id").cast("long"), F.lit(_LEAST))
 
-def positioned(docs: DataFrame, deal: bool = False) -> DataFrame:
-    """The documents with ``_doc`` (id, null as the least), dealt by it on
-    request, and ``_row``, which tells rows apart that share an id."""
-    own = [F.col(f.name) for f in docs.schema.fields if "map" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
-    docs = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)))
-    # _row comes after the shuffle and needs every column, so that all that is read from it can share it
-    docs = docs.repartition("_doc") if deal else docs
-    return docs.withColumn("_row", F.pmod(F.xxhash64(*own), F.lit(1 << 31)))
+
+def positioned(docs: DataFrame) -> DataFrame:
+    """Packed documents with ``_doc`` (id, null as the least) and ``_row``,
+    which tells rows apart that share an id."""
+    own = [F.col("rest")[f.name] for f in docs.schema["rest"].dataType.fields if "map" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return docs.withColumns({"_doc": _id(), "_row": F.pmod(F.xxhash64("text", *own), F.lit(1 << 31))})
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -75,102 +76,177 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def rarity_levels(docs: DataFrame) -> bytes:
-    """Per hash bucket a character: the bit length of its words' occurrences
-    in all lines (each line counts a word once), from "0" up."""
-    line_words = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(F.explode(words(F.col("line"))).alias("w"))
-    counted = line_words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count().collect()
-    levels = bytearray(b"0" * BUCKETS)
-    for r in counted:
-        levels[r["b"]] = ord("0") + min(int(r["count"]).bit_length(), 63)
-    return bytes(levels)
-
-
-def _ids(word_list: Column, levels: bytes) -> Column:
-    """Word numbers, the rarest first: level, then hash."""
-    table_ = F.lit(bytearray(levels))
-    level = lambda h: F.ascii(F.substr(table_, F.pmod(h, F.lit(BUCKETS)).cast("int") + 1, F.lit(1)).cast("string")) - ord("0")
-    number = lambda h: F.shiftleft(level(h).cast("long"), _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
-    return F.array_sort(F.transform(F.transform(word_list, lambda w: F.xxhash64(w)), number))
-
-
-def _similar(common: Column, n: Column, m: Column, percent: int) -> Column:
-    return common * 100 >= (n + m - common) * percent
-
-
-def settled(docs: DataFrame, levels: bytes, percent: int) -> DataFrame:
-    """Distinct sets and settled lines: ``doc, no, ids, copy, near``."""
-    lines = _lines(docs).withColumn("ids", _ids(words(F.col("line")), levels)).filter(F.size("ids") > 0)
-    lines = lines.select("doc", "no", "line", F.get("ids", F.lit(0)).alias("rarest"), F.xxhash64("ids").alias("k1"), F.xxhash64(F.lit(7), "ids").alias("k2"))
-    lines = lines.withColumn("salt", F.pmod(F.xxhash64("doc", F.lit(3)), F.lit(SALTS)))
-    part = Window.partitionBy("rarest", "salt").orderBy("doc", "no")
-    same = Window.partitionBy("rarest", "salt", "k1", "k2").orderBy("doc", "no")
-    lines = lines.repartition("rarest", "salt")
-    lines = lines.withColumn("copy", F.row_number().over(same) > 1).withColumn("first", F.first("line").over(part)).withColumn("alone", F.row_number().over(part) == 1)
-    own, head = words(F.col("line")), words(F.col("first"))
-    near = ~F.col("alone") & _similar(F.size(F.array_intersect(own, head)), F.size(own), F.size(head), percent)
-    return lines.select("doc", "no", "copy", F.when(F.col("copy"), True).otherwise(near).alias("near"), F.when(~F.col("copy"), _ids(own, levels)).alias("ids"))
-
-
-def _prefixes(lines: DataFrame, percent: int) -> DataFrame:
-    """``token, doc, no, open, n, at, bits`` for the prefix words of each
-    distinct set; ``open``: not settled yet."""
-    n = F.size("ids")
-    least = F.expr(f"cast((size(ids) * {percent} + 99) div 100 as int)")
-    bits = F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
-    return lines.filter(~F.col("copy")).select(
-        "doc", "no", (~F.col("near")).alias("open"), n.alias("n"), bits.alias("bits"), F.posexplode(F.slice("ids", F.lit(1), n - least + 1)).alias("at", "token")
-    )
+def _small_table(values) -> Column:
+    """A constant array of small numbers."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<tinyint>")
 
 
-def candidate_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
-    """``doc, no, doc2, no2``: open lines and earlier ones that share a prefix
-    word and pass the length, positional and bitmap filters."""
-    a, b = prefixes.alias("a"), prefixes.alias("b")
-    n, m = F.col("a.n"), F.col("b.n")
-    # common words that a similarity of percent needs
-    need = F.ceil((n + m) * percent / (100 + percent))
-    earlier = (F.col("b.doc") < F.col("a.doc")) | ((F.col("b.doc") == F.col("a.doc")) & (F.col("b.no") < F.col("a.no")))
-    # both sides appear in the test for open lines, so that it stays in the join and the two sides stay one shuffle
-    wanted = F.when(m > 0, F.col("a.open")).otherwise(False)
+def rarity_levels(docs: DataFrame) -> list[int]:
+    """Per hash bucket, the bit length of its words' occurrences in all texts."""
+    text_words = docs.select(F.explode(F.split(F.translate(F.lower("text"), "\n", " "), " ")).alias("w"))
+    counted = text_words.filter("w <> ''").groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count().collect()
+    levels = [0] * BUCKETS
+    for r in counted:
+        levels[r["b"]] = min(int(r["count"]).bit_length(), 63)
+    return levels
+
+
+def prefixes(docs: DataFrame, levels: list[int], percent: int) -> DataFrame:
+    """``token, doc, no, n, at, b, w2, k`` for the prefix words of each line,
+    the rarest first; ``b, w2``: parity bitmap of the set, of two words for
+    sets of more than 64; ``k``: a hash of the whole set."""
+    level = _small_table(levels)
+    hashed = F.array_distinct(F.transform(F.array_remove(F.split(F.lower("line"), " "), ""), lambda w: F.xxhash64(w)))
+    number = lambda h: F.shiftleft(F.get(level, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
+
+    def parity(ids, part=None):
+        if part is not None:
+            ids = F.filter(ids, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(1)) == part)
+        bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(ids, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
+
+    def described(ids):
+        n, zero = F.size(ids), F.lit(0).cast("long")
+        long = n > 64
+        least = F.floor((n * percent + 99) / 100).cast("int")
+        return F.struct(
+            n.alias("n"),
+            F.when(long, parity(ids, 0)).otherwise(parity(ids)).alias("b"),
+            F.when(long, parity(ids, 1)).otherwise(zero).alias("w2"),
+            F.xxhash64(ids).alias("k"),
+            F.slice(ids, F.lit(1), n - least + 1).alias("prefix"),
+        )
+
+    # the words' numbers are bound once, as a lambda's variable, and a generator isn't merged with what follows it
+    lines = _lines(docs).select("doc", "no", F.inline(F.transform(F.array(F.sort_array(F.transform(hashed, number))), described)))
+    return lines.select("doc", "no", "n", "b", "w2", "k", F.posexplode("prefix").alias("at", "token"))
+
+
+def _before(a, b) -> Column:
+    """Whether b's line stands before a's."""
+    return (b["doc"] < a["doc"]) | ((b["doc"] == a["doc"]) & (b["no"] < a["no"]))
+
+
+def _may_match(a, b, percent: int) -> Column:
+    """Length, positional and bitmap filters for two lines that share a word."""
+    n, m = a["n"], b["n"]
+    need = F.ceil((n + m) * percent / (100 + percent))  # common words at that similarity
     length = (n * 100 >= m * percent) & (m * 100 >= n * percent)
-    place = F.least(n - F.col("a.at"), m - F.col("b.at")) + F.least(F.col("a.at"), F.col("b.at")) >= need
-    bitmap = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= n + m - 2 * need
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & earlier & wanted & length & place & bitmap)
-    return pairs.select(F.col("a.doc").alias("doc"), F.col("a.no").alias("no"), F.col("b.doc").alias("doc2"), F.col("b.no").alias("no2")).distinct()
+    place = F.least(n - a["at"], m - b["at"]) + F.least(a["at"], b["at"]) >= need
+    differ = lambda x, y: F.bit_count(x.bitwiseXOR(y))
+    joined = lambda s: s["b"].bitwiseXOR(s["w2"])
+    bits = F.when((n > 64) == (m > 64), differ(a["b"], b["b"]) + differ(a["w2"], b["w2"])).otherwise(differ(joined(a), joined(b)))
+    return length & place & (bits <= n + m - 2 * need)
+
+
+class _Side:
+    """Columns of one side of a join."""
+
+    def __init__(self, name: str):
+        self.name = name
+
+    def __getitem__(self, column: str) -> Column:
+        return F.col(f"{self.name}.{column}")
+
+
+_PAIR = ["doc", "no", "doc2", "no2"]
+_LINE = ["doc", "no", "n", "at", "b", "w2"]
+
+
+def _pairs(a: DataFrame, b: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Distinct ``doc, no, doc2, no2`` of lines of a and earlier ones of b that
+    agree in the keys."""
+    x, y = _Side("a"), _Side("b")
+    on = _before(x, y) & _may_match(x, y, percent)
+    for k in keys:
+        on = on & (x[k] == y[k])
+    both = a.alias("a").join(b.alias("b"), on)
+    return both.select(x["doc"].alias("doc"), x["no"].alias("no"), y["doc"].alias("doc2"), y["no"].alias("no2")).distinct()
 
 
-def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc, no, words`` of the wanted lines."""
+def _pairs_inside(rows: DataFrame, percent: int) -> DataFrame:
+    """The same for words of at most ``CROWD`` lines: each word's lines as one
+    short array, compared in place."""
+    groups = rows.groupBy("token").agg(F.collect_list(F.struct(*_LINE)).alias("lines"))
+
+    def earlier(a):
+        return F.transform(F.filter("lines", lambda b: _before(a, b) & _may_match(a, b, percent)), lambda b: F.struct(a["doc"].alias("doc"), a["no"].alias("no"), b["doc"].alias("doc2"), b["no"].alias("no2")))
+
+    return groups.select(F.inline(F.flatten(F.transform("lines", earlier)))).distinct()
+
+
+def _touched(ids: DataFrame) -> Column:
+    """Whether ``_doc`` may be among the ids ``doc`` (by a bitmap of their
+    hashes; some others pass, too)."""
+    bucket = lambda c: F.pmod(F.xxhash64(c, F.lit(5)), F.lit(BUCKETS)).cast("int")
+    seen = bytearray(BUCKETS)
+    for r in ids.select(bucket("doc").alias("b")).distinct().collect():
+        seen[r["b"]] = 1
+    return F.get(_small_table(seen), bucket("_doc")) == 1
+
+
+def _verified(own: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """``doc, no`` of the pairs whose Jaccard similarity is high enough; the
+    words come from ``own``, the documents dealt by id."""
+    wanted = pairs.select("doc", "no").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("no2").alias("no")))
     per_doc = wanted.groupBy("doc").agg(F.collect_set("no").alias("nos"))
-    at = lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-    mine = docs.join(per_doc, docs["_doc"] == per_doc["doc"]).select("doc", "_row", F.split("text", "\n").alias("lines"), F.explode("nos").alias("no"))
+    mine = own.join(per_doc, own["_doc"] == per_doc["doc"]).select("doc", "_row", F.split("text", "\n").alias("lines"), F.explode("nos").alias("no"))
     mine = mine.filter(F.shiftright("no", 32) == F.col("_row"))
-    return mine.select("doc", "no", words(F.get("lines", at(F.col("no")))).alias("words"))
+    texts = mine.select("doc", "no", words(F.get("lines", F.col("no").bitwiseAND(F.lit(_LOW)).cast("int"))).alias("words"))
+    other = texts.select(F.col("doc").alias("doc2"), F.col("no").alias("no2"), F.col("words").alias("words2"))
+    both = pairs.join(texts, ["doc", "no"]).join(other, ["doc2", "no2"])
+    common = F.size(F.array_intersect("words", "words2"))
+    return both.filter(common * 100 >= (F.size("words") + F.size("words2") - common) * percent).select("doc", "no").distinct()
+
+
+def _dealt(docs: DataFrame, touched: Column) -> DataFrame:
+    """The touched documents, dealt by id.  Their row numbers come after the
+    shuffle and need every column, so that all that reads them shares it."""
+    part = docs.withColumn("_doc", _id()).filter(touched).drop("_doc")
+    return positioned(part.repartition(_id()))
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents without the lines that go, with ``_n_lines`` and
     ``_n_gone`` (their lines, and those that went)."""
-    own = positioned(docs)
-    lines = settled(own, rarity_levels(own), percent)
-    pairs = candidate_pairs(_prefixes(lines, percent), percent)
-    none = F.lit(None).cast("long")
-    # one job for both, so that the lines are shuffled once
-    judged = materialize(lines.filter("near").select("doc", "no", none.alias("doc2"), none.alias("no2")).unionByName(pairs), "line-pairs")
-    pairs = judged.filter("doc2 is not null")
-    own = positioned(docs, deal=True)
-    texts = _fetched(own, pairs.select("doc", "no").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("no2").alias("no"))))
-    other = texts.select(F.col("doc").alias("doc2"), F.col("no").alias("no2"), F.col("words").alias("words2"))
-    both = pairs.join(texts, ["doc", "no"]).join(other, ["doc2", "no2"])
-    matched = both.filter(_similar(F.size(F.array_intersect("words", "words2")), F.size("words"), F.size("words2"), percent)).select("doc", "no")
-    gone = judged.filter("doc2 is null").select("doc", "no").unionByName(matched).groupBy("doc").agg(F.collect_set("no").alias("gone"))
-    out = own.join(gone, own["_doc"] == gone["doc"], "left").withColumn("_lines", F.split("text", "\n"))
-    here = F.transform(F.filter(F.coalesce("gone", F.array().cast("array<long>")), lambda x: F.shiftright(x, 32) == F.col("_row")), lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
-    out = out.withColumn("_gone", here)
+    columns, docs = docs.columns, packed(docs)
+    numbered = positioned(docs)
+    rows = prefixes(numbered, rarity_levels(numbered), percent).repartition("token")
+    rows = rows.withColumn("lead", F.row_number().over(Window.partitionBy("token", "k", "n", "b", "w2").orderBy("doc", "no")) == 1)
+    rows = rows.withColumn("m", F.count_if("lead").over(Window.partitionBy("token")))
+    null = F.lit(None).cast("long")
+    crowd_columns = ["token", "n", "at", "b", "w2", "m"]
+    # one job for all three, so that the prefixes are shuffled once
+    found = _pairs_inside(rows.filter(F.col("lead") & F.col("m").between(2, CROWD)), percent).withColumns(dict.fromkeys(crowd_columns, null))
+    rest = rows.filter((F.col("lead") & (F.col("m") > CROWD)) | (~F.col("lead") & (F.col("at") == 0)))
+    rest = rest.select("doc", "no", null.alias("doc2"), null.alias("no2"), *[F.when(F.col("lead"), F.col(c).cast("long")).alias(c) for c in crowd_columns])
+    first_job = materialize(found.unionByName(rest), "line-pairs")
+    pairs, crowd = first_job.filter("doc2 is not null").select(*_PAIR), first_job.filter("token is not null").drop("doc2", "no2")
+    settled = copies = first_job.filter("doc2 is null and token is null").select("doc", "no")
+    if not crowd.isEmpty():
+        part = F.pmod(F.xxhash64("doc", "no"), F.ceil(F.col("m") / PART)).alias("part")
+        parted = crowd.withColumn("part", part)
+        head = parted.groupBy("token", "part").agg(F.min(F.struct(*_LINE)).alias("x")).select("token", "part", "x.*")
+        near = _pairs(parted, head, ["token", "part"], percent)
+        near = materialize(near, "line-near")
+        ids = near.select("doc").unionByName(near.select(F.col("doc2").alias("doc")))
+        near_copies = materialize(_verified(_dealt(docs, _touched(ids)), near, percent), "line-settled")
+        settled = copies.unionByName(near_copies)
+        left = crowd.join(near_copies, ["doc", "no"], "left_anti")
+        pairs = materialize(pairs.unionByName(_pairs(left, crowd, ["token"], percent)), "line-pairs")
+    ids = pairs.select("doc").unionByName(pairs.select(F.col("doc2").alias("doc")))
+    touched = _touched(ids.unionByName(settled.select("doc")))
+    own = _dealt(docs, touched)
+    matched = _verified(own, pairs, percent).unionByName(settled)
+    gone = matched.groupBy("doc").agg(F.collect_set("no").alias("gone"))
+    out = own.join(gone, own["_doc"] == gone["doc"], "left")
+    here = F.transform(F.filter(F.coalesce("gone", F.array().cast("array<long>")), lambda x: F.shiftright(x, 32) == F.col("_row")), lambda x: x.bitwiseAND(F.lit(_LOW)).cast("int"))
+    out = out.withColumn("_gone", here).withColumn("_lines", F.split("text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     text = F.when(F.size("_gone") > 0, F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")).otherwise(F.col("text"))
-    return out.withColumn("text", text).select(*docs.columns, F.greatest(F.size("_lines"), F.lit(0)).alias("_n_lines"), F.size("_gone").alias("_n_gone"))
+    out = out.select(*unpacked(columns, text=text), F.greatest(F.size("_lines"), F.lit(0)).alias("_n_lines"), F.size("_gone").alias("_n_gone"))
+    rest = numbered.filter(~touched).select(*unpacked(columns), F.greatest(F.size(F.split("text", "\n")), F.lit(0)).alias("_n_lines"), F.lit(0).alias("_n_gone"))
+    return out.unionByName(rest)
 
 
 def remove_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -178,7 +254,7 @@ def remove_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     words and is left with none goes.  ``n_chars``, where present, follows the
     text."""
     out = dedup_lines(docs, percent)
-    out = out.filter((F.col("_n_gone") == 0) | (F.size(words(F.regexp_replace("text", "\n", " "))) > 0))
+    out = out.filter((F.col("_n_gone") == 0) | F.col("text").rlike(r"[^ \n]"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_n_gone") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
@@ -189,11 +265,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_n_lines").cast("long").alias("n_lines"), F.col("_n_gone").cast("long").alias("n_removed"), "text")
 
 
-_SQL_PUNCTUATION = _PUNCTUATION.replace("'", "''").replace("{", "{{").replace("}", "}}")
 ORACLE_SQL = f"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
 w AS MATERIALIZED (SELECT doc_id, no, row_number() OVER (ORDER BY doc_id, no) AS pos,
-    list_filter(list_distinct(string_split(translate(lower(line), '{_SQL_PUNCTUATION}', repeat(' ', {len(_PUNCTUATION)})), ' ')), lambda x: x <> '') AS ws FROM l),
+    list_filter(list_distinct(string_split(lower(line), ' ')), lambda x: x <> '') AS ws FROM l),
 t AS (SELECT pos, unnest(ws) AS word, len(ws) AS n FROM w),
 f AS (SELECT word, count(*) AS df FROM t GROUP BY word),
 r AS (SELECT pos, word, n, row_number() OVER (PARTITION BY pos ORDER BY df, word) AS place FROM t JOIN f USING (word)),
@@ -205,4 +280,4 @@ k AS (SELECT doc_id, count(*) FILTER (late IS NOT NULL) AS n_removed, string_agg
 SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
   CASE WHEN n_removed > 0 THEN coalesce(kept, '') ELSE text END AS text
 FROM documents LEFT JOIN k USING (doc_id)
-""".replace("{{", "{").replace("}}", "}")
+"""
