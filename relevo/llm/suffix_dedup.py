@@ -135,62 +135,52 @@ class Shard:
         pairs = np.unique((bucket << np.uint64(32)) | self.tag)
         return {int(part[0] >> np.uint64(32)): part.astype(np.uint32) for part in np.split(pairs, np.flatnonzero(np.diff(pairs >> np.uint64(32))) + 1) if len(part)}
 
-    def stretches(self, buckets: int, replies: dict[int, tuple[bytes, bytes]]) -> list[Stretch]:
-        """The distinct stretches to compare with other documents."""
+    def stretches(self, buckets: int, replies: dict[int, tuple[bytes, bytes]]) -> Stretches:
+        """The stretches to compare with other documents."""
         bucket = self.bucket_hash % np.uint64(buckets)
         pairs = (bucket << np.uint64(32)) | self.tag
         shared, everywhere = np.zeros(len(pairs), bool), np.zeros(len(pairs), bool)
+        order = np.argsort(pairs, kind="stable")
+        p = pairs[order]
         for b, own in self.tags(buckets).items():
-            mine = np.flatnonzero(bucket == np.uint64(b))
+            lo, hi = np.searchsorted(p, [b << 32, (b + 1) << 32])
+            mine = order[lo:hi]
             at = np.searchsorted(own, self.tag[mine].astype(np.uint32))
             for out, bits in zip((shared, everywhere), replies.get(b, (b"", b"")), strict=True):
                 if bits:
                     out[mine] = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own)).astype(bool)[at]
-        # keys of several documents of this shard
-        order = np.argsort(pairs, kind="stable")
-        p, d = pairs[order], self.ids[self.doc[order]]
-        head = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])) if len(p) else np.zeros(0, np.int64)
-        if len(p):
+        if len(p):  # keys of several documents of this shard
+            d = self.ids[self.doc[order]]
+            head = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
             several = np.maximum.reduceat(d, head) > np.minimum.reduceat(d, head)
             shared[order] |= np.repeat(several, np.diff(np.append(head, len(p))))
-        known: dict[tuple, Stretch] = {}
-        for k in np.flatnonzero(shared).tolist():
-            start, count, doc = int(self.start[k]), int(self.count[k]), int(self.doc[k])
-            parts = [(start, count)] if not everywhere[k] else [(start + i, 1) for i in range(count)]
-            for at, n in parts:
-                text = self.bytes[at : at + n + LENGTH - 1]
-                if everywhere[k]:
-                    key = (text,)
-                else:
-                    key = (text, int(pairs[k]))
-                s = known.get(key)
-                if s is None:
-                    if everywhere[k]:
-                        tag, b = _tag(np.array([_text_hash(text)], np.uint64))
-                        s = Stretch(text, int(b[0] % np.uint64(buckets)), int(tag[0]), int(self.ids[doc]))
-                    else:
-                        s = Stretch(text, int(bucket[k]), int(self.tag[k]), int(self.ids[doc]))
-                    known[key] = s
-                s.places.append((at, int(self.ids[doc])))
-        return list(known.values())
+        hashes = Hashes(self.data)
+        k, e = np.flatnonzero(shared & ~everywhere), np.flatnonzero(shared & everywhere)
+        # windows of a key that is everywhere stand alone, dealt by their own hash
+        single = ranges(self.start[e], self.count[e])
+        tag, pick = _tag(hashes.of(single, LENGTH))
+        start = np.concatenate([self.start[k], single])
+        size = np.concatenate([self.count[k] + LENGTH - 1, np.full(len(single), LENGTH, np.int64)])
+        doc = self.ids[np.concatenate([self.doc[k], np.repeat(self.doc[e], self.count[e])])]
+        pairs = np.concatenate([pairs[k], (pick % np.uint64(buckets) << np.uint64(32)) | tag])
+        return Stretches(self.data, hashes, start, size, doc, pairs)
 
     def cut(self, buckets: int, replies, answers: dict[int, bytes]) -> tuple[list, list]:
         """Removed spans and kept bytes of each document, in the table's order."""
-        depth = np.zeros(len(self.data) + 1, np.int64)
-        at = dict.fromkeys(answers, 0)
-        bits = {b: np.unpackbits(np.frombuffer(x, np.uint8)) for b, x in answers.items()}
-        for s in self.stretches(buckets, replies):
-            n = len(s.text) - LENGTH + 1
-            own = bits[s.bucket][at[s.bucket] : at[s.bucket] + n]
-            at[s.bucket] += n
-            hit = np.flatnonzero(own)
-            for place, doc in s.places:
-                if doc > s.least:  # a smaller document of this shard has the whole stretch
-                    depth[place] += 1
-                    depth[place + len(s.text)] -= 1
-                elif len(hit):
-                    depth[place + hit] += 1
-                    np.subtract.at(depth, place + hit + LENGTH, 1)
+        s = self.stretches(buckets, replies)
+        flags = np.zeros(int(s.windows.sum()), bool)
+        for b, lo, hi in s.by_bucket():
+            at, n = s.offset[lo], int(s.windows[lo:hi].sum())
+            flags[at : at + n] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=n)
+        n = len(self.data) + 1
+        # a smaller document of this shard has the whole stretch
+        later = s.doc > s.least[s.unique]
+        begins, ends = [s.start[later]], [s.start[later] + s.size[later]]
+        first = np.flatnonzero(~later)
+        windows = s.windows[s.unique[first]]
+        at = ranges(s.start[first], windows)[flags[ranges(s.offset[s.unique[first]], windows)]]
+        begins.append(at), ends.append(at + LENGTH)
+        depth = np.bincount(np.concatenate(begins), minlength=n) - np.bincount(np.concatenate(ends), minlength=n)
         covered = np.cumsum(depth[:-1]) > 0
         spans: list = [[] for _ in self.order]
         kept: list = [b""] * len(self.order)
@@ -206,11 +196,49 @@ class Shard:
         return spans, kept
 
 
-class Stretch:
-    __slots__ = ("text", "bucket", "tag", "least", "places")
-
-    def __init__(self, text: bytes, bucket: int, tag: int, least: int):
-        self.text, self.bucket, self.tag, self.least, self.places = text, bucket, tag, least, []
+class Stretches:
+    """Pieces of a byte array (``start, size, doc`` and ``pairs``: bucket and
+    tag), and the distinct ones among them: ``unique`` tells each piece's, and
+    ``first`` (a piece), ``least`` document, ``windows`` and ``offset`` of the
+    first window describe them, in the order of their pairs."""
+
+    def __init__(self, data, hashes, start, size, doc, pairs):
+        self.data, self.start, self.size, self.doc, self.pairs = data, start, size, doc, pairs
+        name = mix64(pairs ^ mix64(hashes.of(start, size) + size.astype(np.uint64)))
+        _, first, same = np.unique(name, return_index=True, return_inverse=True)
+        rep = first[same]
+        wrong = ~_equal(data, start, size, start[rep], size[rep]) | (pairs != pairs[rep])
+        if wrong.any():  # equal hashes of different bytes: pieces of their own
+            rep = np.where(wrong, np.arange(len(rep)), rep)
+            first, same = np.unique(rep, return_inverse=True)
+        order = np.argsort(pairs[first], kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.first, self.unique = first[order], place[same]
+        self.least = np.full(len(first), np.iinfo(np.int64).max)
+        np.minimum.at(self.least, self.unique, doc)
+        self.windows = size[self.first] - LENGTH + 1
+        self.offset = np.cumsum(self.windows) - self.windows
+
+    def by_bucket(self):
+        """(bucket, low, high): the distinct pieces of each bucket."""
+        bucket = (self.pairs[self.first] >> np.uint64(32)).astype(np.int64)
+        edge = np.flatnonzero(np.diff(bucket)) + 1
+        if len(bucket):
+            for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(bucket)], strict=True):
+                yield int(bucket[lo]), lo, hi
+
+
+def _equal(data: np.ndarray, a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
+    """Whether two pieces hold the same bytes, pair by pair."""
+    out = n == m
+    todo = np.flatnonzero(out & (a != b))
+    for i in range(0, len(todo), piece):
+        k = todo[i : i + piece]
+        differ = data[ranges(a[k], n[k])] != data[ranges(b[k], n[k])]
+        head = np.cumsum(n[k]) - n[k]
+        out[k] = ~np.logical_or.reduceat(differ, head)
+    return out
 
 
 def _tag(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,12 +247,6 @@ def _tag(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x & np.uint64(0xFFFFFFFF), x >> np.uint64(32)
 
 
-def _text_hash(text: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(text)
-
-
 def common_extension(hashes: Hashes, a: np.ndarray, b: np.ndarray, most: int = LENGTH) -> np.ndarray:
     """Length of the common beginning, up to ``most``, of the suffixes at a
     and b, by binary search over their hashes."""
@@ -287,51 +309,42 @@ def sort_windows(data: np.ndarray, hashes: Hashes, start: np.ndarray, group: np.
     return order
 
 
-def least_documents(texts: list[bytes], docs: list[int], tags: list[int]) -> list[np.ndarray]:
-    """For every window of distinct stretches, the least of the documents of
-    the stretches that hold it (within a tag)."""
-    out: list = [None] * len(texts)
-    todo, held = [], 0
-
-    def run():
-        joined = b"".join(texts[k] for k in todo)
-        data = np.frombuffer(joined, np.uint8)
-        sizes = np.array([len(texts[k]) for k in todo])
-        counts = sizes - LENGTH + 1
-        start = ranges(np.cumsum(sizes) - sizes, counts)
-        owner = np.repeat(np.arange(len(todo)), counts)
-        tag = np.array([tags[k] for k in todo])[owner]
-        hashes = Hashes(data)
-        order = sort_windows(data, hashes, start, tag)
-        a, b = start[order[:-1]], start[order[1:]]
-        same = (tag[order[:-1]] == tag[order[1:]]) & (common_extension(hashes, a, b) == LENGTH)
+def least_documents(data: np.ndarray, hashes: Hashes, start: np.ndarray, size: np.ndarray, doc: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """For every window of distinct stretches (in the order of their tags),
+    the least of the documents of the stretches that hold it, within a tag."""
+    counts = size - LENGTH + 1
+    out: list = [np.zeros(0, np.int64)]
+    # whole tags, about SORTED windows at once
+    edge = np.flatnonzero(np.concatenate([[True], tag[1:] != tag[:-1]])) if len(tag) else np.zeros(0, np.int64)
+    ahead = np.cumsum(counts) - counts
+    lo = 0
+    while lo < len(tag):
+        wanted = np.searchsorted(ahead, ahead[lo] + SORTED)
+        after = edge[np.searchsorted(edge, max(wanted, lo + 1)) :]
+        hi = int(after[0]) if len(after) else len(tag)
+        part = slice(lo, hi)
+        at = ranges(start[part], counts[part])
+        owner = np.repeat(np.arange(lo, hi), counts[part])
+        group, least = tag[owner], doc[owner]
+        order = sort_windows(data, hashes, at, group)
+        a, b = at[order[:-1]], at[order[1:]]
+        same = (group[order[:-1]] == group[order[1:]]) & (common_extension(hashes, a, b) == LENGTH)
         wrong = np.zeros(len(same), bool)
         for k in range(LENGTH):  # what the hashes call equal, byte by byte
             wrong |= same & (data[a + k] != data[b + k])
-        least = np.array([docs[k] for k in todo], np.int64)[owner]
         if wrong.any():
+            keys = [(g, data[w : w + LENGTH].tobytes()) for g, w in zip(group.tolist(), at.tolist(), strict=True)]
             exact: dict = {}
-            keys = [(int(tag[w]), joined[start[w] : start[w] + LENGTH]) for w in range(len(start))]
-            for key, doc in zip(keys, least.tolist(), strict=True):
-                exact[key] = min(doc, exact.get(key, doc))
+            for key, d in zip(keys, least.tolist(), strict=True):
+                exact[key] = min(d, exact.get(key, d))
             least = np.array([exact[key] for key in keys], np.int64)
-        elif len(order):
+        else:
             head = np.flatnonzero(np.concatenate([[True], ~same]))
             run_least = np.minimum.reduceat(least[order], head)
             least[order] = np.repeat(run_least, np.diff(np.append(head, len(order))))
-        for k, part in zip(todo, np.split(least, np.cumsum(counts)[:-1]), strict=True):
-            out[k] = part
-
-    by_tag = sorted(range(len(texts)), key=lambda k: tags[k])
-    for place, k in enumerate(by_tag):
-        if held >= SORTED and tags[k] != tags[by_tag[place - 1]]:
-            run()
-            todo, held = [], 0
-        todo.append(k)
-        held += len(texts[k]) - LENGTH + 1
-    if todo:
-        run()
-    return out
+        out.append(least)
+        lo = hi
+    return np.concatenate(out)
 
 
 def _table(schema, **columns) -> pa.Table:
@@ -374,49 +387,43 @@ def _answer_tags(t: pa.Table) -> pa.Table:
 
 def _send_stretches(buckets: int):
     def run(t: pa.Table, replies: pa.Table) -> pa.Table:
-        by: dict[int, list] = {}
-        if t.num_rows:
-            for s in _shard(t).stretches(buckets, _replies(replies, 1)):
-                by.setdefault(s.bucket, []).append(s)
-        shard = t.column("shard")[0].as_py() if t.num_rows else 0
+        if not t.num_rows:
+            return _table(_SENT, bucket=[], shard=[], tags=[], docs=[], sizes=[], text=[])
+        s = _shard(t).stretches(buckets, _replies(replies, 1))
+        tag, size = s.pairs[s.first].astype(np.uint32), s.size[s.first]
+        parts = list(s.by_bucket())
         return _table(
             _SENT,
-            bucket=list(by),
-            shard=[shard] * len(by),
-            tags=[np.array([s.tag for s in ss], np.uint32).tobytes() for ss in by.values()],
-            docs=[np.array([s.least for s in ss], np.int64).tobytes() for ss in by.values()],
-            sizes=[np.array([len(s.text) for s in ss], np.int32).tobytes() for ss in by.values()],
-            text=[b"".join(s.text for s in ss) for ss in by.values()],
+            bucket=[b for b, _, _ in parts],
+            shard=[t.column("shard")[0].as_py()] * len(parts),
+            tags=[tag[lo:hi].tobytes() for _, lo, hi in parts],
+            docs=[s.least[lo:hi].tobytes() for _, lo, hi in parts],
+            sizes=[size[lo:hi].astype(np.int32).tobytes() for _, lo, hi in parts],
+            text=[s.data[ranges(s.start[s.first[lo:hi]], size[lo:hi])].tobytes() for _, lo, hi in parts],
         )
 
     return run
 
 
 def _answer_stretches(t: pa.Table) -> pa.Table:
-    rows = t.to_pylist()
-    number: dict[tuple, int] = {}  # of each distinct stretch of a tag
-    texts, least, tags, sent = [], [], [], []
-    for r in rows:
-        own, at = [], 0
-        for tag, doc, size in zip(np.frombuffer(r["tags"], np.uint32).tolist(), np.frombuffer(r["docs"], np.int64).tolist(), np.frombuffer(r["sizes"], np.int32).tolist(), strict=True):
-            text = r["text"][at : at + size]
-            at += size
-            k = number.setdefault((tag, text), len(texts))
-            if k == len(texts):
-                texts.append(text), least.append(doc), tags.append(tag)
-            elif doc < least[k]:
-                least[k] = doc
-            own.append((k, doc))
-        sent.append(own)
-        r["text"] = None
-    del number
-    held = np.unique(np.array(tags), return_inverse=True, return_counts=True)
-    several = np.flatnonzero(held[2][held[1]] > 1).tolist()
-    windows = dict(zip(several, least_documents([texts[k] for k in several], [least[k] for k in several], [tags[k] for k in several]), strict=True))
-    bits = []
-    for own in sent:
-        flags = [windows[k] < doc if k in windows else np.full(len(texts[k]) - LENGTH + 1, least[k] < doc) for k, doc in own]
-        bits.append(np.packbits(np.concatenate(flags)).tobytes())
+    rows = t.select(["shard", "bucket", "tags", "docs", "sizes"]).to_pylist()
+    data = np.frombuffer(b"".join(t.column("text").to_pylist()), np.uint8)
+    tag, doc, size = (np.concatenate([np.frombuffer(r[c], kind) for r in rows]) for c, kind in (("tags", np.uint32), ("docs", np.int64), ("sizes", np.int32)))
+    size = size.astype(np.int64)
+    start, hashes = np.cumsum(size) - size, Hashes(data)
+    s = Stretches(data, hashes, start, size, doc, tag.astype(np.uint64))
+    own = s.pairs[s.first]
+    # tags of several different stretches: their windows are sorted
+    head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    several = np.repeat(np.diff(np.append(head, len(own))) > 1, np.diff(np.append(head, len(own))))
+    least = np.repeat(s.least, s.windows)
+    k = np.flatnonzero(several)
+    least[ranges(s.offset[k], s.windows[k])] = least_documents(data, hashes, start[s.first[k]], size[s.first[k]], s.least[k], own[k])
+    windows = s.windows[s.unique]
+    flags = least[ranges(s.offset[s.unique], windows)] < np.repeat(doc, windows)
+    sent = np.cumsum([len(r["docs"]) // 8 for r in rows])
+    ends = np.concatenate([[0], np.cumsum(windows)])[sent]
+    bits = [np.packbits(x).tobytes() for x in np.split(flags, ends[:-1])]
     return _table(_REPLY, shard=[r["shard"] for r in rows], bucket=[r["bucket"] for r in rows], kind=[2] * len(rows), bits=bits, more=[b""] * len(rows))
 
 

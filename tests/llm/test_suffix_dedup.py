@@ -74,6 +74,9 @@ def test_sorted_windows_and_collisions(monkeypatch):
     assert keys == sorted(keys)
     # hashes that call everything equal: the bytes decide
     monkeypatch.setattr(m.Hashes, "of", lambda self, start, length: np.zeros(len(start), np.uint64))
-    texts = [b"a" * 55, b"a" * 50 + b"b" * 6, b"b" * 56]
-    least = m.least_documents(texts, [3, 1, 2], [7, 7, 7])
-    assert [x.tolist() for x in least] == [[1] * 6, [1] * 1 + [1] * 6, [2] * 7]
+    data = np.frombuffer(b"a" * 55 + b"a" * 50 + b"b" * 6 + b"b" * 56, np.uint8)
+    start, size, doc = np.array([0, 55, 111]), np.array([55, 56, 56]), np.array([3, 1, 2])
+    least = m.least_documents(data, m.Hashes(data), start, size, doc, np.array([7, 7, 7]))
+    assert least.tolist() == [1] * 6 + [1] * 7 + [2] * 7
+    s = m.Stretches(data, m.Hashes(data), np.array([0, 1, 111, 112]), np.array([50, 50, 50, 50]), np.array([5, 4, 3, 2]), np.zeros(4, np.uint64))
+    assert s.windows.sum() >= 2 and (s.least[s.unique] <= s.doc).all() and s.unique[0] != s.unique[2]
