@@ -54,17 +54,17 @@ class Transducer:
 
     def __init__(self, pieces: list, merges: bool, byte_fallback: bool, prefix: bool, unknown: int = 0):
         self.ids, self.score, self.byte_ids = {}, {}, {}
-        self.surface: list = []
+        self.surface: list[bytes] = []
         for i, (text, score, kind) in enumerate(pieces):
             if kind in (_NORMAL, _USER, _UNUSED):
                 self.ids[text], self.score[text] = i, score
-                self.surface.append(text.replace(BLANK, " "))
+                self.surface.append(text.replace(BLANK, " ").encode())
             elif kind == _BYTE:
                 value = int(text[3:-1], 16)
                 self.byte_ids[value] = i
                 self.surface.append(bytes([value]))
             else:
-                self.surface.append("" if kind == _CONTROL else " ⁇ ")
+                self.surface.append(b"" if kind == _CONTROL else " ⁇ ".encode())
         self.merges, self.byte_fallback, self.prefix, self.unknown = merges, byte_fallback, prefix, unknown
         self.longest = max(map(len, self.ids), default=1)
         #: Weight of every piece, and None for the other beginnings of pieces.
@@ -196,15 +196,7 @@ class Transducer:
 
     def decode(self, ids) -> str:
         surface = self.surface
-        parts = [surface[i] for i in ids]
-        if any(type(p) is bytes for p in parts):
-            parts, raw = [], bytearray()
-            for i in ids:
-                p = surface[i]
-                raw += p if type(p) is bytes else p.encode()
-            text = raw.decode("utf-8", "replace")
-        else:
-            text = "".join(parts)
+        text = b"".join([surface[i] for i in ids]).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
