@@ -212,13 +212,15 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     columns, docs = docs.columns, packed(docs)
     numbered = positioned(docs)
     rows = prefixes(numbered, rarity_levels(numbered), percent).repartition("token")
-    rows = rows.withColumn("lead", F.row_number().over(Window.partitionBy("token", "k", "n", "b", "w2").orderBy("doc", "no")) == 1)
+    same = Window.partitionBy("token", "k", "n", "b", "w2").orderBy("doc", "no")
+    # a row repeated exactly has its lead's place, and is no copy of it
+    rows = rows.withColumns({"lead": F.row_number().over(same) == 1, "copy": F.rank().over(same) > 1})
     rows = rows.withColumn("m", F.count_if("lead").over(Window.partitionBy("token")))
     null = F.lit(None).cast("long")
     crowd_columns = ["token", "n", "at", "b", "w2", "m"]
     # one job for all three, so that the prefixes are shuffled once
     found = _pairs_inside(rows.filter(F.col("lead") & F.col("m").between(2, CROWD)), percent).withColumns(dict.fromkeys(crowd_columns, null))
-    rest = rows.filter((F.col("lead") & (F.col("m") > CROWD)) | (~F.col("lead") & (F.col("at") == 0)))
+    rest = rows.filter((F.col("lead") & (F.col("m") > CROWD)) | (F.col("copy") & (F.col("at") == 0)))
     rest = rest.select("doc", "no", null.alias("doc2"), null.alias("no2"), *[F.when(F.col("lead"), F.col(c).cast("long")).alias(c) for c in crowd_columns])
     first_job = materialize(found.unionByName(rest), "line-pairs")
     pairs, crowd = first_job.filter("doc2 is not null").select(*_PAIR), first_job.filter("token is not null").drop("doc2", "no2")

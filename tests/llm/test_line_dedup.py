@@ -49,3 +49,13 @@ def test_rows_that_share_an_id(spark):
     rows = [(1, "one two three\nfour five six"), (1, "one two three\nseven eight nine"), (None, "one two three"), (2, "seven eight nine")]
     out = sorted((r.doc_id or 0, r.text) for r in m.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert out == [(0, "one two three"), (1, "four five six"), (1, "seven eight nine"), (2, "")]
+
+
+def test_repeated_row_keeps_its_lines(spark, monkeypatch):
+    rows = [(1, "one two three\nfour five six"), (1, "one two three\nfour five six"), (2, "seven eight nine\nseven eight nine"), (2, "seven eight nine\nseven eight nine"), (3, "four five six")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(1, rows[0][1]), (1, rows[0][1]), (2, "seven eight nine"), (2, "seven eight nine")]
+    for crowd in (256, 0):
+        monkeypatch.setattr(m, "CROWD", crowd)
+        assert sorted((r.doc_id, r.text) for r in m.dedup_lines(docs).collect()) == [*want, (3, "")]
+        assert sorted((r.doc_id, r.text) for r in m.remove_repeated_lines(docs).collect()) == want
