@@ -1,10 +1,15 @@
 """Removal of lines that repeat an earlier line, exactly or nearly (operator
 10), DataFrame functions only.
 
-A line's set is its distinct lower-case words (parted by blanks).  A line goes
-if any line before it, in the order (doc_id, line number), has a Jaccard
-similarity of ``percent`` per cent or more with it, whether that line itself
-stays or not.  Lines without words stay.
+A line's set is its distinct lower-case words (parted by blanks, and by the
+characters of ``blanks`` where given).  A line goes if any line before it, in
+the order (doc_id, line number), has a Jaccard similarity of ``percent`` per
+cent or more with it, whether that line itself stays or not.  Lines without
+words stay.
+
+The query and the pipeline give no ``blanks``, as their SQL and tests say, so
+lines that differ in signs, tabs or a CR may both stay; ``PUNCTUATION`` parts
+words at these, too.
 
 Words are ordered by rarity: by the level (log2) of how often the words of
 their hash bucket occur in the whole table, then by hash.  This order is the
@@ -34,6 +39,8 @@ text; an empty table gives an empty result; other columns pass through.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,13 +55,21 @@ BUCKETS = 1 << 17
 #: a larger group.
 CROWD, PART = 256, 4096
 _HASH_BITS = 57
+#: ASCII punctuation, tab, CR and others that ``blanks`` may name.
+PUNCTUATION = string.punctuation + "\t\r\x0b\x0c"
 _LEAST = -(1 << 63)
 _LOW = (1 << 32) - 1
 
 
-def words(line: Column) -> Column:
+def plain(text: Column, blanks: str) -> Column:
+    """The lower-case text with blanks for the characters of ``blanks``."""
+    low = F.lower(text)
+    return F.translate(low, blanks, " " * len(blanks)) if blanks else low
+
+
+def words(line: Column, blanks: str = "") -> Column:
     """Distinct words of a line."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(line), " ")), "")
+    return F.array_remove(F.array_distinct(F.split(plain(line, blanks), " ")), "")
 
 
 def _id() -> Column:
@@ -81,9 +96,9 @@ def _small_table(values) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<tinyint>")
 
 
-def rarity_levels(docs: DataFrame) -> list[int]:
+def rarity_levels(docs: DataFrame, blanks: str = "") -> list[int]:
     """Per hash bucket, the bit length of its words' occurrences in all texts."""
-    text_words = docs.select(F.explode(F.split(F.translate(F.lower("text"), "\n", " "), " ")).alias("w"))
+    text_words = docs.select(F.explode(F.split(plain(F.col("text"), blanks + "\n"), " ")).alias("w"))
     counted = text_words.filter("w <> ''").groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count().collect()
     levels = [0] * BUCKETS
     for r in counted:
@@ -91,12 +106,12 @@ def rarity_levels(docs: DataFrame) -> list[int]:
     return levels
 
 
-def prefixes(docs: DataFrame, levels: list[int], percent: int) -> DataFrame:
+def prefixes(docs: DataFrame, levels: list[int], percent: int, blanks: str = "") -> DataFrame:
     """``token, doc, no, n, at, b, w2, k`` for the prefix words of each line,
     the rarest first; ``b, w2``: parity bitmap of the set, of two words for
     sets of more than 64; ``k``: a hash of the whole set."""
     level = _small_table(levels)
-    hashed = F.array_distinct(F.transform(F.array_remove(F.split(F.lower("line"), " "), ""), lambda w: F.xxhash64(w)))
+    hashed = F.array_distinct(F.transform(F.array_remove(F.split(plain(F.col("line"), blanks), " "), ""), lambda w: F.xxhash64(w)))
     number = lambda h: F.shiftleft(F.get(level, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
 
     def parity(ids, part=None):
@@ -185,14 +200,14 @@ def _touched(ids: DataFrame) -> Column:
     return F.get(_small_table(seen), bucket("_doc")) == 1
 
 
-def _verified(own: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(own: DataFrame, pairs: DataFrame, percent: int, blanks: str) -> DataFrame:
     """``doc, no`` of the pairs whose Jaccard similarity is high enough; the
     words come from ``own``, the documents dealt by id."""
     wanted = pairs.select("doc", "no").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("no2").alias("no")))
     per_doc = wanted.groupBy("doc").agg(F.collect_set("no").alias("nos"))
     mine = own.join(per_doc, own["_doc"] == per_doc["doc"]).select("doc", "_row", F.split("text", "\n").alias("lines"), F.explode("nos").alias("no"))
     mine = mine.filter(F.shiftright("no", 32) == F.col("_row"))
-    texts = mine.select("doc", "no", words(F.get("lines", F.col("no").bitwiseAND(F.lit(_LOW)).cast("int"))).alias("words"))
+    texts = mine.select("doc", "no", words(F.get("lines", F.col("no").bitwiseAND(F.lit(_LOW)).cast("int")), blanks).alias("words"))
     other = texts.select(F.col("doc").alias("doc2"), F.col("no").alias("no2"), F.col("words").alias("words2"))
     both = pairs.join(texts, ["doc", "no"]).join(other, ["doc2", "no2"])
     common = F.size(F.array_intersect("words", "words2"))
@@ -206,12 +221,12 @@ def _dealt(docs: DataFrame, touched: Column) -> DataFrame:
     return positioned(part.repartition(_id()))
 
 
-def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = PERCENT, blanks: str = "") -> DataFrame:
     """The documents without the lines that go, with ``_n_lines`` and
     ``_n_gone`` (their lines, and those that went)."""
     columns, docs = docs.columns, packed(docs)
     numbered = positioned(docs)
-    rows = prefixes(numbered, rarity_levels(numbered), percent).repartition("token")
+    rows = prefixes(numbered, rarity_levels(numbered, blanks), percent, blanks).repartition("token")
     same = Window.partitionBy("token", "k", "n", "b", "w2").orderBy("doc", "no")
     # a row repeated exactly has its lead's place, and is no copy of it
     rows = rows.withColumns({"lead": F.row_number().over(same) == 1, "copy": F.rank().over(same) > 1})
@@ -232,14 +247,14 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         near = _pairs(parted, head, ["token", "part"], percent)
         near = materialize(near, "line-near")
         ids = near.select("doc").unionByName(near.select(F.col("doc2").alias("doc")))
-        near_copies = materialize(_verified(_dealt(docs, _touched(ids)), near, percent), "line-settled")
+        near_copies = materialize(_verified(_dealt(docs, _touched(ids)), near, percent, blanks), "line-settled")
         settled = copies.unionByName(near_copies)
         left = crowd.join(near_copies, ["doc", "no"], "left_anti")
         pairs = materialize(pairs.unionByName(_pairs(left, crowd, ["token"], percent)), "line-pairs")
     ids = pairs.select("doc").unionByName(pairs.select(F.col("doc2").alias("doc")))
     touched = _touched(ids.unionByName(settled.select("doc")))
     own = _dealt(docs, touched)
-    matched = _verified(own, pairs, percent).unionByName(settled)
+    matched = _verified(own, pairs, percent, blanks).unionByName(settled)
     gone = matched.groupBy("doc").agg(F.collect_set("no").alias("gone"))
     out = own.join(gone, own["_doc"] == gone["doc"], "left")
     here = F.transform(F.filter(F.coalesce("gone", F.array().cast("array<long>")), lambda x: F.shiftright(x, 32) == F.col("_row")), lambda x: x.bitwiseAND(F.lit(_LOW)).cast("int"))
@@ -251,12 +266,12 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.unionByName(rest)
 
 
-def remove_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def remove_repeated_lines(docs: DataFrame, percent: int = PERCENT, blanks: str = "") -> DataFrame:
     """The documents without repeated lines; a document that had lines with
     words and is left with none goes.  ``n_chars``, where present, follows the
     text."""
-    out = dedup_lines(docs, percent)
-    out = out.filter((F.col("_n_gone") == 0) | F.col("text").rlike(r"[^ \n]"))
+    out = dedup_lines(docs, percent, blanks)
+    out = out.filter((F.col("_n_gone") == 0) | (F.trim(plain(F.col("text"), blanks + "\n")) != ""))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_n_gone") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
