@@ -116,13 +116,15 @@ class Best:
             stay = (bound >= self.floor[:, None]).any(axis=0)
             if not stay.all():
                 alive, partial = alive[stay], partial[:, stay]
+        left = ids[alive]
         for i in range(len(self.ids)):
-            over = np.flatnonzero(partial[i] >= self.floor[i])
+            # rows of the query's own id go before the cut, however many there are
+            over = np.flatnonzero((partial[i] >= self.floor[i]) & (left != self.ids[i]))
             if len(over) > 4 * self.k:
-                cut = np.partition(partial[i, over], -self.k - 1)[-self.k - 1]  # one more: the query itself may be among them
+                cut = np.partition(partial[i, over], -self.k)[-self.k]
                 over = over[partial[i, over] >= cut]
             if len(over):
-                self.add(i, partial[i, over], ids[alive[over]])
+                self.add(i, partial[i, over], left[over])
 
 
 def _remaining(m: np.ndarray) -> np.ndarray:

@@ -47,3 +47,13 @@ def test_few_candidates_and_empty_table(spark):
     assert [tuple(r) for r in top_k(df, df.filter("vec_id = 0")).collect()] == [(0, 1, 1, 64 * 128)]
     assert top_k(df.limit(0), df.limit(0)).count() == 0
     assert vector_search.K == 20
+
+
+def test_rows_of_the_querys_own_id_take_no_place():
+    import numpy as np
+
+    c = np.arange(200.0, 0, -1).reshape(1, 200)
+    ids = np.concatenate([np.full(8, 7), np.arange(1000, 1192)])
+    best = Best(np.array([7]), np.ones((1, 1)), 5)
+    best.search(ids, c)
+    assert best.found[0].tolist() == [1000, 1001, 1002, 1003, 1004] and best.scores[0].tolist() == [192, 191, 190, 189, 188]
