@@ -8,12 +8,17 @@ trust flows from hosts whose pages a rule allows along host edges
 against the edges' direction (to the hosts that link there); a host with more
 distrust than trust is blocked.
 
-Host edges: absolute links in the pages' html, and both ways between a host
-and the domain right above it (blog.a.example and a.example), for hosts of
-more than two labels.  Masses are integers (millionths of a page), so sums
+Host edges: absolute links in the pages' html, with or without a scheme, and
+both ways between a host and the domain right above it (blog.a.example and
+a.example), for hosts of more than two labels.  Masses are integers, so sums
 don't depend on the order of rows; mass at a host without edges is dropped.
 The host table and the edges are Spark tables at every size.
 
+The verdict is taken from masses of 10^-18 of a page, moved on until less than
+``REMAINING`` of all mass is under way.  ``trust`` and ``distrust`` give the
+masses after ``steps`` steps in millionths of a page, each share rounded down,
+so small ones show as 0.
+
 Defined results: null urls or urls without ``://`` have an empty host and
 path, no rule, and the verdict of a host without edges (allow); null html has
 no links; repeated pages count as often as they stand there; an empty table
@@ -22,6 +27,7 @@ gives an empty result; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,7 +49,13 @@ STEPS = 10
 #: Per cent of a host's mass that moves along its edges in a step.
 DAMPING = 85
 UNIT = 1_000_000
-LINK = r"""(?:href|src)\s*=\s*["']?[A-Za-z][A-Za-z0-9+.-]*://([^/?#"'\s<>]+)"""
+#: Parts of the verdict's masses in one of the results', and the share of the
+#: mass that may be under way when the verdict is taken.
+FINE, REMAINING = 10**12, 1e-3
+LINK = r"""(?:href|src)\s*=\s*["']?(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
+#: The SQL's links.
+_SCHEME_LINK = r"""(?:href|src)\s*=\s*["']?[A-Za-z][A-Za-z0-9+.-]*://([^/?#"'\s<>]+)"""
+_MASS = "decimal(38,0)"
 
 
 def _ascii_lower(c: Column) -> Column:
@@ -77,24 +89,38 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return links.unionByName(above).unionByName(below).filter("src <> '' and dst <> '' and src <> dst").distinct()
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, steps: int = STEPS) -> DataFrame:
-    """``host, trust, distrust`` from seeds ``host, trust, distrust`` over
-    ``src, dst`` edges.  A step's table is written to the shared folder, so the
-    plan doesn't grow with the steps."""
+def propagate(hosts: DataFrame, edges: DataFrame, steps: int = STEPS, remaining: float = REMAINING) -> DataFrame:
+    """``host, trust, distrust, t, d`` from seeds ``host, trust, distrust`` over
+    ``src, dst`` edges; ``t, d``: the fine masses.  A step's table is written to
+    the shared folder, so the plan doesn't grow with the steps."""
     out_deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     in_deg = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("deg"))
     ahead = edges.join(out_deg, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"), F.col("deg").alias("fwd"), F.lit(None).cast("long").alias("back"))
     against = edges.join(in_deg, "dst").select(F.col("dst").alias("host"), F.col("src").alias("to"), F.lit(None).cast("long").alias("fwd"), F.col("deg").alias("back"))
     arcs = materialize(ahead.unionByName(against), "url-arcs")
+    hosts = hosts.withColumns({f: (F.col(c).cast(_MASS) * F.lit(FINE).cast("decimal(13,0)")).cast(_MASS) for f, c in (("t", "trust"), ("d", "distrust"))})
     if arcs.isEmpty():
         return hosts
+    share = lambda mass, deg: F.expr(f"coalesce({mass} * {DAMPING} div 100 div {deg}, 0)")
+    fine_share = lambda mass, deg: F.expr(f"cast(coalesce(floor({mass} * {DAMPING} / cast({deg} * 100 as decimal(20,0))), 0) as {_MASS})")
+    seed = lambda mass: F.expr(f"{mass} * {100 - DAMPING} div 100")
+    fine_seed = lambda mass: F.expr(f"cast(floor({mass} * {100 - DAMPING} / 100) as {_MASS})")
+
+    def stepped(state, whole):
+        pick = lambda coarse, fine, by: [f(*x).alias(x[0]) for f, xs in ((coarse, by[:2] if whole else []), (fine, by[2:])) for x in xs]
+        moved = arcs.join(state, "host").select(F.col("to").alias("host"), *pick(share, fine_share, [("trust", "fwd"), ("distrust", "back"), ("t", "fwd"), ("d", "back")]))
+        seeds = hosts.select("host", *pick(seed, fine_seed, [("trust",), ("distrust",), ("t",), ("d",)]))
+        sums = moved.unionByName(seeds).groupBy("host").agg(*(F.sum(c).alias(c) for c in moved.columns[1:]))
+        return materialize(sums.withColumns({c: F.col(c).cast(_MASS) for c in ("t", "d")}), "url-mass")
+
     state = hosts
     for _ in range(steps):
-        share = lambda mass, deg: F.expr(f"coalesce({mass} * {DAMPING} div 100 div {deg}, 0)")
-        moved = arcs.join(state, "host").select(F.col("to").alias("host"), share("trust", "fwd").alias("trust"), share("distrust", "back").alias("distrust"))
-        seeds = hosts.select("host", F.expr(f"trust * {100 - DAMPING} div 100").alias("trust"), F.expr(f"distrust * {100 - DAMPING} div 100").alias("distrust"))
-        state = materialize(moved.unionByName(seeds).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "url-mass")
-    return state
+        state = stepped(state, True)
+    coarse = state.select("host", "trust", "distrust")
+    fine = state.select("host", "t", "d")
+    for _ in range(steps, math.ceil(math.log(remaining) / math.log(DAMPING / 100))):
+        fine = stepped(fine, False)
+    return fine.join(coarse, "host", "left")
 
 
 def filter_urls(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
@@ -114,7 +140,7 @@ def filter_urls(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
         "host",
         "path",
         "rule",
-        F.coalesce("ruled", F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")).alias("verdict"),
+        F.coalesce("ruled", F.when(F.col("d") > F.col("t"), "block").otherwise("allow")).alias("verdict"),
         F.coalesce("trust", F.lit(0)).cast("long").alias("trust"),
         F.coalesce("distrust", F.lit(0)).cast("long").alias("distrust"),
     )
@@ -130,7 +156,7 @@ def _oracle() -> str:
     for h, p, v in sorted(RULES, key=lambda r: len(r[0] + r[1])):
         fits = f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
         rule, verdict = f"CASE WHEN {fits} THEN '{h + p}' ELSE {rule} END", f"CASE WHEN {fits} THEN '{v}' ELSE {verdict} END"
-    link = LINK.replace("'", "''")
+    link = _SCHEME_LINK.replace("'", "''")
     steps = ["m0 AS (SELECT * FROM seeds)"]
     for i in range(STEPS):
         steps.append(f"""m{i + 1} AS MATERIALIZED (SELECT host, sum(trust)::BIGINT AS trust, sum(distrust)::BIGINT AS distrust FROM (

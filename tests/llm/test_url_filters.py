@@ -1,3 +1,4 @@
+from relevo.llm import url_filters
 from relevo.llm.url_filters import filter_urls
 
 
@@ -29,3 +30,14 @@ def test_rules_links_and_odd_urls(spark):
     assert (out[10].path, out[10].verdict) == ("", "block")
     assert filter_urls(pages).count() == len(rows)
     assert filter_urls(pages.limit(0)).count() == 0
+
+
+def test_small_masses_long_ways_and_links_without_a_scheme(spark, monkeypatch):
+    monkeypatch.setattr(url_filters, "UNIT", 1000)  # two hosts of 30 links use that up, as two of 1,000 use up a million
+    to = lambda host: f"<a href='http://{host}/'>"
+    links = {f"h{i}.org": to("b.net") for i in range(30)} | {f"g{i}.org": to("h0.org") for i in range(30)}
+    links |= {"c0.org": to("b.net")} | {f"c{i}.org": to(f"c{i - 1}.org") for i in range(1, 15)}
+    links |= {"s.org": "<a href='//b.net/es/'>", "free.org": "<a href='/b.net/'>"}
+    pages = [("http://b.net/es/", None), *((f"http://{h}/", html) for h, html in links.items())]
+    out = filter_urls(spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")).collect()
+    assert {r.host for r in out if r.verdict == "allow"} == {"free.org"}
