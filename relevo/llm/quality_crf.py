@@ -8,8 +8,9 @@ the lines' lengths in bytes.
 
 Training lines carry their document's label.  The fit runs over a bounded
 sample of labelled documents (``sample_documents``, chosen by a hash of the
-id, the same on every run; of each at most ``sample_lines`` lines), whose
-features Spark computes; the model is a few dozen numbers.  Scoring is one
+id, the same on every run; whole ones, and fewer of them where they have more
+than ``sample_lines`` lines on average), whose features Spark computes; the
+model is a few dozen numbers.  Scoring is one
 pass over the documents without a shuffle.
 
 Defined results: null texts, empty texts and texts of blank lines have no
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relevo.llm.common import crc_fold, map_columns, table, utf8
+from relevo.session import materialize
 
 NAME = "op7_quality_classifier"
 ORACLE_SQL = None
@@ -195,10 +197,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_documents: int = SAMP
     """A model from labelled rows whose crc fold isn't the held-out one."""
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter((crc_fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("quality").isin(0, 1))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_documents)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = materialize(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "quality-sample")
+    # whole documents, in the sample's order, as far as sample_lines a document on average go
+    sizes = texts.groupBy("doc_id").agg(F.sum(F.greatest(F.size(F.split("text", "\n")), F.lit(0))).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    room, taken = sample_documents * sample_lines, []
+    for r in sizes:
+        if (r["n"] or 0) <= room:
+            room -= r["n"] or 0
+            taken.append(r["doc_id"])
+    if len(taken) < len(sizes):
+        texts = texts.filter(F.col("doc_id").isin(taken))
 
     def compute(texts):
-        return [[chain_features(document_lines(t)[:sample_lines]).ravel().tolist() for t in texts]]
+        return [[chain_features(document_lines(t)).ravel().tolist() for t in texts]]
 
     rows = map_columns(texts, ["text"], [T.StructField("x", T.ArrayType(T.DoubleType()))], compute).select("doc_id", "quality", "x").collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["quality"], r["x"]))

@@ -77,3 +77,13 @@ def test_words_beside_insults_are_no_entries():
     documents = [[" insult"] + ([" beside "] if i < 12 else []) for i in range(40)] + [[" other"] for _ in range(20)]
     chosen = toxicity.choose_entries(counts, documents, 6000, 60000, cover=1)
     assert set(chosen) == {" insult", " other"}
+
+
+def test_fit_reads_whole_documents(spark):
+    head = "The same line stands here.\n" * 3
+    good, bad = "A sentence of plain words follows the others here.\n", "$$ 11 || ## 99 %% 00\n"
+    docs = spark.createDataFrame([(i, head + (good if i % 2 else bad) * 6) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    model = quality_crf.fit_quality(docs, labels, sample_lines=3)
+    low, high = model.scores([head + bad * 6, head + good * 6])
+    assert high - low > 0.2
