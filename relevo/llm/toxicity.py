@@ -96,12 +96,11 @@ def terms(text: str | None) -> Counter:
     out: Counter = Counter()
     for w, n in Counter(fold(text).split()).items():
         n = min(n, REPEATS)
-        if len(w) >= STEMS[0]:
-            out[f" {w} "] += n
-            for k in STEMS:
-                if k > len(w):
-                    break
-                out[f" {w[:k]}"] += n
+        out[f" {w} "] += n
+        for k in STEMS:
+            if k > len(w):
+                break
+            out[f" {w[:k]}"] += n
     return out
 
 

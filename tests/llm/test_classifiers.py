@@ -87,3 +87,13 @@ def test_fit_reads_whole_documents(spark):
     model = quality_crf.fit_quality(docs, labels, sample_lines=3)
     low, high = model.scores([head + bad * 6, head + good * 6])
     assert high - low > 0.2
+
+
+def test_short_words_become_entries(spark):
+    rng = np.random.default_rng(2)
+    text = lambda i: " ".join(f"word{k}" for k in rng.integers(0, 400, 30)) + (" zut zut" if i % 2 else "")
+    docs = spark.createDataFrame([(i, text(i)) for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    lexicon = toxicity.learn_lexicon(docs, labels)
+    assert " zut " in lexicon.weights and " zut" not in lexicon.weights
+    assert lexicon.scores(["a zut"]) > lexicon.scores(["a word"])
