@@ -234,8 +234,9 @@ def _verified(batches):
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, class_id, n_links`` for every row: the least id of its
-    class, and the number of other documents that it is linked to."""
+    """``doc_id, node, class_id, n_links, keeper`` for every row: the least id of
+    its class, the number of other documents that it is linked to, and the node
+    that stands for its class (the least by id, then node)."""
     texts = docs.select("doc_id", "text")
     sketches = materialize(map_columns(texts, ["text"], _SKETCH, _sketch).select("doc_id", "node", "n", "sig", "bands"), "near-sketches")
     # one row for each set, the least id's
@@ -259,9 +260,9 @@ def classes(docs: DataFrame) -> DataFrame:
     links = judged.filter("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
     roots = components(judged.filter("v is not null").select("u", "v"))
     of_node = nodes.select("node", "doc_id", "copies").join(roots, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = of_node.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    judged_nodes = of_node.join(least, "root").select("node", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return sketches.select("doc_id", "node").join(judged_nodes, "node", "left").select("doc_id", "node", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    least = of_node.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "node")).alias("x")).select("root", F.col("x.doc_id").alias("class_id"), F.col("x.node").alias("keeper"))
+    judged_nodes = of_node.join(least, "root").select("node", "class_id", "keeper", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return sketches.select("doc_id", "node").join(judged_nodes, "node", "left").select("doc_id", "node", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "keeper")
 
 
 def _set_and_key(texts: list):
@@ -270,15 +271,19 @@ def _set_and_key(texts: list):
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those that have a class mate of a smaller id; of
-    rows that are alike in id and shingles, one stays."""
+    """The documents without those that have a class mate of a smaller id (null
+    ids are the greatest), or of the same id and a smaller node; of rows that
+    are alike in id and shingles, one stays.  Rows without words all stay."""
     judged = materialize(classes(docs), "near-classes")
-    gone = judged.filter("doc_id <> class_id or (doc_id is null and class_id is not null)").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
+    gone = judged.filter("node is not null and not (doc_id <=> class_id and node = keeper)").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
     if judged.groupBy("doc_id").count().filter("count > 1").isEmpty():
         return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
     keyed = map_columns(docs, ["text"], [T.StructField("_key", T.BinaryType())], lambda texts: [_set_and_key(texts)[1]])
     kept = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["_id"]) & (keyed["_key"] == gone["_node"]), "left_anti")
-    return kept.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    # rows without words share the empty set's key, but aren't alike
+    bare = F.col("_key") == F.lit(bytearray(set_key(shingle_set(""))))
+    kept = kept.withColumn("_own", F.when(bare, F.monotonically_increasing_id()).otherwise(-1))
+    return kept.dropDuplicates(["doc_id", "_key", "_own"]).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,3 +69,12 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**dict.fromkeys(range(31), 0), **dict.fromkeys(range(100, 120), 100), 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_rows_without_words_stay_and_null_ids_have_one_keeper(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "!!!"), (None, "???"), (None, None), (3, "..."), (3, "--"), (None, base), (None, base + " more"), (None, base)]
+    rows += [(4, base.replace("w", "v")), (4, base.replace("w", "v") + " more")]
+    kept = [r.text for r in m.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    assert len(kept) == 7 and {"!!!", "???", None, "...", "--"} <= set(kept)
+    assert sum(bool(t) and t.startswith("w0") for t in kept) == sum(bool(t) and t.startswith("v0") for t in kept) == 1
