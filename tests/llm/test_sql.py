@@ -9,7 +9,7 @@ duckdb = pytest.importorskip("duckdb")
 
 from relevo.llm.registry import ORACLES, QUERIES  # noqa: E402
 
-TABLES = ["documents", "embeddings", "pages", "benchmark", "labels"]
+TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def _rows(table):
@@ -28,4 +28,4 @@ def test_query_equals_sql(spark, sf_small, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 13]
