@@ -7,6 +7,7 @@ from relevo.llm import (
     line_dedup,
     near_duplicates,
     packing,
+    prefix_trie,
     quality_crf,
     sentencepiece_fst,
     sharding,
@@ -16,7 +17,7 @@ from relevo.llm import (
     vector_search,
 )
 
-_MODULES = (sharding, toxicity, vector_search, suffix_dedup, near_duplicates, sentencepiece_fst, quality_crf, decontamination, url_filters, line_dedup, packing)
+_MODULES = (sharding, toxicity, vector_search, suffix_dedup, near_duplicates, sentencepiece_fst, quality_crf, decontamination, url_filters, line_dedup, prefix_trie, packing)
 
 QUERIES = {m.NAME: m.query for m in _MODULES}
 ORACLES = {m.NAME: m.ORACLE_SQL for m in _MODULES if m.ORACLE_SQL}
