@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from relevo.llm import (
+    alignment,
     decontamination,
     line_dedup,
     near_duplicates,
@@ -17,7 +18,7 @@ from relevo.llm import (
     vector_search,
 )
 
-_MODULES = (sharding, toxicity, vector_search, suffix_dedup, near_duplicates, sentencepiece_fst, quality_crf, decontamination, url_filters, line_dedup, prefix_trie, packing)
+_MODULES = (sharding, toxicity, vector_search, suffix_dedup, near_duplicates, sentencepiece_fst, quality_crf, decontamination, url_filters, line_dedup, alignment, prefix_trie, packing)
 
 QUERIES = {m.NAME: m.query for m in _MODULES}
 ORACLES = {m.NAME: m.ORACLE_SQL for m in _MODULES if m.ORACLE_SQL}
