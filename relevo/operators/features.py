@@ -1,10 +1,22 @@
-"""Token-level document frequency and inverse document frequency."""
+"""Term statistics and sparse feature tables.
+
+A text's features are rows: one for each distinct hashed term, with its
+frequency.  Hashing is the library's ``HashingTF`` (collisions add up), so the
+rows equal its vectors; frequencies and inverse document frequencies over all
+collections, hash sizes and folds are aggregates over these rows, combined
+before the shuffle.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.ml.feature import HashingTF
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from relevo.operators.joins import attach_small
+
 
 def term_idf(prepared: DataFrame, tokens_col: str = "words", id_col: str = "id") -> DataFrame:
     """``term, df, idf`` with ``idf = ln((n + 1) / (df + 1))`` over all rows.
@@ -19,3 +31,81 @@ def term_idf(prepared: DataFrame, tokens_col: str = "words", id_col: str = "id")
         .agg(F.count(F.lit(1)).alias("df"))
         .select("term", "df", F.ln((n + 1.0) / (F.col("df") + 1.0)).alias("idf"))
     )
+
+
+def idf_of(n: Column | str, df: Column | str) -> Column:
+    """Inverse document frequency as the library computes it; a term that no
+    training row has (``df`` null) counts as frequency 0."""
+    n, df = (F.col(c) if isinstance(c, str) else c for c in (n, df))
+    return F.ln((n + 1.0) / (F.coalesce(df, F.lit(0)) + 1.0))
+
+
+def hash_tokens(rows: DataFrame, sizes: Sequence[int], tokens_col: str = "filtered") -> DataFrame:
+    """Add the term-frequency vector ``tf_<size>`` for each hash size; null
+    tokens are none."""
+    known = F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))
+    rows = rows.withColumn("_tokens", known)
+    for n in sizes:
+        rows = HashingTF(inputCol="_tokens", outputCol=f"tf_{n}", numFeatures=n).transform(rows)
+    return rows.drop("_tokens")
+
+
+def entries(vector: Column | str, **tags: int) -> Column:
+    """A sparse vector as ``array<struct<*tags, idx, tf>>``."""
+    v = F.unwrap_udt(vector)
+    front = [F.lit(value).alias(name) for name, value in tags.items()]
+    return F.transform(F.arrays_zip(v["indices"], v["values"]), lambda x: F.struct(*front, x["indices"].alias("idx"), x["values"].alias("tf")))
+
+
+def sized_entries(sizes: Sequence[int]) -> Column:
+    """The entries of all vectors of ``hash_tokens`` in one array, with their
+    ``num_features``."""
+    return F.flatten(F.array(*[entries(f"tf_{n}", num_features=n) for n in sizes]))
+
+
+def term_frequencies(rows: DataFrame, num_features: int, tokens_col: str = "filtered", keep: Sequence[str] = ("id", "collection_id")) -> DataFrame:
+    """``*keep, idx, tf``: a row for every distinct hashed term of a text.  A
+    text without tokens has no row."""
+    hashed = hash_tokens(rows.select(*keep, F.col(tokens_col).alias("_terms")), [num_features], "_terms")
+    return hashed.select(*keep, F.explode(entries(f"tf_{num_features}")).alias("e")).select(*keep, "e.idx", "e.tf")
+
+
+def hashed_idf(training: DataFrame, num_features: int, tokens_col: str = "filtered", by: str = "collection_id") -> DataFrame:
+    """``by, idx, df, idf`` over each collection's training rows."""
+    n = training.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
+    df = term_frequencies(training, num_features, tokens_col, keep=(by,)).groupBy(by, "idx").agg(F.count(F.lit(1)).alias("df"))
+    return attach_small(df, n, by).select(by, "idx", "df", idf_of("n_rows", "df").alias("idf"))
+
+
+def tf_idf(rows: DataFrame, training: DataFrame, num_features: int, tokens_col: str = "filtered", by: str = "collection_id") -> DataFrame:
+    """``id, by, idx, tf, idf, tf_idf`` of every text by its collection's
+    training rows; texts of a collection without any have null weights."""
+    n = training.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
+    terms = attach_small(term_frequencies(rows, num_features, tokens_col, keep=("id", by)), n, by, "left")
+    weighed = attach_small(terms, hashed_idf(training, num_features, tokens_col, by).select(by, "idx", "df"), [by, "idx"], "left")
+    idf = idf_of("n_rows", "df")
+    return weighed.select("id", by, "idx", "tf", idf.alias("idf"), (F.col("tf") * idf).alias("tf_idf"))
+
+
+def fold_frequencies(hashed: DataFrame, sizes: Sequence[int], by: str = "collection_id", fold: str = "fold", label: str = "label") -> DataFrame:
+    """``by, num_features, fold, label, idx, df, tf``: rows that hold a hashed
+    term and its summed frequency, for every hash size, from one aggregate.
+    ``hashed`` has the vectors of ``hash_tokens``."""
+    terms = hashed.select(by, fold, label, F.explode(sized_entries(sizes)).alias("e")).select(by, fold, label, "e.*")
+    return terms.groupBy(by, "num_features", fold, label, "idx").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
+
+
+def fold_idf(frequencies: DataFrame, rows: DataFrame, by: str = "collection_id", fold: str = "fold") -> DataFrame:
+    """``by, num_features, fold, idx, df, idf`` of every training part, the
+    part that leaves out a fold: the collection's total less the fold's own.
+
+    ``frequencies`` from ``fold_frequencies``, ``rows`` (``by, fold,
+    n_rows``) the training rows of each fold.  Terms of the left-out fold
+    alone are there with a frequency of 0."""
+    own = frequencies.groupBy(by, "num_features", "idx", fold).agg(F.sum("df").alias("df"))
+    total = own.groupBy(by, "num_features", "idx").agg(F.sum("df").alias("all_df"))
+    all_rows = rows.groupBy(by).agg(F.sum("n_rows").alias("all_rows"))
+    parts = rows.join(all_rows, by).select(by, fold, (F.col("all_rows") - F.col("n_rows")).alias("n_part"))
+    left = attach_small(total, parts, by).join(own, [by, "num_features", "idx", fold], "left")
+    df = F.col("all_df") - F.coalesce("df", F.lit(0))
+    return left.select(by, "num_features", fold, "idx", df.alias("df"), idf_of("n_part", df).alias("idf"))

@@ -2,34 +2,42 @@
 cross-validation, one model per collection.
 
 The tuned cells are (hash size, regularisation).  A fold is a hash of seed and
-id, so it depends neither on the file layout nor on the number of rows.  For
-each fold and hash size the features are fitted and computed once and serve
-every regularisation.  Every fit is Spark's distributed ML; only the loops over
-collections, folds and cells run on the driver, several of them at a time.
+id, so it depends neither on the file layout nor on the number of rows.  Texts
+are hashed once for all folds and cells; one aggregate of the hashed terms by
+fold gives the IDF of every training part as total less fold.  Regressions are
+Spark's distributed fits, several at a time; naive Bayes needs no fits to be
+tuned, its class sums are differences of the same aggregate.  All cells of all
+collections are then judged by one join of the held-out terms with the cells'
+weights and one exact ranking.
 
 Every text gets a score row.  A collection whose training rows hold one class
 gets that class (``status`` ``one_class``); a collection without training rows
-gets nulls (``untrained``).
+gets nulls (``untrained``).  Scores come from the models' table
+(``relevo.operators.model_table``), whose plan doesn't grow with collections.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
 
+import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import HashingTF, IDF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import ElementwiseProduct, HashingTF, IDF
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relevo.functions.formats import class_probability
+from relevo.operators.features import fold_frequencies, hash_tokens, idf_of, sized_entries
+from relevo.operators.joins import attach_small
 from relevo.operators.labeling import hash_unit
+from relevo.operators.model_table import ModelTable, WeightSink, class_scores, coefficients, model_table, raw_scores
+from relevo.operators.ranking import area_under_roc, weighted_f1
+from relevo.session import checkpoint_dir, materialize
 
 # Model and tuning settings of the classification phase.
 MAX_ITER = 10
@@ -75,12 +83,6 @@ def _features(spec: TuningSpec, num_features: int, prefix: str) -> tuple[Hashing
     return htf, IDF(inputCol=f"{prefix}tf_features", outputCol=f"{prefix}features")
 
 
-def _evaluator(kind: str, prefix: str):
-    if kind == "multinomial":
-        return MulticlassClassificationEvaluator(predictionCol=f"{prefix}prediction", metricName="f1")
-    return BinaryClassificationEvaluator(rawPredictionCol=f"{prefix}rawPrediction")
-
-
 def fold_of(id_col: str, folds: int, seed: int = CV_SEED) -> F.Column:
     """Fold number (0 .. folds - 1) of a row, from its id alone."""
     return hash_unit(id_col, seed) % F.lit(folds)
@@ -103,63 +105,139 @@ def _regularisations(spec: TuningSpec, kind: str) -> list[float | None]:
     return list(spec.reg_params) if kind in ("logistic", "multinomial") else [None]
 
 
-def _fit(kind: str, prefix: str, reg: float | None, features: DataFrame):
-    clf = _classifier(kind, prefix)
-    return (clf.copy({clf.regParam: reg}) if reg is not None else clf).fit(features)
-
+# A cell's weights and intercepts; ``reg`` numbers the regularisations.
+_CELLS = "collection_id string, num_features int, fold int, reg int, idx int, idf double, weights array<double>"
+_CELL_HEADS = "collection_id string, num_features int, fold int, reg int, intercepts array<double>"
+_CELL = ["collection_id", "num_features", "fold", "reg"]
+
+
+def _hashed(training: DataFrame, spec: TuningSpec) -> DataFrame:
+    """Training rows with their fold and vectors, written by collection."""
+    rows = training.select("collection_id", F.col("label").cast("double").alias("label"), fold_of("id", spec.num_folds, spec.seed).cast("int").alias("fold"), spec.feature_col)
+    hashed = hash_tokens(rows, spec.num_features, spec.feature_col).drop(spec.feature_col)
+    return materialize(hashed.withColumn("row", F.monotonically_increasing_id()), "hashed", ["collection_id"])
+
+
+def _part_idfs(frequencies: DataFrame, cid: str, rows: dict[int, int]) -> dict[tuple[int, int], np.ndarray]:
+    """IDF vector of every (hash size, left-out fold) of a collection: at most
+    folds x sizes numbers an index, whatever the number of texts."""
+    own = frequencies.filter(F.col("collection_id") == cid).groupBy("num_features", "fold", "idx").agg(F.sum("df").alias("df")).toArrow()
+    size, fold, idx, df = (own.column(c).to_numpy() for c in ("num_features", "fold", "idx", "df"))
+    out = {}
+    for n in np.unique(size).tolist():
+        counts = np.zeros((max(rows) + 1, n))
+        here = size == n
+        counts[fold[here], idx[here]] = df[here]
+        for f in rows:
+            m = sum(rows.values()) - rows[f]
+            out[n, f] = np.log((m + 1.0) / (counts.sum(axis=0) - counts[f] + 1.0))
+    return out
+
+
+def _fit_cells(kind: str, prefix: str, spec: TuningSpec, hashed: DataFrame, frequencies: DataFrame, counts: dict, usable: dict, concurrency: int) -> tuple[DataFrame, DataFrame]:
+    """(weights, heads) of every cell of all collections, by Spark's fits."""
+    spark = hashed.sparkSession
+    sink = WeightSink(spark, f"{checkpoint_dir(spark).rstrip('/')}/relevo/cells-{uuid.uuid4().hex}", _CELLS)
+    heads: list[tuple] = []
+
+    def collection(cid: str) -> None:
+        rows = {f: sum(own.values()) for f, own in counts[cid].items()}
+        idfs = _part_idfs(frequencies, cid, rows)
+        part = hashed.filter(F.col("collection_id") == cid).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def cell(task: tuple[int, int]) -> None:
+            fold, n = task
+            idf = idfs.get((n, fold), np.zeros(n))
+            scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=f"tf_{n}", outputCol=f"{prefix}features")
+            train = scale.transform(part.filter(F.col("fold") != fold).select("label", f"tf_{n}")).select("label", f"{prefix}features")
+            for k, reg in enumerate(_regularisations(spec, kind)):
+                clf = _classifier(kind, prefix)
+                intercepts, classes = coefficients(kind, (clf.copy({clf.regParam: reg}) if reg is not None else clf).fit(train))
+                sink.add({"collection_id": cid, "num_features": n, "fold": fold, "reg": k}, idf, classes)
+                heads.append((cid, n, fold, k, intercepts.tolist()))
 
-def _tuned(training: DataFrame, spec: TuningSpec, kind: str, prefix: str) -> tuple[tuple[int, float | None], float | None, int]:
-    """The best cell, its mean metric and the number of folds behind it.
+        try:
+            with ThreadPoolExecutor(max_workers=max(1, spec.parallelism)) as pool:
+                list(pool.map(inheritable_thread_target(spark)(cell), [(f, n) for f in usable[cid] for n in spec.num_features]))
+        finally:
+            part.unpersist()
 
-    Only folds whose held-out and remaining rows both hold several classes
-    count: on others the metric says nothing.  Without any such fold the first
-    cell is taken and there is no metric."""
-    spark = training.sparkSession
-    folded = training.withColumn("_fold", fold_of("id", spec.num_folds, spec.seed))
-    classes: dict[int, set] = {}
-    for r in folded.groupBy("_fold", "label").count().collect():
-        classes.setdefault(r["_fold"], set()).add(r["label"])
-    usable = [f for f, own in classes.items() if len(own) > 1 and len(set().union(*(c for g, c in classes.items() if g != f))) > 1]
-    evaluator, metrics = _evaluator(kind, prefix), {}
-
-    def cells(task: tuple[int, int]) -> None:
-        fold, num_features = task
-        htf, idf = _features(spec, num_features, prefix)
-        hashed = htf.transform(folded).persist(StorageLevel.MEMORY_AND_DISK)
-        rest = hashed.filter(F.col("_fold") != fold)
-        fitted = idf.fit(rest)
-        train = fitted.transform(rest).select("label", f"{prefix}features").persist(StorageLevel.MEMORY_AND_DISK)
-        held = fitted.transform(hashed.filter(F.col("_fold") == fold)).select("label", f"{prefix}features").persist(StorageLevel.MEMORY_AND_DISK)
-        for reg in _regularisations(spec, kind):
-            metrics[fold, num_features, reg] = evaluator.evaluate(_fit(kind, prefix, reg, train).transform(held))
-        for df in (held, train, hashed):
-            df.unpersist()
-
-    with ThreadPoolExecutor(max_workers=max(1, spec.parallelism)) as pool:
-        list(pool.map(inheritable_thread_target(spark)(cells), [(f, n) for f in sorted(usable) for n in spec.num_features]))
-    best, best_mean = (spec.num_features[0], _regularisations(spec, kind)[0]), None
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        list(pool.map(inheritable_thread_target(spark)(collection), [c for c in sorted(usable) if usable[c]]))
+    return sink.table().select(*_CELL, "idx", F.transform("weights", lambda w: w * F.col("idf")).alias("weights")), spark.createDataFrame(heads, _CELL_HEADS)
+
+
+def bayes_cells(frequencies: DataFrame, rows: DataFrame, smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """(weights, heads) of naive Bayes for every (collection, hash size,
+    left-out fold) without a fit: sums of the collection less the fold's own.
+    ``rows``: training rows (``collection_id, fold, label, n``) by fold and
+    class.  The weights are the positive class's, as its raw score ranks."""
+    positive = F.col("label") == 1.0
+    by = ["collection_id", "num_features", "idx"]
+    own = frequencies.groupBy(*by, "fold").agg(F.sum("df").alias("df"), F.sum(F.when(positive, F.col("tf")).otherwise(0.0)).alias("s1"))
+    total = own.groupBy(*by).agg(F.sum("df").alias("all_df"), F.sum("s1").alias("all_s1"))
+    folds = rows.groupBy("collection_id", "fold").agg(F.sum("n").alias("n"), F.sum(F.when(positive, F.col("n")).otherwise(0)).alias("n1"))
+    whole = folds.groupBy("collection_id").agg(F.sum("n").alias("all_n"), F.sum("n1").alias("all_n1"))
+    parts = folds.join(whole, "collection_id").select("collection_id", "fold", (F.col("all_n") - F.col("n")).alias("n"), (F.col("all_n1") - F.col("n1")).alias("n1"))
+    left = attach_small(total, parts, "collection_id").join(own, [*by, "fold"], "left")
+    idf = idf_of("n", F.col("all_df") - F.coalesce("df", F.lit(0)))
+    sums = left.select(*by, "fold", idf.alias("idf"), (idf * (F.col("all_s1") - F.coalesce("s1", F.lit(0.0)))).alias("s1"))
+    sums = materialize(sums, "bayes-sums")
+    log_all = sums.groupBy("collection_id", "num_features", "fold").agg(F.ln(F.sum("s1") + F.col("num_features") * F.lit(smoothing)).alias("log_all"))
+    weight = F.col("idf") * (F.ln(F.col("s1") + F.lit(smoothing)) - F.col("log_all"))
+    weights = attach_small(sums, log_all, ["collection_id", "num_features", "fold"]).select("collection_id", "num_features", "fold", F.lit(0).alias("reg"), "idx", F.array(weight).alias("weights"))
+    prior = F.ln(F.col("n1") + F.lit(smoothing)) - F.ln(F.col("n") + F.lit(2 * smoothing))
+    heads = parts.join(log_all.select("collection_id", "num_features", "fold"), ["collection_id", "fold"])
+    return weights, heads.select("collection_id", "num_features", "fold", F.lit(0).alias("reg"), F.array(prior).alias("intercepts"))
+
+
+def _held_out_scores(hashed: DataFrame, weights: DataFrame, heads: DataFrame, sizes: Sequence[int], width: int) -> DataFrame:
+    """Raw scores of every row by the cells that left its fold out:
+    ``collection_id, num_features, fold, reg, label, raw_0 ..``."""
+    terms = hashed.select("collection_id", "fold", "row", F.explode(sized_entries(sizes)).alias("e")).select("collection_id", "fold", "row", "e.*")
+    joined = terms.join(weights, ["collection_id", "num_features", "fold", "idx"])
+    sums = joined.groupBy("row", *_CELL).agg(*[F.sum(F.col("tf") * F.get("weights", F.lit(c))).alias(f"s_{c}") for c in range(width)])
+    every = attach_small(hashed.select("collection_id", "fold", "row", "label"), heads, ["collection_id", "fold"])
+    scored = every.join(sums, ["row", *_CELL], "left")
+    return scored.select(*_CELL, "label", *[(F.get("intercepts", F.lit(c)) + F.coalesce(f"s_{c}", F.lit(0.0))).alias(f"raw_{c}") for c in range(width)])
+
+
+def _cell_metrics(kind: str, hashed: DataFrame, weights: DataFrame, heads: DataFrame, spec: TuningSpec) -> dict[str, dict]:
+    """Metric of every cell, by collection and (fold, hash size, reg): grid
+    and folds bound the rows of a collection."""
+    width = 1
+    if kind == "multinomial":
+        width = heads.agg(F.max(F.size("intercepts"))).first()[0] or 1
+    scored = _held_out_scores(hashed, weights, heads, spec.num_features, width)
+    if kind == "multinomial":
+        raws = F.array_compact(F.array(*[f"raw_{c}" for c in range(width)]))
+        first = F.array_position(raws, F.array_max(raws)).cast("double") - 1.0
+        metric = weighted_f1(scored.withColumn("prediction", first), _CELL).withColumnRenamed("f1", "metric")
+    else:
+        metric = area_under_roc(scored, _CELL, "raw_0").withColumnRenamed("auc", "metric")
+    out: dict[str, dict] = {}
+    for r in metric.select(*_CELL, "metric").toLocalIterator():
+        out.setdefault(r[0], {})[r[2], r[1], r[3]] = r[4]
+    return out
+
+
+def _best(spec: TuningSpec, kind: str, metrics: dict, usable: list[int]) -> tuple[tuple[int, float | None], float | None]:
+    """The cell of the best mean over the usable folds (the first of equals;
+    without any usable fold the first cell, without a metric)."""
+    regs = _regularisations(spec, kind)
+    best, best_mean = (spec.num_features[0], regs[0]), None
     for n in spec.num_features:
-        for reg in _regularisations(spec, kind):
-            mean = sum(metrics[f, n, reg] for f in usable) / len(usable) if usable else None
+        for k, reg in enumerate(regs):
+            mean = sum(metrics[f, n, k] for f in usable) / len(usable) if usable else None
             if mean is not None and (best_mean is None or mean > best_mean):
                 best, best_mean = (n, reg), mean
-    return best, best_mean, len(usable)
+    return best, best_mean
 
 
-def fit_collection(training: DataFrame, spec: TuningSpec, collection_id: str, prefix: str = "") -> CollectionModel:
-    """Tune each classifier kind on one collection's training rows (of several
-    classes) and keep the best by mean cross-validated metric."""
-    best: CollectionModel | None = None
-    metrics: dict[str, float | None] = {}
-    for kind in spec.classifiers:
-        (num_features, reg), mean, folds = _tuned(training, spec, kind, prefix)
-        metrics[kind] = mean
-        if best is None or (mean if mean is not None else -1.0) > (best.cv_auc if best.cv_auc is not None else -1.0):
-            clf = _classifier(kind, prefix)
-            clf = clf.copy({clf.regParam: reg}) if reg is not None else clf
-            model = Pipeline(stages=[*_features(spec, num_features, prefix), clf]).fit(training)
-            best = CollectionModel(collection_id, kind, model, mean, metrics, folds=folds)
-    return best
+def _usable_folds(own: dict[int, dict]) -> list[int]:
+    """Folds whose held-out and remaining rows both hold several classes: on
+    others a metric says nothing."""
+    return [f for f in sorted(own) if len(own[f]) > 1 and len(set().union(*(c for g, c in own.items() if g != f))) > 1]
 
 
 def default_concurrency(spark) -> tuple[int, int]:
@@ -178,53 +256,55 @@ def train_collections(
     by ``collection_id`` so each fit reads only its files); a collection of one
     class gets a constant one.
 
-    Only the classes of each collection (one small aggregate) come to the
-    driver."""
+    Only the rows' counts by (collection, fold, class) and what the fits leave
+    there come to the driver."""
     spark = training.sparkSession
     conc, par = default_concurrency(spark)
-    spec = spec or TuningSpec(parallelism=par)
-    labels: dict[str, list] = {}
-    for r in training.select("collection_id", "label").distinct().collect():
-        labels.setdefault(r[0], []).append(r[1])
+    spec, conc = spec or TuningSpec(parallelism=par), max(1, concurrency or conc)
+    rows = training.filter("collection_id IS NOT NULL").groupBy("collection_id", fold_of("id", spec.num_folds, spec.seed).cast("int").alias("fold"), F.col("label").cast("double").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    rows = materialize(rows, "fold-rows")
+    counts: dict[str, dict[int, dict]] = {}
+    for r in rows.toLocalIterator():
+        counts.setdefault(r[0], {}).setdefault(r[1], {})[r[2]] = r[3]
+    classes = {cid: sorted(set().union(*own.values())) for cid, own in counts.items()}
+    several = [cid for cid in sorted(classes) if len(classes[cid]) > 1]
+    usable = {cid: _usable_folds(counts[cid]) for cid in several}
+    metrics: dict[str, dict[str, dict]] = {}
+    if any(usable.values()):
+        hashed = _hashed(training, spec)
+        frequencies = materialize(fold_frequencies(hashed, spec.num_features), "frequencies", ["collection_id"])
+        for kind in spec.classifiers:
+            if kind == "naive_bayes":
+                cells = bayes_cells(frequencies, rows)
+            else:
+                cells = _fit_cells(kind, prefix, spec, hashed, frequencies, counts, usable, conc)
+            metrics[kind] = _cell_metrics(kind, hashed, *cells, spec)
 
     def run(cid: str) -> CollectionModel:
-        if len(labels[cid]) < 2:
-            return CollectionModel(cid, "constant", None, None, {}, label=labels[cid][0])
-        part = training.filter(F.col("collection_id") == cid).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return fit_collection(part, spec, cid, prefix)
-        finally:
-            part.unpersist()
+        if len(classes[cid]) < 2:
+            return CollectionModel(cid, "constant", None, None, {}, label=classes[cid][0])
+        found = {kind: _best(spec, kind, metrics.get(kind, {}).get(cid, {}), usable[cid]) for kind in spec.classifiers}
+        worth = lambda kind: found[kind][1] if found[kind][1] is not None else -1.0
+        kind = max(spec.classifiers, key=worth)  # the first of equals
+        (num_features, reg), mean = found[kind]
+        clf = _classifier(kind, prefix)
+        clf = clf.copy({clf.regParam: reg}) if reg is not None else clf
+        model = Pipeline(stages=[*_features(spec, num_features, prefix), clf]).fit(training.filter(F.col("collection_id") == cid))
+        return CollectionModel(cid, kind, model, mean, {k: v[1] for k, v in found.items()}, folds=len(usable[cid]))
 
     # each worker thread starts with the caller's Spark local properties
     # (job group, tags, pools)
-    with ThreadPoolExecutor(max_workers=max(1, concurrency or conc)) as pool:
-        results = list(pool.map(inheritable_thread_target(spark)(run), sorted(labels)))
+    with ThreadPoolExecutor(max_workers=max(conc, min(spec.parallelism, 8))) as pool:
+        results = list(pool.map(inheritable_thread_target(spark)(run), sorted(classes)))
     return {m.collection_id: m for m in results}
 
 
-def _scored(models: dict[str, CollectionModel], rows: DataFrame, keep: Sequence[str], outputs: dict, constants: dict, fill: dict) -> DataFrame:
-    """``id, collection_id, *keep, *outputs, status`` for every row: each
-    model's rows by its transform (map-only), the rest by their constants."""
-    trained = {cid: m for cid, m in sorted(models.items()) if m.model is not None}
-    common = ["id", "collection_id", *keep]
-    parts = [
-        m.model.transform(rows.filter(F.col("collection_id") == cid)).select(*common, *[c.alias(n) for n, c in outputs.items()], F.lit("trained").alias("status"))
-        for cid, m in trained.items()
-    ]
-    rest = rows.filter(~F.coalesce(F.col("collection_id").isin(list(trained)), F.lit(False))) if trained else rows
-    single = [(cid, float(m.label)) for cid, m in sorted(models.items()) if m.model is None]
-    if single:
-        rest = rest.join(rows.sparkSession.createDataFrame(single, "collection_id string, _label double"), "collection_id", "left")
-    else:
-        rest = rest.withColumn("_label", F.lit(None).cast("double"))
-    status = F.when(F.col("_label").isNotNull(), "one_class").otherwise("untrained")
-    parts.append(rest.select(*common, *[constants.get(n, fill.get(n, F.lit(None).cast("double"))).alias(n) for n in outputs], status.alias("status")))
-    return reduce(DataFrame.unionByName, parts)
+def as_table(models: dict[str, CollectionModel] | ModelTable, rows: DataFrame) -> ModelTable:
+    return models if isinstance(models, ModelTable) else model_table(rows.sparkSession, models)
 
 
 def apply_models(
-    models: dict[str, CollectionModel],
+    models: dict[str, CollectionModel] | ModelTable,
     rows: DataFrame,
     prefix: str = "",
     keep: tuple[str, ...] = (),
@@ -232,41 +312,43 @@ def apply_models(
     """Each collection's model on that collection's rows: ``id,
     collection_id, *keep, <prefix>prediction, <prefix>probability_relevant,
     status``, one row per input row."""
-    outputs = {f"{prefix}prediction": F.col(f"{prefix}prediction"), f"{prefix}probability_relevant": class_probability(f"{prefix}probability")}
-    return _scored(models, rows, keep, outputs, {n: F.col("_label") for n in outputs}, {})
+    raw = raw_scores([as_table(models, rows)], rows, keep)
+    c = class_scores(F.col("raw_0"), F.col("label_0"))
+    relevant = F.coalesce(F.get(c["probability"], F.lit(1)), F.col("label_0"))
+    return raw.select("id", "collection_id", *keep, c["prediction"].alias(f"{prefix}prediction"), relevant.alias(f"{prefix}probability_relevant"), c["status"].alias("status"))
 
 
-def score(models: dict[str, CollectionModel], testing: DataFrame) -> DataFrame:
+def score(models: dict[str, CollectionModel] | ModelTable, testing: DataFrame) -> DataFrame:
     """``id, collection_id, prediction, probability_relevant, status`` for
     every text."""
     return apply_models(models, testing)
 
 
-def apply_multiclass(models: dict[str, CollectionModel], rows: DataFrame) -> DataFrame:
+def apply_multiclass(models: dict[str, CollectionModel] | ModelTable, rows: DataFrame) -> DataFrame:
     """``id, collection_id, prediction`` (class index), the probability of the
     predicted class, and ``status``, for every row."""
-    outputs = {"prediction": F.col("prediction"), "probability_predicted": F.array_max(vector_to_array("probability"))}
-    sure = F.when(F.col("_label").isNotNull(), F.lit(1.0))
-    return _scored(models, rows, (), outputs, {"prediction": F.col("_label"), "probability_predicted": sure}, {})
+    raw = raw_scores([as_table(models, rows)], rows)
+    c = class_scores(F.col("raw_0"), F.col("label_0"))
+    sure = F.coalesce(F.array_max(c["probability"]), F.when(F.col("label_0").isNotNull(), F.lit(1.0)))
+    return raw.select("id", "collection_id", c["prediction"].alias("prediction"), sure.alias("probability_predicted"), c["status"].alias("status"))
 
 
 def ensemble(
-    first: dict[str, CollectionModel],
-    second: dict[str, CollectionModel],
+    first: dict[str, CollectionModel] | ModelTable,
+    second: dict[str, CollectionModel] | ModelTable,
     testing: DataFrame,
-    second_prefix: str = "nb_",
 ) -> DataFrame:
-    """Average the relevance probabilities of two model sets (the second
-    trained with ``second_prefix`` columns) for every text; where only one set
-    knows the collection, its probability counts alone.  Both models run one
-    after the other on the same rows, so no join is needed."""
-    a = apply_models(first, testing, keep=("filtered",)).withColumnsRenamed({"probability_relevant": "p_first", "status": "_s1"})
-    b = apply_models(second, a, second_prefix, keep=("p_first", "_s1"))
-    b = b.withColumnRenamed(f"{second_prefix}probability_relevant", "p_second")
+    """Average the relevance probabilities of two model sets for every text;
+    where only one set knows the collection, its probability counts alone.
+    Both tables are joined with the same terms in one pass."""
+    raw = raw_scores([as_table(first, testing), as_table(second, testing)], testing)
+    own = [class_scores(F.col(f"raw_{k}"), F.col(f"label_{k}")) for k in (0, 1)]
+    p = [F.coalesce(F.get(c["probability"], F.lit(1)), F.col(f"label_{k}")) for k, c in enumerate(own)]
+    scored = raw.select("id", "collection_id", p[0].alias("p_first"), p[1].alias("p_second"), *[c["status"].alias(f"_s{k}") for k, c in enumerate(own)])
     avg = F.coalesce((F.col("p_first") + F.col("p_second")) / 2.0, "p_first", "p_second")
-    status = F.when((F.col("_s1") == "trained") | (F.col("status") == "trained"), "trained").when(avg.isNotNull(), "one_class").otherwise("untrained")
+    status = F.when((F.col("_s0") == "trained") | (F.col("_s1") == "trained"), "trained").when(avg.isNotNull(), "one_class").otherwise("untrained")
     prediction = F.when(avg > 0.5, 1.0).when(avg.isNotNull(), 0.0)
-    return b.select("id", "collection_id", "p_first", "p_second", avg.alias("probability_relevant"), prediction.alias("prediction"), status.alias("status"))
+    return scored.select("id", "collection_id", "p_first", "p_second", avg.alias("probability_relevant"), prediction.alias("prediction"), status.alias("status"))
 
 
 def model_summary(models: dict[str, CollectionModel]) -> list[tuple]:

@@ -1,6 +1,7 @@
 """End-to-end jobs: mine patterns (J1), classify and score (J2), histograms of
 the scores (J3).  The data work for all collections is one plan; only the
-distributed FP-growth and model fits loop over collections."""
+distributed FP-growth and model fits loop over collections, and scores come
+from the table of the models."""
 
 from __future__ import annotations
 
@@ -18,6 +19,7 @@ from relevo.operators.model import (
     score,
     train_collections,
 )
+from relevo.operators.model_table import ModelTable, model_table
 from relevo.operators.patterns import MIN_COUNT, MIN_SUPPORT, frequent_itemsets
 from relevo.operators.preprocess import prepare_texts, transactions
 from relevo.operators.report import histogram, training_error
@@ -54,6 +56,7 @@ class Classification:
     models: dict[str, CollectionModel]
     stats: DataFrame
     spec: TuningSpec
+    table: ModelTable
     _scores: DataFrame | None = field(default=None, repr=False)
 
     def testing(self) -> DataFrame:
@@ -64,11 +67,11 @@ class Classification:
         checkpoint folder (partitioned by collection); every summary reads
         that table instead of re-running the models."""
         if self._scores is None:
-            self._scores = materialize(score(self.models, self.testing()), "scores", ["collection_id"])
+            self._scores = materialize(score(self.table, self.testing()), "scores", ["collection_id"])
         return self._scores
 
     def training_predictions(self) -> DataFrame:
-        return apply_models(self.models, self.training, keep=("label",))
+        return apply_models(self.table, self.training, keep=("label",))
 
     def training_error(self) -> DataFrame:
         err = training_error(self.training_predictions(), self.stats)
@@ -108,7 +111,7 @@ def classify(
     models = train_collections(train, spec, concurrency=concurrency)
     if models_path:
         save_models(models, models_path)
-    result = Classification(prepared, train, models, positive_stats(prepared), spec)
+    result = Classification(prepared, train, models, positive_stats(prepared), spec, model_table(texts.sparkSession, models))
     if predictions_path:
         write_predictions_tsv(result.scores(), predictions_path, run_ts or "run")
     return result

@@ -13,7 +13,9 @@ from relevo.operators.labeling import HASH_RANGE, SAMPLE_SEED
 from relevo.operators.model import CV_SEED, NUM_FOLDS
 from relevo.plans.queries import (
     AUDIT_K,
+    BAYES_FEATURES,
     DOCUMENT_PATTERN,
+    FEATURE_SIZES,
     LANGUAGE_CLASSES,
     MINING_MIN_COUNT,
     MINING_SUPPORT,
@@ -122,6 +124,64 @@ t AS (SELECT l.id, l.collection_id, CASE WHEN pos THEN 1.0 ELSE 0.0 END::DOUBLE
 """
 
 
+_WORD = 4294967295  # 32 bits
+
+
+def _turned(x: str, r: int) -> str:
+    return f"(((({x}) << {r}) | (({x}) >> {32 - r})) & {_WORD}::UBIGINT)"
+
+
+def _mixed(k: str) -> str:
+    return f"(({_turned(f'((({k}) * 3432918353::UBIGINT) & {_WORD}::UBIGINT)', 15)} * 461845907::UBIGINT) & {_WORD}::UBIGINT)"
+
+
+def _hashed_terms(source: str) -> str:
+    """``hashed(term, h)``: the signed 32-bit Murmur3 hash (seed 42) of the
+    UTF-8 bytes of every term of ``source``, as the library's hashing has it."""
+    return f"""
+h0 AS (SELECT DISTINCT term FROM {source}),
+h1 AS (SELECT term, octet_length(encode(term)) AS n, list_transform(regexp_extract_all(hex(encode(term)), '..'), lambda x: ('0x' || x)::UBIGINT) AS b FROM h0),
+h2 AS (SELECT term, n, list_transform(range(n // 4), lambda i: b[4*i+1] | (b[4*i+2] << 8) | (b[4*i+3] << 16) | (b[4*i+4] << 24)) AS k,
+  list_reduce(list_prepend(0::UBIGINT, list_transform(range((n // 4) * 4, n), lambda i: b[i+1] << (8 * (i % 4)))), lambda x, y: x | y) AS tail FROM h1),
+h3 AS (SELECT term, n, list_transform(k, lambda x: {_mixed('x')}) AS k, {_mixed('tail')} AS tail FROM h2),
+h4 AS (SELECT term, n, tail, list_reduce(list_prepend(42::UBIGINT, k), lambda h, x: ({_turned('xor(h, x)', 13)} * 5 + 3864292196::UBIGINT) & {_WORD}::UBIGINT) AS h FROM h3),
+h5 AS (SELECT term, xor(xor(h, tail), n::UBIGINT) AS h FROM h4),
+h6 AS (SELECT term, (xor(h, h >> 16) * 2246822507::UBIGINT) & {_WORD}::UBIGINT AS h FROM h5),
+h7 AS (SELECT term, (xor(h, h >> 13) * 3266489909::UBIGINT) & {_WORD}::UBIGINT AS h FROM h6),
+h8 AS (SELECT term, xor(h, h >> 16) AS h FROM h7),
+hashed AS (SELECT term, CASE WHEN h >= 2147483648 THEN h::BIGINT - 4294967296 ELSE h::BIGINT END AS h FROM h8)"""
+
+
+def _features(sizes: tuple[int, ...]) -> str:
+    """``tf``: hashed term frequencies of every document at every hash size;
+    ``tr``: the training rows; ``df``: document frequencies over these."""
+    every = ", ".join(str(n) for n in sizes)
+    return (
+        _training("positive_fraction")
+        + f""", w0 AS (SELECT id, collection_id, unnest(words) AS term FROM p),
+{_hashed_terms('w0')},
+tf AS (SELECT id, collection_id, n AS num_features, (((h % n) + n) % n)::INTEGER AS idx, count(*)::DOUBLE AS tf
+  FROM w0 JOIN hashed USING (term), (SELECT unnest([{every}]) AS n) GROUP BY ALL),
+tr AS (SELECT id, collection_id, label FROM t),
+nr AS (SELECT collection_id, count(*) AS n_rows FROM tr GROUP BY collection_id),
+df AS (SELECT tf.collection_id, num_features, idx, count(*) AS df FROM tf SEMI JOIN tr USING (id) GROUP BY ALL)"""
+    )
+
+
+def _bayes() -> str:
+    """``m``: priors and sums of the collections with both classes; ``wt``:
+    the weights of their terms."""
+    return (
+        _features((BAYES_FEATURES,))
+        + f""", s AS (SELECT tf.collection_id, idx, sum(CASE WHEN label = 1 THEN 0 ELSE tf END) AS s0, sum(CASE WHEN label = 1 THEN tf ELSE 0 END) AS s1 FROM tf JOIN tr USING (id) GROUP BY ALL),
+x AS (SELECT s.collection_id, s.idx, ln((n_rows + 1.0) / (df + 1.0)) AS idf, s0, s1 FROM s JOIN df USING (collection_id, idx) JOIN nr USING (collection_id)),
+m0 AS (SELECT collection_id, count(*) AS n, count(*) FILTER (WHERE label = 1) AS n1 FROM tr GROUP BY collection_id),
+m AS (SELECT m0.*, ln(coalesce(sum(idf * s0), 0) + {float(BAYES_FEATURES)}) AS l0, ln(coalesce(sum(idf * s1), 0) + {float(BAYES_FEATURES)}) AS l1
+  FROM m0 LEFT JOIN x USING (collection_id) GROUP BY ALL),
+wt AS (SELECT x.collection_id, idx, idf, ln(idf * s0 + 1.0) - l0 AS w0, ln(idf * s1 + 1.0) - l1 AS w1 FROM x JOIN m USING (collection_id) WHERE n1 > 0 AND n1 < n)"""
+    )
+
+
 def _itemsets() -> str:
     """Sets grown by one larger word at a time, as long as they are frequent."""
     return f"""
@@ -250,6 +310,36 @@ tm AS (SELECT DISTINCT id, unnest(words) AS term FROM p),
 n AS (SELECT count(*) AS n FROM p)
 SELECT term, count(*) AS df, round(ln((any_value(n.n) + 1.0) / (count(*) + 1.0)), 6) AS idf
 FROM tm, n GROUP BY term""",
+        "hashed_tf_idf": _features(FEATURE_SIZES)
+        + """ SELECT tf.id, tf.collection_id, tf.num_features, tf.idx, tf.tf, round(ln((n_rows + 1.0) / (coalesce(df, 0) + 1.0)), 6) AS idf,
+       round(tf.tf * ln((n_rows + 1.0) / (coalesce(df, 0) + 1.0)), 6) AS tf_idf
+FROM tf LEFT JOIN nr USING (collection_id) LEFT JOIN df ON df.collection_id = tf.collection_id AND df.num_features = tf.num_features AND df.idx = tf.idx""",
+        "fold_idf": _features(FEATURE_SIZES)
+        + f""", fd AS (SELECT id, collection_id, ({hash_unit('id', CV_SEED)} % {NUM_FOLDS})::INTEGER AS fold FROM tr),
+fo AS (SELECT collection_id, fold, count(*) AS n FROM fd GROUP BY ALL),
+own AS (SELECT fd.collection_id, num_features, fold, idx, count(*) AS df FROM tf JOIN fd USING (id) GROUP BY ALL),
+part AS (SELECT df.collection_id, df.num_features, fo.fold, df.idx, df.df - coalesce(own.df, 0) AS df, n_rows - fo.n AS n
+  FROM df JOIN fo ON fo.collection_id = df.collection_id JOIN nr ON nr.collection_id = df.collection_id
+  LEFT JOIN own ON own.collection_id = df.collection_id AND own.num_features = df.num_features AND own.fold = fo.fold AND own.idx = df.idx)
+SELECT collection_id, num_features, fold, idx, df::BIGINT AS df, round(ln((n + 1.0) / (df + 1.0)), 6) AS idf FROM part""",
+        "bayes_weights": _bayes() + " SELECT collection_id, idx, round(idf, 6) AS idf, round(w0, 6) AS weight_0, round(w1, 6) AS weight_1 FROM wt",
+        "bayes_scores": _bayes()
+        + """, r AS (SELECT p.id, p.collection_id, n, n1,
+    ln(n - n1 + 1.0) - ln(n + 2.0) + coalesce(sum(tf.tf * coalesce(idf * w0, ln(n + 1.0) * -l0)), 0) AS r0,
+    ln(n1 + 1.0) - ln(n + 2.0) + coalesce(sum(tf.tf * coalesce(idf * w1, ln(n + 1.0) * -l1)), 0) AS r1
+  FROM p LEFT JOIN m USING (collection_id) LEFT JOIN tf ON tf.id = p.id LEFT JOIN wt ON wt.collection_id = p.collection_id AND wt.idx = tf.idx
+  GROUP BY p.id, p.collection_id, n, n1, l0, l1)
+SELECT id, collection_id,
+  CASE WHEN n IS NULL THEN NULL WHEN n1 = 0 THEN 0.0 WHEN n1 = n THEN 1.0 WHEN r1 > r0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction,
+  round(CASE WHEN n IS NULL THEN NULL WHEN n1 = 0 THEN 0.0 WHEN n1 = n THEN 1.0 ELSE exp(r1 - greatest(r0, r1)) / (exp(r0 - greatest(r0, r1)) + exp(r1 - greatest(r0, r1))) END::DOUBLE, 6) AS probability_relevant,
+  CASE WHEN n IS NULL THEN 'untrained' WHEN n1 = 0 OR n1 = n THEN 'one_class' ELSE 'trained' END AS status
+FROM r""",
+        "quality_auc": _labelled()
+        + """, k AS (SELECT collection_id, label, 'hash' AS kind, round(probability, 2) AS score FROM s
+  UNION ALL SELECT source, quality::DOUBLE, 'length', length(text)::DOUBLE FROM documents JOIN labels USING (doc_id)),
+r AS (SELECT collection_id, kind, label, rank() OVER (PARTITION BY collection_id, kind ORDER BY score) + (count(*) OVER (PARTITION BY collection_id, kind, score) - 1) / 2.0 AS mid FROM k WHERE score IS NOT NULL AND label IS NOT NULL),
+a AS (SELECT collection_id, kind, count(*) FILTER (WHERE label > 0.5) AS np, count(*) FILTER (WHERE label <= 0.5) AS nn, coalesce(sum(mid) FILTER (WHERE label > 0.5), 0) AS ranks FROM r GROUP BY ALL)
+SELECT collection_id, kind, np::BIGINT AS n_positive, nn::BIGINT AS n_negative, round((ranks - np * (np + 1) / 2.0) / nullif(np * nn, 0), 6) AS auc FROM a""",
         "frequent_itemsets": _itemsets()
         + """SELECT collection_id, array_to_string(items, ' ') AS items, len(items)::BIGINT AS size, freq::BIGINT AS freq,
        CAST(freq AS VARCHAR) || ' ' || array_to_string(items, ' ') AS line FROM fs""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from relevo.functions.formats import class_probability, itemset_line, output_name, parse_cell
 from relevo.functions.text import clean_text, strip_html
-from relevo.operators.features import term_idf
+from relevo.operators.features import fold_frequencies, fold_idf, hash_tokens, term_idf, tf_idf
 from relevo.operators.labeling import (
     HASH_RANGE,
     hash_unit,
@@ -22,9 +22,11 @@ from relevo.operators.labeling import (
     sample_training,
     testing_set,
 )
-from relevo.operators.model import NUM_FOLDS, fold_of
+from relevo.operators.model import NUM_FOLDS, fold_of, score
+from relevo.operators.model_table import ModelTable, naive_bayes_table
 from relevo.operators.patterns import shortlist
 from relevo.operators.preprocess import prepare_texts, transactions
+from relevo.operators.ranking import area_under_roc
 from relevo.operators.report import audit_sample, histogram, relevance_share, training_error
 from relevo.plans import tables
 from relevo.plans.jobs import mine_patterns
@@ -43,6 +45,9 @@ AUDIT_K = 5
 # default support explode; the job's default stays as it is).
 MINING_SUPPORT = 0.1
 MINING_MIN_COUNT = 2
+# Hash sizes of the feature queries: one a power of two, one not.
+FEATURE_SIZES = (1024, 1000)
+BAYES_FEATURES = 1000
 # Run stamp of the queries that write files.
 RUN_STAMP = "20240102-030405"
 # Multi-class collections: documents grouped by language, one word set per
@@ -217,9 +222,58 @@ def q_term_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idf.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
+def _training_tokens(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(flagged documents, training rows) with the model's tokens as
+    ``filtered``, written once."""
+    flagged = label_flags(configured_documents(spark, sf_dir))
+    rows = flagged.select("id", "collection_id", "is_positive", "is_candidate", F.col("words").alias("filtered"))
+    rows = materialize(rows, "document_tokens")
+    return rows, sample_training(rows).select("id", "collection_id", "filtered", "label")
+
+
+def q_hashed_tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse features of every document by its collection's training rows."""
+    rows, training = _training_tokens(spark, sf_dir)
+    training = materialize(training, "training_tokens")
+    parts = [tf_idf(rows, training, n).select("id", "collection_id", F.lit(n).alias("num_features"), "idx", "tf", *[F.round(c, 6).alias(c) for c in ("idf", "tf_idf")]) for n in FEATURE_SIZES]
+    return parts[0].unionByName(parts[1])
+
+
+def q_fold_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IDF of every training part of the cross-validation."""
+    _, training = _training_tokens(spark, sf_dir)
+    folded = training.withColumn("fold", fold_of("id", NUM_FOLDS).cast("int"))
+    hashed = materialize(hash_tokens(folded, FEATURE_SIZES).drop("filtered"), "hashed")
+    n_rows = hashed.groupBy("collection_id", "fold").agg(F.count(F.lit(1)).alias("n_rows"))
+    out = fold_idf(fold_frequencies(hashed, FEATURE_SIZES), n_rows)
+    return out.select("collection_id", "num_features", "fold", "idx", "df", F.round("idf", 6).alias("idf"))
+
+
+def _stored_bayes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ModelTable]:
+    """(documents' tokens, naive Bayes models of all collections stored as
+    tables and loaded again)."""
+    rows, training = _training_tokens(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/stored-models-{uuid.uuid4().hex}"
+    naive_bayes_table(materialize(training, "training_tokens"), BAYES_FEATURES).save(path)
+    return rows, ModelTable.load(spark, path)
+
+
+def q_bayes_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a join with the stored models."""
+    rows, models = _stored_bayes(spark, sf_dir)
+    out = score(models, rows)
+    return out.select("id", "collection_id", "prediction", F.round("probability_relevant", 6).alias("probability_relevant"), "status")
+
+
+def q_bayes_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored coefficients."""
+    w = _stored_bayes(spark, sf_dir)[1].weights
+    return w.select("collection_id", "idx", F.round("idf", 6).alias("idf"), *[F.round(F.get("weights", F.lit(c)), 6).alias(f"weight_{c}") for c in (0, 1)])
+
+
 def mined_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item sets of all conversation turns, one collection per role, mined
-    once per session and table folder."""
+    """Item sets of all conversation turns, one collection per role; mined
+    anew by each query that reads them."""
     turns = tables.conversation_turns(spark, sf_dir)
     cleaned = turns.select("id", "collection_id", clean_text("raw").alias("text"))
     return mine_patterns(cleaned, min_support=MINING_SUPPORT, min_count=MINING_MIN_COUNT)
@@ -325,6 +379,18 @@ def q_label_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("collection_id", "n_texts", "n_relevant", *[F.round(c, 6).alias(c) for c in ("relevant_share", "mean_probability")])
 
 
+def q_quality_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact area under ROC of the documented score, rounded so that scores
+    tie, and of the text's length, against ``labels.quality``; one row for
+    each collection and score."""
+    rows = _labelled_scores(spark, sf_dir)
+    length = tables.read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.length("text").cast("double").alias("length"))
+    kinds = F.explode(F.array(F.struct(F.lit("hash").alias("kind"), F.round("probability_relevant", 2).alias("score")), F.struct(F.lit("length").alias("kind"), F.col("length").alias("score"))))
+    scored = rows.join(length, "id").select("collection_id", "label", kinds.alias("k")).select("collection_id", "label", "k.*")
+    out = area_under_roc(scored, ["collection_id", "kind"])
+    return out.select("collection_id", "kind", "n_positive", "n_negative", F.round("auc", 6).alias("auc"))
+
+
 SQL_CHECKED = {
     "clean_text": q_clean_text,
     "tokens": q_tokens,
@@ -341,6 +407,11 @@ SQL_CHECKED = {
     "testing_set": q_testing_set,
     "audit_sample": q_audit_sample,
     "term_idf": q_term_idf,
+    "hashed_tf_idf": q_hashed_tf_idf,
+    "fold_idf": q_fold_idf,
+    "bayes_scores": q_bayes_scores,
+    "bayes_weights": q_bayes_weights,
+    "quality_auc": q_quality_auc,
     "frequent_itemsets": q_frequent_itemsets,
     "pattern_shortlist": q_pattern_shortlist,
     "event_histogram": q_event_histogram,

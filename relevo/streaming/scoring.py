@@ -1,9 +1,9 @@
-"""Score newly arriving texts with already trained per-collection models.
+"""Score newly arriving texts with already trained models.
 
 Stateless Structured Streaming: file source -> cleaning and tokens (built-in
-expressions) -> each collection's ``PipelineModel.transform`` (row-wise) ->
-one Parquet folder per micro-batch, checkpointed under the shared checkpoint
-folder.  ``trigger(availableNow=True)`` processes what is there and stops.
+expressions) -> the join with the models' table -> one Parquet folder per
+micro-batch, checkpointed under the shared checkpoint folder.
+``trigger(availableNow=True)`` processes what is there and stops.
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from relevo.functions.text import clean_text, collection_of
-from relevo.operators.model import CollectionModel, score
+from relevo.operators.model import CollectionModel, as_table, score
+from relevo.operators.model_table import ModelTable
 from relevo.operators.preprocess import prepare_texts
 from relevo.session import checkpoint_dir
 
 
-def score_batch(texts: DataFrame, models: dict[str, CollectionModel], feature_col: str = "words") -> DataFrame:
+def score_batch(texts: DataFrame, models: dict[str, CollectionModel] | ModelTable, feature_col: str = "words") -> DataFrame:
     """``id, collection_id, text`` -> scores with ``status``, one row per text
     (texts of collections without a model are kept)."""
     rows = prepare_texts(texts).select("id", "collection_id", F.col(feature_col).alias("filtered"))
@@ -29,22 +30,19 @@ def score_batch(texts: DataFrame, models: dict[str, CollectionModel], feature_co
 
 def start_scoring(
     stream: DataFrame,
-    models: dict[str, CollectionModel],
+    models: dict[str, CollectionModel] | ModelTable,
     sink_path: str,
     checkpoint_path: str,
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Score each micro-batch: its texts are read and tokenised once, kept for
-    the models' branches, and written to the batch's own folder, which a
-    repeated batch replaces."""
+    """Score each micro-batch: its texts are read and tokenised once, joined
+    with the models' table (written once, before the first batch), and written
+    to the batch's own folder, which a repeated batch replaces."""
+    table = as_table(models, stream)
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = prepare_texts(batch).select("id", "collection_id", F.col("words").alias("filtered")).persist()
-        try:
-            score(models, rows).write.mode("overwrite").partitionBy("collection_id").parquet(f"{sink_path}/batch={number}")
-        finally:
-            rows.unpersist()
+        score_batch(batch, table).write.mode("overwrite").partitionBy("collection_id").parquet(f"{sink_path}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "10 seconds")
@@ -76,6 +74,6 @@ def score_document_stream(spark: SparkSession, sf_dir: str, run) -> DataFrame:
         clean_text("text").alias("text"),
     )
     base = f"{checkpoint_dir(spark).rstrip('/')}/relevo/stream-{uuid.uuid4().hex}"
-    query = start_scoring(texts, run.models, f"{base}/sink", f"{base}/checkpoint")
+    query = start_scoring(texts, run.table, f"{base}/sink", f"{base}/checkpoint")
     query.awaitTermination()
     return read_scores(spark, f"{base}/sink").drop("batch")
