@@ -320,7 +320,7 @@ def make_runs(docs: DataFrame, models: tuple[str, str] | None = None, radix: int
         aligner, number = held.value.get(), TaskContext.get().partitionId() << 32
         for batch in batches:
             texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for low, high in slices(texts, RUN_CHARS):
+            for low, high in slices([len(t or "") for t in texts], RUN_CHARS):
                 numbers, records, parts = make_run(aligner, texts[low:high], radix)
                 rows = [{"doc_id": i, **dict(zip(numbers, v, strict=True))} for i, v in zip(ids[low:high], zip(*numbers.values(), strict=True), strict=True)]
                 made = [[number], [rows], [records], [[{"radix": r, "totals": t} for r, t in parts]]]

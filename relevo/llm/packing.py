@@ -23,7 +23,6 @@ Which documents meet depends on the rows' places in the input only.
 
 from __future__ import annotations
 
-import re
 import zlib
 from functools import reduce
 
@@ -32,8 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relevo.llm.common import table
-from relevo.llm.word_cache import ChunkCache, Loaded, slices
+from relevo.llm.common import ranges, table
+from relevo.llm.word_cache import Loaded, slices
 from relevo.session import materialize
 
 NAME = "op13_best_fit_packing"
@@ -42,21 +41,71 @@ CAPACITY, END_ID = 2048, 0
 PARTITION_PIECES = 32_768
 #: Steps of the staircases among the dual feasible functions.
 STAIRS = 60
-#: Blanks for the tokenizer as for Python; the others stay inside a chunk.
-_CHUNK = re.compile(r"[^ \t\n\r]+")
-
-
-def _encoder(json_text: str) -> ChunkCache:
-    """Packed ids of chunks; blanks part the tokenizer's words, so the ids of
-    a text are those of its chunks."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(json_text)
-
-    def make(chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    return ChunkCache(make)
+#: Words that a Python worker remembers.
+KNOWN_WORDS = 400_000
+#: Plain letters and signs (no apostrophe): the tokenizer parts them wherever
+#: they meet, as it parts words at blanks.
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+
+
+class WordEncoder:
+    """Encodes texts word by word; word number k of those met before has the
+    ids from ``first[k]`` to ``first[k + 1]``."""
+
+    def __init__(self, json_text: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(json_text)
+        vocabulary = self.tokenizer.get_vocab()
+        #: whether an id ends a run of letters or signs
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith("</w>")
+        self.reset()
+
+    def reset(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def add(self, words: list[str], plain: np.ndarray) -> None:
+        """``plain``: the word is one run of letters or of signs.  These are
+        encoded as one text, which their last ids cut again."""
+        one = [w for w, p in zip(words, plain, strict=True) if p]
+        rest = [w for w, p in zip(words, plain, strict=True) if not p]
+        ids = np.array(self.tokenizer.encode(" ".join(one), add_special_tokens=False).ids if one else [], np.uint32)
+        length = np.diff(np.flatnonzero(self.ends[ids]) + 1, prepend=0)
+        if len(length) != len(one):
+            raise ValueError("the tokenizer has no mark at the end of a word")
+        more = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        self.known.update(zip(one + rest, range(len(self.first) - 1, len(self.first) - 1 + len(words)), strict=True))
+        self.ids = np.concatenate([self.ids, ids, *(np.array(x, np.uint32) for x in more)])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate([length, [len(x) for x in more]]).astype(np.int64))])
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text begins and the last ends) of an
+        Arrow array of texts without nulls."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if len(self.first) > KNOWN_WORDS:
+            self.reset()
+        parted = pc.replace_substring_regex(pc.ascii_lower(texts), pattern=f"([{_LETTERS}])([{_SIGNS}])", replacement=r"\1 \2")
+        words = pc.split_pattern_regex(parted, pattern=r"[ \t\n\r]+")
+        coded = words.flatten().dictionary_encode()
+        met = coded.dictionary.to_pylist()
+        get = self.known.get
+        number = np.array([get(w, -1) for w in met], np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            unknown = coded.dictionary.take(pa.array(new))
+            plain = pc.match_substring_regex(unknown, f"^(?:[{_LETTERS}]+|[{_SIGNS}]+)$").to_numpy(zero_copy_only=False)
+            unknown = unknown.to_pylist()
+            self.add(unknown, plain)
+            number[new] = [self.known[w] for w in unknown]
+        number = number[coded.indices.to_numpy()]
+        length = self.first[number + 1] - self.first[number]
+        begin = np.concatenate([[0], np.cumsum(length)])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return self.ids[ranges(self.first[number], length)], begin
 
 
 def default_tokenizer() -> str:
@@ -69,9 +118,10 @@ def encode_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
     """``doc_id, piece, start, length, ids_crc32`` (and ``ids``) of every
     piece.  A map over the documents; nothing is shuffled."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     with open(tokenizer or default_tokenizer(), encoding="utf-8") as f:
-        held = docs.sparkSession.sparkContext.broadcast(Loaded(_encoder, f.read()))
+        held = docs.sparkSession.sparkContext.broadcast(Loaded(WordEncoder, f.read()))
     end = np.array([end_id], "<u4").tobytes()
     step = 4 * capacity
     id_type = docs.schema["doc_id"].dataType
@@ -79,18 +129,18 @@ def encode_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType(), False))] if with_ids else []
 
     def run(batches):
-        cache = held.value.get()
+        encoder = held.value.get()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for low, high in slices(texts):
-                chunks = [_CHUNK.findall(t) if t else [] for t in texts[low:high]]
-                values = cache.lookup(chunks)
+            texts = pc.fill_null(batch.column("text"), "")
+            for low, high in slices(pc.binary_length(texts).to_pylist()):
+                encoded, begin = encoder.encode(texts.slice(low, high - low))
+                data, begin = encoded.astype("<u4").tobytes(), (4 * begin).tolist()
                 row, piece, length, crc, ids = [], [], [], [], []
-                for r, parts in enumerate(chunks, low):
-                    data = b"".join([*[values[c] for c in parts], end])
-                    for k, at in enumerate(range(0, len(data), step)):
-                        cut = data[at : at + step]
-                        row.append(r)
+                for r in range(high - low):
+                    own = data[begin[r] : begin[r + 1]] + end
+                    for k, at in enumerate(range(0, len(own), step)):
+                        cut = own[at : at + step]
+                        row.append(low + r)
                         piece.append(k)
                         length.append(len(cut) // 4)
                         crc.append(zlib.crc32(cut))

@@ -1,36 +1,15 @@
-"""Texts cut into chunks that a tokenizer treats alone, and what is known of
-chunks met before (for tokenizers that never look across a blank)."""
+"""What an operator that encodes texts keeps in a Python worker, and how much
+text it takes at a time."""
 
 from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator
 
-#: Chunks that a Python worker remembers, and the characters of the longest.
-KNOWN_CHUNKS, LONGEST_KNOWN = 300_000, 48
 #: Characters of text that are worked on at a time.
 SLICE = 2_000_000
 
 
-class ChunkCache:
-    """``make`` gets a list of chunks and gives the value of each."""
-
-    def __init__(self, make: Callable[[list[str]], list], known: int = KNOWN_CHUNKS):
-        self.make, self.known, self.values = make, known, {}
-
-    def lookup(self, texts: list[list[str]]) -> dict:
-        """Values of all chunks of some texts.  Long chunks are not kept
-        beyond the next call."""
-        values = self.values
-        if len(values) > self.known:
-            values.clear()
-        new = list({c for chunks in texts for c in chunks if c not in values})
-        found = dict(zip(new, self.make(new), strict=True)) if new else {}
-        rare = {c: v for c, v in found.items() if len(c) > LONGEST_KNOWN}
-        values.update(found if not rare else {c: v for c, v in found.items() if c not in rare})
-        return values | rare if rare else values
-
-
 class Loaded:
     """Something built once in each Python worker from bytes that travel with
     the task; ``build`` is a function of a module."""
@@ -48,14 +27,14 @@ class Loaded:
         return self.value
 
 
-def slices(texts: list[str | None], size: int = SLICE) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``size`` characters, or one row."""
+def slices(lengths: list[int], size: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``size`` characters, or one row, from the
+    lengths of all."""
     start = total = 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
+    for i, n in enumerate(lengths):
         if i > start and total + n > size:
             yield start, i
             start, total = i, 0
         total += n
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(lengths):
+        yield start, len(lengths)

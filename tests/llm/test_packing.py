@@ -79,7 +79,7 @@ def test_documents_change_places(spark):
 
 def test_pieces_equal_the_library(spark, odd_docs, odd_rows, no_docs):
     theirs = tokenizers.Tokenizer.from_file(public.path("word_bpe_49k.json"))
-    rows = [*odd_rows, (None, "null id"), (20, "Tab\tand\x0bother\x85 blanks here now\x1cend 'S don't É é ΑΣ Σ"), (21, "many words, one text. " * 3000), (22, "a" * 9000)]
+    rows = [*odd_rows, (None, "null id"), (20, "Tab\tand\x0bother\x85 blanks here now\x1cend 'S don't É é ΑΣ Σ"), (23, "word. Word, e\u0301t\u00e9. e\u0301. x;y -a- 'tis don't. it's; (a) [b] 1.5 a1. \u00aaz \u00d7 stra\u00dfe! \u0130stanbul. ab\u0301."), (21, "many words, one text. " * 3000), (22, "a" * 9000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     pieces = m.encode_pieces(docs, with_ids=True)
     got = m.pack(pieces).collect()
@@ -95,6 +95,25 @@ def test_pieces_equal_the_library(spark, odd_docs, odd_rows, no_docs):
     assert m.pack_documents(no_docs).collect() == []
 
 
+def test_words_equal_whole_texts(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    path = public.path("word_bpe_49k.json")
+    theirs = tokenizers.Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        encoder = m.WordEncoder(f.read())
+    monkeypatch.setattr(m, "KNOWN_WORDS", 400)
+    rng = random.Random(3)
+    alphabet = " \n\t\r  aAbcEéÀßŒñÑtheingsmd''.,!?;-_()0129\u0301\u0338=<\u00a0\u2003\x0b\x1c日本😀ΣσĀİªº²×÷|>"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 50))) for _ in range(4000)]
+    for at in range(0, len(texts), 100):
+        ids, begin = encoder.encode(pa.array(texts[at : at + 100]))
+        for t, a, b in zip(texts[at:], begin, begin[1:]):
+            assert ids[a:b].tolist() == theirs.encode(t, add_special_tokens=False).ids, t
+
+
 def test_query(spark, sf_small):
     got = m.query(spark, sf_small)
     rows = got.collect()
