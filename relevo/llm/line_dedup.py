@@ -1,16 +1,12 @@
 """Removal of lines that repeat an earlier line, exactly or nearly (operator
 10), DataFrame functions only.
 
-A line's set is its distinct lower-case words (parted by blanks, and by the
-characters of ``blanks`` where given).  A line goes if any line before it, in
+A line's set is its distinct lower-case words (parted by blanks, ASCII
+punctuation, tabs and CR, or what else ``blanks`` names).  A line goes if any line before it, in
 the order (doc_id, line number), has a Jaccard similarity of ``percent`` per
 cent or more with it, whether that line itself stays or not.  Lines without
 words stay.
 
-The query and the pipeline give no ``blanks``, as their SQL and tests say, so
-lines that differ in signs, tabs or a CR may both stay; ``PUNCTUATION`` parts
-words at these, too.
-
 Words are ordered by rarity: by the level (log2) of how often the words of
 their hash bucket occur in the whole table, then by hash.  This order is the
 same everywhere, which is all that the prefix filter needs, and the table of
@@ -55,7 +51,7 @@ BUCKETS = 1 << 17
 #: a larger group.
 CROWD, PART = 256, 4096
 _HASH_BITS = 57
-#: ASCII punctuation, tab, CR and others that ``blanks`` may name.
+#: ASCII punctuation, tab, CR and others that part words as blanks do.
 PUNCTUATION = string.punctuation + "\t\r\x0b\x0c"
 _LEAST = -(1 << 63)
 _LOW = (1 << 32) - 1
@@ -67,7 +63,7 @@ def plain(text: Column, blanks: str) -> Column:
     return F.translate(low, blanks, " " * len(blanks)) if blanks else low
 
 
-def words(line: Column, blanks: str = "") -> Column:
+def words(line: Column, blanks: str = PUNCTUATION) -> Column:
     """Distinct words of a line."""
     return F.array_remove(F.array_distinct(F.split(plain(line, blanks), " ")), "")
 
@@ -96,7 +92,7 @@ def _small_table(values) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<tinyint>")
 
 
-def rarity_levels(docs: DataFrame, blanks: str = "") -> list[int]:
+def rarity_levels(docs: DataFrame, blanks: str = PUNCTUATION) -> list[int]:
     """Per hash bucket, the bit length of its words' occurrences in all texts."""
     text_words = docs.select(F.explode(F.split(plain(F.col("text"), blanks + "\n"), " ")).alias("w"))
     counted = text_words.filter("w <> ''").groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count().collect()
@@ -106,7 +102,7 @@ def rarity_levels(docs: DataFrame, blanks: str = "") -> list[int]:
     return levels
 
 
-def prefixes(docs: DataFrame, levels: list[int], percent: int, blanks: str = "") -> DataFrame:
+def prefixes(docs: DataFrame, levels: list[int], percent: int, blanks: str = PUNCTUATION) -> DataFrame:
     """``token, doc, no, n, at, b, w2, k`` for the prefix words of each line,
     the rarest first; ``b, w2``: parity bitmap of the set, of two words for
     sets of more than 64; ``k``: a hash of the whole set."""
@@ -221,7 +217,7 @@ def _dealt(docs: DataFrame, touched: Column) -> DataFrame:
     return positioned(part.repartition(_id()))
 
 
-def dedup_lines(docs: DataFrame, percent: int = PERCENT, blanks: str = "") -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = PERCENT, blanks: str = PUNCTUATION) -> DataFrame:
     """The documents without the lines that go, with ``_n_lines`` and
     ``_n_gone`` (their lines, and those that went)."""
     columns, docs = docs.columns, packed(docs)
@@ -266,7 +262,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, blanks: str = "") -> Da
     return out.unionByName(rest)
 
 
-def remove_repeated_lines(docs: DataFrame, percent: int = PERCENT, blanks: str = "") -> DataFrame:
+def remove_repeated_lines(docs: DataFrame, percent: int = PERCENT, blanks: str = PUNCTUATION) -> DataFrame:
     """The documents without repeated lines; a document that had lines with
     words and is left with none goes.  ``n_chars``, where present, follows the
     text."""
@@ -282,10 +278,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_n_lines").cast("long").alias("n_lines"), F.col("_n_gone").cast("long").alias("n_removed"), "text")
 
 
+_SQL_BLANKS = " || ".join([f"chr({ord(c)})" for c in PUNCTUATION])
+
 ORACLE_SQL = f"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
 w AS MATERIALIZED (SELECT doc_id, no, row_number() OVER (ORDER BY doc_id, no) AS pos,
-    list_filter(list_distinct(string_split(lower(line), ' ')), lambda x: x <> '') AS ws FROM l),
+    list_filter(list_distinct(string_split(translate(lower(line), {_SQL_BLANKS}, '{" " * len(PUNCTUATION)}'), ' ')), lambda x: x <> '') AS ws FROM l),
 t AS (SELECT pos, unnest(ws) AS word, len(ws) AS n FROM w),
 f AS (SELECT word, count(*) AS df FROM t GROUP BY word),
 r AS (SELECT pos, word, n, row_number() OVER (PARTITION BY pos ORDER BY df, word) AS place FROM t JOIN f USING (word)),

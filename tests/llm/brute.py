@@ -3,8 +3,10 @@
 import hashlib
 import itertools
 import re
+import string
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+BLANKS = str.maketrans(dict.fromkeys(string.punctuation + "\t\r\x0b\x0c", " "))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -59,7 +61,7 @@ def dedup_lines(rows, percent=80):
     for i, t in sorted(rows):
         kept = []
         for line in (t or "").split("\n"):
-            s = {w for w in line.lower().split(" ") if w}
+            s = {w for w in line.lower().translate(BLANKS).split(" ") if w}
             if s and any(len(s & e) * 100 >= len(s | e) * percent for e in lines):
                 lines.append(s)
                 continue

@@ -64,5 +64,7 @@ def test_repeated_row_keeps_its_lines(spark, monkeypatch):
 def test_punctuation_tab_and_crlf_part_words(spark):
     rows = [(1, "Of sh."), (2, "Of, | sh.!!\nnew one"), (3, "of\tSH\r\n!! |\nnew-one\r"), (4, "of sh\t\r")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    out = {r.doc_id: r.text for r in m.remove_repeated_lines(docs, blanks=m.PUNCTUATION).collect()}
+    out = {r.doc_id: r.text for r in m.remove_repeated_lines(docs).collect()}
     assert out == {1: "Of sh.", 2: "new one"}  # of 3 only a line without words is left
+    only_blanks = {r.doc_id: r.text for r in m.remove_repeated_lines(docs, blanks="").collect()}
+    assert only_blanks[3] == rows[2][1] and 4 in only_blanks
