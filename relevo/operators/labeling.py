@@ -94,6 +94,29 @@ def testing_set(prepared: DataFrame, feature_col: str = "words", by: str = "coll
     return prepared.select("id", by, F.col(feature_col).alias("filtered"))
 
 
+def multiclass_flags(prepared: DataFrame, pattern_col: str = "pattern") -> DataFrame:
+    """Add ``class_no`` (1-based, 0 for none) and ``is_candidate`` (a text that
+    holds none of the classes in any of its tokens).
+
+    ``pattern`` holds one word set per class, each as space-joined words; a
+    text's class is the first whose words all occur in its stop-word-free
+    tokens."""
+    classes = F.transform(F.col(pattern_col), lambda p: F.split(p, " "))
+    hits = F.transform(classes, lambda c: F.size(F.array_except(c, F.col("filtered"))) == 0)
+    in_words = F.exists(classes, lambda c: F.size(F.array_except(c, F.col("words"))) == 0)
+    return prepared.withColumn("class_no", F.array_position(hits, True)).withColumn("is_candidate", ~in_words)
+
+
+def sample_multiclass(flagged: DataFrame, by: str = "collection_id", seed: int = SAMPLE_SEED) -> DataFrame:
+    """Texts of a class (``label`` 1.0, 2.0, ..) and the sampled candidates of
+    class 0 (0.0; fraction labelled / all texts, as in the binary case) of a
+    flagged table, with its other columns.  Two reads of ``flagged``."""
+    stats = flagged.groupBy(by).agg(F.try_divide(F.count_if(F.col("class_no") > 0).cast("double"), F.count(F.lit(1))).alias("_fraction"))
+    keep_zero = F.col("is_candidate") & (hash_unit("id", seed) < F.coalesce(F.col("_fraction"), F.lit(0.0)) * F.lit(float(HASH_RANGE)))
+    kept = attach_small(flagged, stats, on=by).filter((F.col("class_no") > 0) | keep_zero)
+    return kept.withColumn("label", F.col("class_no").cast("double")).drop("_fraction")
+
+
 def multiclass_training_set(
     prepared: DataFrame,
     feature_col: str = "words",
@@ -101,30 +124,7 @@ def multiclass_training_set(
     by: str = "collection_id",
     seed: int = SAMPLE_SEED,
 ) -> DataFrame:
-    """Weak labels for a multi-class collection.
-
-    ``pattern`` holds one word set per class, each as space-joined words.  A
-    text's label is k (1-based) for the first class whose words all occur in
-    its stop-word-free tokens; texts holding none of the classes in any of
-    their tokens are class 0 candidates, sampled with the fraction labelled /
-    all texts of the collection (as in the binary case)."""
-    classes = F.transform(F.col(pattern_col), lambda p: F.split(p, " "))
-    hits = F.transform(classes, lambda c: F.size(F.array_except(c, F.col("filtered"))) == 0)
-    in_words = F.exists(classes, lambda c: F.size(F.array_except(c, F.col("words"))) == 0)
-    flagged = prepared.withColumn("_class", F.array_position(hits, True)).withColumn(
-        "is_candidate", ~in_words
-    )
-    stats = flagged.groupBy(by).agg(
-        F.try_divide(F.count_if(F.col("_class") > 0).cast("double"), F.count(F.lit(1))).alias("_fraction")
-    )
-    joined = attach_small(flagged, stats, on=by)
-    keep_zero = F.col("is_candidate") & (
-        hash_unit("id", seed) < F.coalesce(F.col("_fraction"), F.lit(0.0)) * F.lit(float(HASH_RANGE))
-    )
-    return joined.filter((F.col("_class") > 0) | keep_zero).select(
-        "id",
-        by,
-        "text",
-        F.col(feature_col).alias("filtered"),
-        F.col("_class").cast("double").alias("label"),
-    )
+    """Weak labels for a multi-class collection (``multiclass_flags`` and
+    ``sample_multiclass`` as one call)."""
+    sampled = sample_multiclass(multiclass_flags(prepared, pattern_col), by, seed)
+    return sampled.select("id", by, "text", F.col(feature_col).alias("filtered"), "label")

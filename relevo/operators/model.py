@@ -37,7 +37,7 @@ from relevo.operators.joins import attach_small
 from relevo.operators.labeling import hash_unit
 from relevo.operators.model_table import ModelTable, WeightSink, class_scores, coefficients, model_table, raw_scores
 from relevo.operators.ranking import area_under_roc, weighted_f1
-from relevo.session import checkpoint_dir, materialize
+from relevo.session import materialize, work_folder
 
 # Model and tuning settings of the classification phase.
 MAX_ITER = 10
@@ -137,7 +137,7 @@ def _part_idfs(frequencies: DataFrame, cid: str, rows: dict[int, int]) -> dict[t
 def _fit_cells(kind: str, prefix: str, spec: TuningSpec, hashed: DataFrame, frequencies: DataFrame, counts: dict, usable: dict, concurrency: int) -> tuple[DataFrame, DataFrame]:
     """(weights, heads) of every cell of all collections, by Spark's fits."""
     spark = hashed.sparkSession
-    sink = WeightSink(spark, f"{checkpoint_dir(spark).rstrip('/')}/relevo/cells-{uuid.uuid4().hex}", _CELLS)
+    sink = WeightSink(spark, f"{work_folder(spark)}/cells-{uuid.uuid4().hex}", _CELLS)
     heads: list[tuple] = []
 
     def collection(cid: str) -> None:

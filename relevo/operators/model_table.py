@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from relevo.operators.features import entries, hash_tokens, idf_of, term_frequencies
 from relevo.operators.joins import attach_small
-from relevo.session import checkpoint_dir, materialize
+from relevo.session import materialize, work_folder
 
 MODELS = "collection_id string, kind string, num_features int, n_classes int, intercepts array<double>, defaults array<double>, label double"
 WEIGHTS = "collection_id string, idx int, idf double, weights array<double>"
@@ -102,7 +102,7 @@ def model_table(spark: SparkSession, models: dict) -> ModelTable:
     """The table of a run's fitted models (``CollectionModel`` by collection),
     written to the shared folder.  A model's weights pass through the driver
     one model after the other, as its fit left them there."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/models-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/models-{uuid.uuid4().hex}"
     heads, sizes, width = [], set(), 0
     sink = WeightSink(spark, f"{path}/weights", WEIGHTS)
     for cid, m in sorted(models.items()):

@@ -1,13 +1,13 @@
 """End-to-end jobs: mine patterns (J1), classify and score (J2), histograms of
-the scores (J3).  The data work for all collections is one plan; only the
-distributed FP-growth and model fits loop over collections, and scores come
-from the table of the models."""
+the scores or of prediction files (J3).  The data work for all collections is
+one plan; FP-growth runs once a band of wanted counts, only the model fits loop
+over collections, and scores come from the table of the models."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relevo.operators.labeling import label_flags, positive_stats, sample_training
@@ -26,7 +26,7 @@ from relevo.operators.report import histogram, training_error
 from relevo.session import materialize
 from relevo.sources.cells import select_collections
 from relevo.sources.models import save_models
-from relevo.sources.sinks import write_patterns, write_predictions_tsv
+from relevo.sources.sinks import newest_predictions, read_predictions_tsv, write_patterns, write_predictions_tsv
 
 
 def mine_patterns(
@@ -43,7 +43,7 @@ def mine_patterns(
     if config is not None:
         texts = select_collections(texts, config.select("collection_id"))
     tx = transactions(prepare_texts(texts), keep=("collection_id",))
-    sets = frequent_itemsets(materialize(tx, "transactions", ["collection_id"]), min_support=min_support, min_count=min_count)
+    sets = frequent_itemsets(materialize(tx, "transactions"), min_support=min_support, min_count=min_count)
     if out_path:
         write_patterns(sets, out_path, run_ts or "run")
     return sets
@@ -109,14 +109,22 @@ def classify(
     train = sample_training(prepared, balanced=balanced).select("id", "collection_id", "filtered", "label")
     train = materialize(train, "training", ["collection_id"])
     models = train_collections(train, spec, concurrency=concurrency)
+    table = model_table(texts.sparkSession, models)
     if models_path:
-        save_models(models, models_path)
-    result = Classification(prepared, train, models, positive_stats(prepared), spec, model_table(texts.sparkSession, models))
+        save_models(models, models_path, table)
+    result = Classification(prepared, train, models, positive_stats(prepared), spec, table)
     if predictions_path:
         write_predictions_tsv(result.scores(), predictions_path, run_ts or "run")
     return result
 
 
+def file_histograms(spark: SparkSession, path: str, run_ts: str | None = None) -> DataFrame:
+    """J3 over the prediction files below ``path``: each collection's newest
+    run, or those of one stamp.  Result with the run stamp."""
+    scores = newest_predictions(spark, path) if run_ts is None else read_predictions_tsv(spark, path).filter(F.col("run_ts") == run_ts)
+    return histogram(scores, "Probability", ["collection_id", "run_ts"])
+
+
 def score_histograms(scores: DataFrame, probability_col: str = "probability_relevant") -> DataFrame:
     """J3: 10-bin histogram of the relevance probability per collection."""
     return histogram(scores, probability_col, "collection_id")

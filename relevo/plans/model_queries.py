@@ -13,12 +13,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relevo.operators.labeling import multiclass_training_set, testing_set
+from relevo.operators.labeling import multiclass_flags, sample_multiclass, testing_set
 from relevo.operators.model import TuningSpec, apply_multiclass, default_concurrency, ensemble, train_collections
+from relevo.operators.model_table import model_table
 from relevo.operators.report import relevance_share
 from relevo.plans.jobs import Classification, classify, score_histograms
 from relevo.plans.queries import DOCUMENT_PATTERN, RUN_STAMP, cleaned_documents, language_documents
-from relevo.session import checkpoint_dir, materialize
+from relevo.session import materialize, work_folder
 from relevo.sources.config import config_for_texts
 from relevo.sources.sinks import read_predictions_tsv, score_cells, write_predictions_tsv
 
@@ -103,14 +104,14 @@ def q_multiclass_scored_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ensemble_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = document_classification(spark, sf_dir)
-    return ensemble(run.models, _naive_bayes(spark, sf_dir), run.testing())
+    return ensemble(run.table, _naive_bayes(spark, sf_dir), run.testing())
 
 
 def q_prediction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction files (``id TAB Probability`` with header, one folder per
     collection and run stamp) written and read back."""
     run = document_classification(spark, sf_dir)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/predictions-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/predictions-{uuid.uuid4().hex}"
     write_predictions_tsv(run.scores(), path, run_ts=RUN_STAMP)
     return read_predictions_tsv(spark, path).select("id", "Probability", "collection_id", "run_ts")
 
@@ -123,17 +124,15 @@ def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _multiclass(spark: SparkSession, sf_dir: str):
-    """(tokens of every text, models) of the documents by language."""
+    """(tokens of every text, models' table) of the documents by language."""
 
     def build():
-        prepared = materialize(
-            language_documents(spark, sf_dir).select("id", "collection_id", "text", "words", "filtered", "pattern").drop("text"),
-            "language_prepared",
-            ["collection_id"],
-        )
-        train = multiclass_training_set(prepared.withColumn("text", F.lit(None).cast("string"))).drop("text")
+        flagged = multiclass_flags(language_documents(spark, sf_dir))
+        prepared = materialize(flagged.select("id", "collection_id", "words", "class_no", "is_candidate"), "language_prepared", ["collection_id"])
+        train = sample_multiclass(prepared).select("id", "collection_id", F.col("words").alias("filtered"), "label")
         spec = TuningSpec(classifiers=("multinomial",), parallelism=default_concurrency(spark)[1])
-        return prepared, train_collections(materialize(train, "language_training", ["collection_id"]), spec)
+        models = train_collections(materialize(train, "language_training", ["collection_id"]), spec)
+        return prepared, model_table(spark, models)
 
     return _cached(spark, sf_dir, "multiclass", build)
 

@@ -19,6 +19,8 @@ from relevo.plans.queries import (
     LANGUAGE_CLASSES,
     MINING_MIN_COUNT,
     MINING_SUPPORT,
+    OLDER_STAMP,
+    RELEVANT_VALUE,
     RUN_STAMP,
     SHORTLIST_K,
 )
@@ -203,14 +205,14 @@ fs AS (SELECT collection_id, items, count(*) AS freq FROM grown GROUP BY collect
 """
 
 
-def _histogram() -> str:
+def _histogram(by: str = "event_type", value: str = "CAST(value AS DOUBLE)") -> str:
     lo, hi, w, v = "lo", "hi", "wd", "value"
     raw = f"least(9, CAST(floor((({v} - {lo}) / ({hi} - {lo})) * 10.0) AS INTEGER))"
     down = f"CASE WHEN {v} < {lo} + ({raw}) * {w} THEN ({raw}) - 1 ELSE ({raw}) END"
     up_edge = f"CASE WHEN ({down}) + 1 = 10 THEN {hi} ELSE {lo} + (({down}) + 1) * {w} END"
     idx = f"CASE WHEN {v} >= {up_edge} AND ({down}) <> 9 THEN ({down}) + 1 ELSE ({down}) END"
     return f"""
-WITH ev AS (SELECT event_type, CAST(value AS DOUBLE) AS value FROM events WHERE value IS NOT NULL),
+WITH ev AS (SELECT {by}, {value} AS value FROM events WHERE value IS NOT NULL),
 mm AS (SELECT event_type, min(value) AS mn, max(value) AS mx FROM ev GROUP BY event_type),
 st AS (SELECT event_type,
               CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo,
@@ -354,6 +356,10 @@ SELECT collection_id, rank::BIGINT AS rank, items, freq FROM r WHERE rank <= {SH
        CAST(freq AS VARCHAR) || ' ' || array_to_string(items, ' ') AS line FROM fs""",
         "prediction_roundtrip": f"""SELECT CAST(event_id AS VARCHAR) AS id, event_type AS collection_id, '{RUN_STAMP}' AS run_ts,
        CAST(value AS DOUBLE) AS probability FROM events""",
+        "file_histogram": f"""WITH h AS ({_histogram(value='CASE WHEN length(event_type) % 2 = 0 THEN value ELSE -value END::DOUBLE')})
+SELECT event_type AS collection_id, CASE WHEN length(event_type) % 2 = 0 THEN '{RUN_STAMP}' ELSE '{OLDER_STAMP}' END AS run_ts, bin, bin_lo, bin_hi, n FROM h""",
+        "running_counts": f"""SELECT event_type AS collection_id, count(*) AS n_texts, count(*) FILTER (WHERE value > {RELEVANT_VALUE}) AS n_relevant,
+       round(count(*) FILTER (WHERE value > {RELEVANT_VALUE})::DOUBLE / count(*), 6) AS relevant_share FROM events GROUP BY event_type""",
         "score_cell_rows": """SELECT CAST(event_id AS VARCHAR) AS row_key, 'classification' AS column_family, 'probability2' AS qualifier,
        CAST(value AS DOUBLE) AS value FROM events""",
         "run_names": """SELECT event_id, strftime(ts, '%Y%m%d-%H%M%S') || '_' || CAST(event_id AS VARCHAR) || '_' || event_type AS output_name FROM events""",

@@ -17,8 +17,9 @@ from relevo.operators.labeling import (
     HASH_RANGE,
     hash_unit,
     label_flags,
-    multiclass_training_set,
+    multiclass_flags,
     positive_stats,
+    sample_multiclass,
     sample_training,
     testing_set,
 )
@@ -29,18 +30,21 @@ from relevo.operators.preprocess import prepare_texts, transactions
 from relevo.operators.ranking import area_under_roc
 from relevo.operators.report import audit_sample, histogram, relevance_share, training_error
 from relevo.plans import tables
-from relevo.plans.jobs import mine_patterns
-from relevo.session import checkpoint_dir, materialize
+from relevo.plans.jobs import file_histograms, mine_patterns
+from relevo.session import materialize, work_folder
 from relevo.sources.cells import cells_to_texts, load_cells, select_collections
 from relevo.sources.config import config_for_texts
 from relevo.sources.lines import parse_lines
 from relevo.sources.sinks import numbered_lines, read_predictions_tsv, score_cells, write_predictions_tsv, write_score_cells
+from relevo.streaming.counts import read_counts, running_counts, start_counts
 
 # Pattern chosen for every document collection of the test data (what a
 # person would put in the config after reading the mined sets).
 DOCUMENT_PATTERN = ("ing", "tion")
 SHORTLIST_K = 10
 AUDIT_K = 5
+# Events above this value count as relevant in the running counts.
+RELEVANT_VALUE = 50.0
 # Support and least count of the mining queries (long assistant turns make the
 # default support explode; the job's default stays as it is).
 MINING_SUPPORT = 0.1
@@ -50,6 +54,7 @@ FEATURE_SIZES = (1024, 1000)
 BAYES_FEATURES = 1000
 # Run stamp of the queries that write files.
 RUN_STAMP = "20240102-030405"
+OLDER_STAMP = "20231231-235959"
 # Multi-class collections: documents grouped by language, one word set per
 # class (space-joined); class 0 = none of them.
 LANGUAGE_CLASSES = ("ing tion", "les des", "der die")
@@ -198,8 +203,10 @@ def q_training_set_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_multiclass_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = multiclass_training_set(language_documents(spark, sf_dir))
-    return t.select("id", "collection_id", "label", F.size("filtered").cast("long").alias("n_features"))
+    flagged = multiclass_flags(language_documents(spark, sf_dir))
+    narrow = flagged.select("id", "collection_id", "class_no", "is_candidate", F.size("words").cast("long").alias("n_features"))
+    t = sample_multiclass(materialize(narrow, "flagged_languages"))
+    return t.select("id", "collection_id", "label", "n_features")
 
 
 def q_testing_set(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +260,7 @@ def _stored_bayes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ModelTab
     """(documents' tokens, naive Bayes models of all collections stored as
     tables and loaded again)."""
     rows, training = _training_tokens(spark, sf_dir)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/stored-models-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/stored-models-{uuid.uuid4().hex}"
     naive_bayes_table(materialize(training, "training_tokens"), BAYES_FEATURES).save(path)
     return rows, ModelTable.load(spark, path)
 
@@ -320,15 +327,37 @@ def _event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_prediction_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction files written and read back."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/predictions-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/predictions-{uuid.uuid4().hex}"
     write_predictions_tsv(_event_scores(spark, sf_dir), path, run_ts=RUN_STAMP)
     back = read_predictions_tsv(spark, path)
     return back.select("id", "collection_id", "run_ts", F.col("Probability").alias("probability"))
 
 
+def q_file_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histograms of the newest prediction files: an older run of all
+    collections, and a newer one of those whose name has an even length."""
+    path = f"{work_folder(spark)}/predictions-{uuid.uuid4().hex}"
+    scores = _event_scores(spark, sf_dir)
+    write_predictions_tsv(scores.withColumn("probability_relevant", -F.col("probability_relevant")), path, run_ts=OLDER_STAMP)
+    write_predictions_tsv(scores.filter(F.length("collection_id") % 2 == 0), path, run_ts=RUN_STAMP)
+    return file_histograms(spark, path)
+
+
+def q_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events counted by a stream in which every third one arrives twice."""
+    folder = sf_dir.rstrip("/")
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    twice = raw.withColumn("_copy", F.explode(F.when(F.col("event_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    texts = twice.select(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("collection_id"), F.col("ts").cast("timestamp").alias("ts"), "value")
+    base = f"{work_folder(spark)}/counts-{uuid.uuid4().hex}"
+    start_counts(running_counts(texts, F.col("value") > RELEVANT_VALUE), f"{base}/counts", f"{base}/checkpoint").awaitTermination()
+    return read_counts(spark, f"{base}/counts").withColumn("relevant_share", F.round("relevant_share", 6))
+
+
 def q_score_cell_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score cells written twice for one run and read back (once)."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/relevo/cells-{uuid.uuid4().hex}/run_ts={RUN_STAMP}"
+    path = f"{work_folder(spark)}/cells-{uuid.uuid4().hex}/run_ts={RUN_STAMP}"
     scores = _event_scores(spark, sf_dir)
     write_score_cells(scores, path)
     write_score_cells(scores, path)
@@ -417,6 +446,8 @@ SQL_CHECKED = {
     "event_histogram": q_event_histogram,
     "pattern_file_lines": q_pattern_file_lines,
     "prediction_roundtrip": q_prediction_roundtrip,
+    "file_histogram": q_file_histogram,
+    "running_counts": q_running_counts,
     "score_cell_rows": q_score_cell_rows,
     "run_names": q_run_names,
     "fold_numbers": q_fold_numbers,

@@ -55,6 +55,15 @@ def key_prefix_filter(key_col: str, collection_id: str, delimited: bool = True):
     return F.col(key_col).startswith(prefix)
 
 
+def _outer_ids(config_ids: DataFrame) -> DataFrame:
+    """``_cid, _inner``: the longer configured ids that begin with a
+    configured id and a separator (``new`` and ``new-york``)."""
+    parts = F.split("_inner", KEY_SEPARATOR)
+    outer = F.transform(F.sequence(F.lit(1), F.size("_parts") - 1), lambda n: F.array_join(F.slice("_parts", F.lit(1), n), KEY_SEPARATOR))
+    longer = config_ids.select(F.col("_cid").alias("_inner")).select("_inner", parts.alias("_parts")).filter(F.size("_parts") > 1)
+    return longer.select("_inner", F.explode(outer).alias("_cid")).groupBy("_cid").agg(F.collect_set("_inner").alias("_inner"))
+
+
 def select_collections(
     texts: DataFrame,
     config: DataFrame,
@@ -65,17 +74,20 @@ def select_collections(
 
     A key is expanded to its prefixes of the configured id lengths, which keeps
     this an equi join instead of a nested-loop prefix match.  ``delimited``: the
-    separator must follow the prefix (so an id may hold separators itself);
-    else a key belongs to every configured id it starts with.
+    separator must follow the prefix (so an id may hold separators itself), and
+    of several such ids the longest has the text; else a key belongs to every
+    configured id it starts with.
     """
     cfg = config.withColumnRenamed("collection_id", "_cid")
     lengths = sorted(r[0] for r in cfg.select(F.length("_cid")).distinct().collect() if r[0] is not None)
-    keyed = (
-        texts.withColumn("_len", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")))
-        .withColumn("_cid", F.substring(F.col(key_col), F.lit(1), F.col("_len")))
-        .filter(F.length("_cid") == F.col("_len"))
-    )
+    key = F.col(key_col)
+    follows = (lambda n: F.substring(key, n + 1, F.lit(1)) == KEY_SEPARATOR) if delimited else (lambda n: F.length(key) >= n)
+    fits = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), follows)
+    keyed = texts.withColumn("_len", F.explode(fits)).withColumn("_cid", F.substring(key, F.lit(1), F.col("_len")))
     if delimited:
-        keyed = keyed.filter(F.substring(F.col(key_col), F.col("_len") + 1, F.lit(1)) == KEY_SEPARATOR)
+        cfg = cfg.join(_outer_ids(cfg.select("_cid").distinct()), "_cid", "left")
     out = attach_small(keyed.drop("_len", "collection_id"), cfg, on="_cid")
+    if delimited:
+        inner = F.exists(F.coalesce("_inner", F.array().cast("array<string>")), lambda x: key.startswith(F.concat(x, F.lit(KEY_SEPARATOR))))
+        out = out.filter(~inner).drop("_inner")
     return out.withColumnRenamed("_cid", "collection_id")

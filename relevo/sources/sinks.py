@@ -8,11 +8,13 @@ so that reruns with the same stamp are repeatable.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from relevo.functions.formats import SCORE_FAMILY, SCORE_QUALIFIER, itemset_line
+from relevo.operators.joins import attach_small
+from relevo.operators.ranking import numbered
 
 PREDICTION_FILE_SCHEMA = StructType(
     [StructField("id", StringType()), StructField("Probability", DoubleType())]
@@ -86,6 +88,24 @@ def read_predictions_tsv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def prediction_runs(spark: SparkSession, path: str) -> DataFrame:
+    """``collection_id, run_ts, newest`` of the runs below ``path``, from the
+    names of the files alone (stamps sort by time)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
+    # folder names are written with %XX for special characters
+    part = lambda name: F.url_decode(F.replace(F.regexp_extract("path", rf"{name}=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+    runs = files.select(part("collection_id").alias("collection_id"), part("run_ts").alias("run_ts")).distinct()
+    last = runs.groupBy("collection_id").agg(F.max("run_ts").alias("last"))
+    return runs.join(last, "collection_id").select("collection_id", "run_ts", (F.col("run_ts") == F.col("last")).alias("newest"))
+
+
+def newest_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Predictions of each collection's newest run, in one scan: the join on
+    the folder columns keeps older runs' files unread."""
+    newest = prediction_runs(spark, path).filter("newest").select("collection_id", "run_ts")
+    return attach_small(read_predictions_tsv(spark, path), newest, ["collection_id", "run_ts"])
+
+
 def pattern_lines(itemsets: DataFrame) -> DataFrame:
     """Pattern file lines ``freq item item ...`` in file order per collection
     (frequency descending, ties by item list descending)."""
@@ -96,9 +116,10 @@ def pattern_lines(itemsets: DataFrame) -> DataFrame:
 
 def numbered_lines(itemsets: DataFrame) -> DataFrame:
     """Pattern file lines with their number in the collection's file
-    (``line_no`` from 1)."""
-    order = Window.partitionBy("collection_id").orderBy(F.desc("freq"), F.desc("items"))
-    return itemsets.select("collection_id", F.row_number().over(order).cast("long").alias("line_no"), itemset_line("freq", "items").alias("line"))
+    (``line_no`` from 1).  The order is one range-partitioned sort over all
+    collections with carried offsets."""
+    lines = numbered(itemsets.select("collection_id", "items", "freq"), ["collection_id"], [F.desc("freq"), F.desc("items")], "line_no")
+    return lines.select("collection_id", "line_no", itemset_line("freq", "items").alias("line"))
 
 
 def write_patterns(itemsets: DataFrame, path: str, run_ts: str) -> None:

@@ -18,7 +18,7 @@ from relevo.functions.text import clean_text, collection_of
 from relevo.operators.model import CollectionModel, as_table, score
 from relevo.operators.model_table import ModelTable
 from relevo.operators.preprocess import prepare_texts
-from relevo.session import checkpoint_dir
+from relevo.session import work_folder
 
 
 def score_batch(texts: DataFrame, models: dict[str, CollectionModel] | ModelTable, feature_col: str = "words") -> DataFrame:
@@ -73,7 +73,7 @@ def score_document_stream(spark: SparkSession, sf_dir: str, run) -> DataFrame:
         collection_of(F.concat_ws("-", "source", F.col("doc_id").cast("string"))).alias("collection_id"),
         clean_text("text").alias("text"),
     )
-    base = f"{checkpoint_dir(spark).rstrip('/')}/relevo/stream-{uuid.uuid4().hex}"
+    base = f"{work_folder(spark)}/stream-{uuid.uuid4().hex}"
     query = start_scoring(texts, run.table, f"{base}/sink", f"{base}/checkpoint")
     query.awaitTermination()
     return read_scores(spark, f"{base}/sink").drop("batch")

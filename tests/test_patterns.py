@@ -84,3 +84,28 @@ def test_least_count(spark):
     assert got == {("a",): 2}
     assert frequent_itemsets(tx, 0.1, min_count=5).count() == 0
     assert frequent_itemsets(tx.limit(0), 0.1).count() == 0
+
+
+def test_collections_of_like_size_are_mined_together(spark, monkeypatch):
+    """Collections of many sizes need one run a band, and get their own sets."""
+    import random
+
+    import relevo.operators.patterns as P
+
+    rng = random.Random(3)
+    rows = {f"c:{k}-ü": [[rng.choice("abcdefg") for _ in range(rng.randint(0, 5))] for _ in range(n)] for k, n in enumerate([30, 31, 29, 30, 12, 12, 3, 1])}
+    tx = None
+    for cid, own in rows.items():
+        one = _tx(spark, own, cid)
+        tx = one if tx is None else tx.unionByName(one)
+    fits = []
+    real = P.FPGrowth.fit
+    monkeypatch.setattr(P.FPGrowth, "fit", lambda self, df: fits.append(1) or real(self, df))
+    got = {(r.collection_id, tuple(r["items"])): r.freq for r in frequent_itemsets(tx, 0.2, min_count=2).collect()}
+    want = {}
+    for cid, own in rows.items():
+        n = sum(1 for _ in own)
+        want |= {(cid, s): c for s, c in brute(own, 0.2).items() if c >= max(2, math.ceil(0.2 * n))}
+    assert got == want and len(fits) <= 4
+    lost = _tx(spark, [["a"], ["a"]], "x").withColumn("collection_id", F.lit(None).cast("string"))
+    assert frequent_itemsets(lost, 0.5).collect() == []

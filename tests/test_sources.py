@@ -99,7 +99,7 @@ def test_ids_that_hold_the_separator(spark):
     texts = spark.createDataFrame([("new-town-1", "a"), ("new-2", "b"), ("newer-3", "c"), ("x", "d"), (None, "e")], "id string, text string")
     cfg = config_from_rows(spark, [{"Id": "new-town", "FP": []}, {"Id": "new", "FP": []}])
     got = sorted((r.collection_id, r.id) for r in select_collections(texts, cfg).collect())
-    assert got == [("new", "new-2"), ("new", "new-town-1"), ("new-town", "new-town-1")]
+    assert got == [("new", "new-2"), ("new-town", "new-town-1")]  # the longest id has the text
     assert select_collections(texts, cfg.limit(0)).count() == 0
 
 
@@ -152,3 +152,68 @@ def test_spread_only_what_cannot_be_split(spark):
     out = spread(spark.range(0, 1000, numPartitions=1))
     assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r.id for r in out.collect()) == list(range(1000))
+
+
+def test_longest_configured_id_has_the_text(spark):
+    from relevo.sources.cells import select_collections
+
+    keys = ["new-1", "new-york-1", "new-york-city-7", "newer-2", "new-", "new", "york-1", None, "a-b-1", "a-1"]
+    texts = spark.createDataFrame([(k, "old", "t") for k in keys], "id string, collection_id string, text string")
+    config = spark.createDataFrame([("new", 1), ("new-york", 2), ("new-york-city", 3), ("a-b", 4)], "collection_id string, n int")
+    got = {(r.id, r.collection_id, r.n) for r in select_collections(texts, config).collect()}
+    assert got == {("new-1", "new", 1), ("new-york-1", "new-york", 2), ("new-york-city-7", "new-york-city", 3), ("new-", "new", 1), ("a-b-1", "a-b", 4)}
+    raw = sorted((r.id, r.collection_id) for r in select_collections(texts, config, delimited=False).collect())
+    assert ("newer-2", "new") in raw and ("new-york-1", "new") in raw and ("new-york-1", "new-york") in raw
+
+
+def test_newest_prediction_files(spark, tmp_path):
+    from relevo.plans.jobs import file_histograms
+    from relevo.sources.sinks import newest_predictions, write_predictions_tsv
+
+    path = str(tmp_path / "p")
+    rows = [(f"{c}-{i}", c, i / 10) for c in ("007", "a b/c=d%+", "x") for i in range(5)]
+    df = spark.createDataFrame(rows, "id string, collection_id string, probability_relevant double")
+    write_predictions_tsv(df, path, "20240101-000000")
+    write_predictions_tsv(df.filter("collection_id <> 'x'").withColumn("probability_relevant", F.col("probability_relevant") + 1), path, "20240202-000000")
+    got = newest_predictions(spark, path)
+    assert {(r.collection_id, r.run_ts) for r in got.collect()} == {("007", "20240202-000000"), ("a b/c=d%+", "20240202-000000"), ("x", "20240101-000000")}
+    assert got.count() == 15 and got.filter("collection_id = '007'").agg(F.min("Probability")).first()[0] == 1.0
+    assert {r.run_ts for r in file_histograms(spark, path, "20240101-000000").collect()} == {"20240101-000000"}
+
+
+def test_a_run_leaves_nothing_behind(spark, tmp_path):
+    import os
+    import uuid
+
+    from relevo.session import abandoned_runs, checkpoint_dir, materialize, publish, release, work_folder, workspace
+
+    root = checkpoint_dir(spark).removeprefix("file:").rstrip("/")
+    df = spark.range(10)
+    with workspace(spark) as folder:
+        assert work_folder(spark) == folder and materialize(df, "x").count() == 10
+        assert sorted(os.listdir(folder))[-1].startswith("x-") and os.path.exists(f"{folder}/manifest.json")
+    assert not os.path.exists(folder)
+    try:
+        with workspace(spark) as failed:
+            materialize(df, "y")
+            raise ValueError
+    except ValueError:
+        pass
+    assert not os.path.exists(failed)
+    kept = materialize(df, "z")
+    others = {f for f, _ in abandoned_runs(spark)}
+    assert kept.count() == 10 and not any(work_folder(spark).rsplit("/", 1)[1] in f for f in others)
+    old = f"{root}/relevo/run-old-{uuid.uuid4().hex}"
+    os.makedirs(old)
+    with open(f"{old}/manifest.json", "w") as f:
+        f.write('{"application": "gone", "started": "2024-01-01T00:00:00Z"}')
+    assert [m["application"] for f, m in abandoned_runs(spark) if f not in others] == ["gone"]
+    own = work_folder(spark).removeprefix("file:")
+    assert os.path.exists(own)
+    release(spark)
+    assert not os.path.exists(own) and os.path.exists(old)
+    for n in (1, 2):
+        df.limit(n).write.parquet(str(tmp_path / f"part{n}"))
+        publish(spark, str(tmp_path / f"part{n}"), str(tmp_path / "out"))
+        assert spark.read.parquet(str(tmp_path / "out")).count() == n
+    assert sorted(os.listdir(tmp_path)) == ["out"]

@@ -40,3 +40,28 @@ def test_stream_equals_batch(spark, tmp_path):
     got = {r.id: r.probability_relevant for r in out if r.status == "trained"}
     want = {r.id: r.probability_relevant for r in score(models, prepared.filter("collection_id = 's'").select("id", "collection_id", F.col("words").alias("filtered"))).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+def test_running_counts_go_on_from_the_checkpoint(spark, tmp_path):
+    from relevo.streaming.counts import read_counts, relevance_counts, running_counts, start_counts, with_share
+
+    schema = "id string, collection_id string, ts timestamp, p double"
+    src = str(tmp_path / "in")
+    hours = [[("a-1", "a", 0, 0.9), ("a-2", "a", 1, 0.1), ("a-1", "a", 0, 0.9), ("b-1", "b", 2, None)], [("a-2", "a", 2, 0.1), ("a-3", "a", 3, 0.8), ("b-2", "b", 3, 0.7)]]
+
+    def arrive(rows):
+        at = [(i, c, f"2024-01-01 00:{10 * h:02d}:00", p) for i, c, h, p in rows]
+        df = spark.createDataFrame(at, "id string, collection_id string, t string, p double")
+        df.select("id", "collection_id", F.col("t").cast("timestamp").alias("ts"), "p").write.mode("append").parquet(src)
+
+    def go():
+        stream = spark.readStream.schema(schema).parquet(src)
+        start_counts(running_counts(stream, F.col("p") > 0.5), str(tmp_path / "c"), str(tmp_path / "k")).awaitTermination()
+        return {tuple(r) for r in read_counts(spark, str(tmp_path / "c")).select("collection_id", "n_texts", "n_relevant", "relevant_share").collect()}
+
+    arrive(hours[0])
+    assert go() == {("a", 2, 1, 0.5), ("b", 1, 0, 0.0)}
+    arrive(hours[1])  # a stopped stream goes on: a-2 was met before
+    last = go()
+    batch = with_share(relevance_counts(spark.read.schema(schema).parquet(src).dropDuplicates(["id"]), F.col("p") > 0.5))
+    assert last == {tuple(r) for r in batch.select("collection_id", "n_texts", "n_relevant", "relevant_share").collect()} == {("a", 3, 2, 2 / 3), ("b", 2, 1, 0.5)}
