@@ -362,6 +362,9 @@ SELECT event_type AS collection_id, CASE WHEN length(event_type) % 2 = 0 THEN '{
        round(count(*) FILTER (WHERE value > {RELEVANT_VALUE})::DOUBLE / count(*), 6) AS relevant_share FROM events GROUP BY event_type""",
         "score_cell_rows": """SELECT CAST(event_id AS VARCHAR) AS row_key, 'classification' AS column_family, 'probability2' AS qualifier,
        CAST(value AS DOUBLE) AS value FROM events""",
+        "cell_store": """WITH d AS (SELECT source || '-' || CAST(doc_id AS VARCHAR) AS row_key, doc_id, lang, n_chars FROM documents)
+SELECT row_key, 'metadata' AS column_family, 'lang' AS qualifier, CASE WHEN doc_id % 3 = 0 THEN upper(lang) ELSE lang END AS value FROM d
+UNION ALL SELECT row_key, 'collection-management', 'chars', CAST(n_chars AS VARCHAR) FROM d""",
         "run_names": """SELECT event_id, strftime(ts, '%Y%m%d-%H%M%S') || '_' || CAST(event_id AS VARCHAR) || '_' || event_type AS output_name FROM events""",
         "fold_numbers": f"""WITH d AS (SELECT source || '-' || CAST(doc_id AS VARCHAR) AS id, source AS collection_id FROM documents)
 SELECT id, collection_id, {hash_unit('id', CV_SEED)} % {NUM_FOLDS} AS fold FROM d""",

@@ -32,6 +32,7 @@ from relevo.operators.report import audit_sample, histogram, relevance_share, tr
 from relevo.plans import tables
 from relevo.plans.jobs import file_histograms, mine_patterns
 from relevo.session import materialize, work_folder
+from relevo.sources.cell_store import read_cells, write_cells
 from relevo.sources.cells import cells_to_texts, load_cells, select_collections
 from relevo.sources.config import config_for_texts
 from relevo.sources.lines import parse_lines
@@ -365,6 +366,20 @@ def q_score_cell_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.select("row_key", "column_family", "qualifier", F.col("value").cast("double").alias("value"))
 
 
+def q_cell_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents put into a cell store by two runs (the second one replaces
+    the languages of every third document) and read back."""
+    path = f"{work_folder(spark)}/store-{uuid.uuid4().hex}"
+    d = tables.read_table(spark, sf_dir, "documents")
+    key = F.concat_ws("-", "source", F.col("doc_id").cast("string")).alias("row_key")
+    cell = lambda family, qualifier, value: F.struct(F.lit(family).alias("column_family"), F.lit(qualifier).alias("qualifier"), value.alias("value"))
+    both = F.explode(F.array(cell("metadata", "lang", F.col("lang")), cell("collection-management", "chars", F.col("n_chars").cast("string")))).alias("c")
+    write_cells(d.select(key, both).select("row_key", "c.*"), path, OLDER_STAMP)
+    again = d.filter(F.col("doc_id") % 3 == 0).select(key, cell("metadata", "lang", F.upper("lang")).alias("c"))
+    write_cells(again.select("row_key", "c.*"), path, RUN_STAMP)
+    return read_cells(spark, path)
+
+
 def q_run_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Output names of runs stamped with the events' times."""
     ev = tables.read_table(spark, sf_dir, "events")
@@ -449,6 +464,7 @@ SQL_CHECKED = {
     "file_histogram": q_file_histogram,
     "running_counts": q_running_counts,
     "score_cell_rows": q_score_cell_rows,
+    "cell_store": q_cell_store,
     "run_names": q_run_names,
     "fold_numbers": q_fold_numbers,
     "vector_probability": q_vector_probability,
