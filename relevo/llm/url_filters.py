@@ -14,10 +14,9 @@ a.example), for hosts of more than two labels.  Masses are integers, so sums
 don't depend on the order of rows; mass at a host without edges is dropped.
 The host table and the edges are Spark tables at every size.
 
-The verdict is taken from masses of 10^-18 of a page, moved on until less than
-``REMAINING`` of all mass is under way.  ``trust`` and ``distrust`` give the
-masses after ``steps`` steps in millionths of a page, each share rounded down,
-so small ones show as 0.
+Masses are counted in 10^-18 of a page, each share rounded down, and moved on
+for ``STEPS`` steps, until less than a thousandth of all mass is under way;
+``trust`` and ``distrust`` give them as decimal text.
 
 Defined results: null urls or urls without ``://`` have an empty host and
 path, no rule, and the verdict of a host without edges (allow); null html has
@@ -27,7 +26,6 @@ gives an empty result; other columns of the input are ignored.
 
 from __future__ import annotations
 
-import math
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,16 +43,12 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-STEPS = 10
-#: Per cent of a host's mass that moves along its edges in a step.
-DAMPING = 85
-UNIT = 1_000_000
-#: Parts of the verdict's masses in one of the results', and the share of the
-#: mass that may be under way when the verdict is taken.
-FINE, REMAINING = 10**12, 1e-3
+#: Per cent of a host's mass that moves along its edges in a step; after the
+#: steps less than a thousandth of all mass is under way.
+DAMPING, STEPS = 85, 43
+#: Parts of a page's mass.
+UNIT = 10**18
 LINK = r"""(?:href|src)\s*=\s*["']?(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
-#: The SQL's links.
-_SCHEME_LINK = r"""(?:href|src)\s*=\s*["']?[A-Za-z][A-Za-z0-9+.-]*://([^/?#"'\s<>]+)"""
 _MASS = "decimal(38,0)"
 
 
@@ -89,38 +83,26 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return links.unionByName(above).unionByName(below).filter("src <> '' and dst <> '' and src <> dst").distinct()
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, steps: int = STEPS, remaining: float = REMAINING) -> DataFrame:
-    """``host, trust, distrust, t, d`` from seeds ``host, trust, distrust`` over
-    ``src, dst`` edges; ``t, d``: the fine masses.  A step's table is written to
-    the shared folder, so the plan doesn't grow with the steps."""
+def propagate(hosts: DataFrame, edges: DataFrame, steps: int = STEPS) -> DataFrame:
+    """``host, trust, distrust`` from seeds of the same columns over ``src,
+    dst`` edges.  A step's table is written to the shared folder, so the plan
+    doesn't grow with the steps."""
     out_deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     in_deg = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("deg"))
     ahead = edges.join(out_deg, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"), F.col("deg").alias("fwd"), F.lit(None).cast("long").alias("back"))
     against = edges.join(in_deg, "dst").select(F.col("dst").alias("host"), F.col("src").alias("to"), F.lit(None).cast("long").alias("fwd"), F.col("deg").alias("back"))
     arcs = materialize(ahead.unionByName(against), "url-arcs")
-    hosts = hosts.withColumns({f: (F.col(c).cast(_MASS) * F.lit(FINE).cast("decimal(13,0)")).cast(_MASS) for f, c in (("t", "trust"), ("d", "distrust"))})
     if arcs.isEmpty():
         return hosts
-    share = lambda mass, deg: F.expr(f"coalesce({mass} * {DAMPING} div 100 div {deg}, 0)")
-    fine_share = lambda mass, deg: F.expr(f"cast(coalesce(floor({mass} * {DAMPING} / cast({deg} * 100 as decimal(20,0))), 0) as {_MASS})")
-    seed = lambda mass: F.expr(f"{mass} * {100 - DAMPING} div 100")
-    fine_seed = lambda mass: F.expr(f"cast(floor({mass} * {100 - DAMPING} / 100) as {_MASS})")
-
-    def stepped(state, whole):
-        pick = lambda coarse, fine, by: [f(*x).alias(x[0]) for f, xs in ((coarse, by[:2] if whole else []), (fine, by[2:])) for x in xs]
-        moved = arcs.join(state, "host").select(F.col("to").alias("host"), *pick(share, fine_share, [("trust", "fwd"), ("distrust", "back"), ("t", "fwd"), ("d", "back")]))
-        seeds = hosts.select("host", *pick(seed, fine_seed, [("trust",), ("distrust",), ("t",), ("d",)]))
-        sums = moved.unionByName(seeds).groupBy("host").agg(*(F.sum(c).alias(c) for c in moved.columns[1:]))
-        return materialize(sums.withColumns({c: F.col(c).cast(_MASS) for c in ("t", "d")}), "url-mass")
-
+    whole = lambda x: F.expr(f"cast(coalesce(floor({x}), 0) as {_MASS})")
+    share = lambda mass, deg: whole(f"{mass} * {DAMPING} / cast({deg} * 100 as decimal(20,0))")
+    seeds = hosts.select("host", *[whole(f"{c} * {100 - DAMPING} / 100").alias(c) for c in ("trust", "distrust")])
     state = hosts
     for _ in range(steps):
-        state = stepped(state, True)
-    coarse = state.select("host", "trust", "distrust")
-    fine = state.select("host", "t", "d")
-    for _ in range(steps, math.ceil(math.log(remaining) / math.log(DAMPING / 100))):
-        fine = stepped(fine, False)
-    return fine.join(coarse, "host", "left")
+        moved = arcs.join(state, "host").select(F.col("to").alias("host"), share("trust", "fwd").alias("trust"), share("distrust", "back").alias("distrust"))
+        sums = moved.unionByName(seeds).groupBy("host").agg(*[F.sum(c).cast(_MASS).alias(c) for c in ("trust", "distrust")])
+        state = materialize(sums, "url-mass")
+    return state
 
 
 def filter_urls(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
@@ -130,8 +112,7 @@ def filter_urls(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     judged = materialize(split.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled")), "url-rules")
     seeds = judged.groupBy("host").agg(
-        (F.sum(F.when(F.col("ruled") == "allow", UNIT).otherwise(0))).alias("trust"),
-        (F.sum(F.when(F.col("ruled") == "block", UNIT).otherwise(0))).alias("distrust"),
+        *[(F.count_if(F.col("ruled") == verdict).cast(_MASS) * F.lit(UNIT).cast("decimal(19,0)")).cast(_MASS).alias(c) for c, verdict in (("trust", "allow"), ("distrust", "block"))]
     )
     seeds = materialize(seeds.filter("host <> ''"), "url-seeds")
     mass = propagate(seeds, host_edges(split, seeds), steps)
@@ -140,9 +121,8 @@ def filter_urls(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
         "host",
         "path",
         "rule",
-        F.coalesce("ruled", F.when(F.col("d") > F.col("t"), "block").otherwise("allow")).alias("verdict"),
-        F.coalesce("trust", F.lit(0)).cast("long").alias("trust"),
-        F.coalesce("distrust", F.lit(0)).cast("long").alias("distrust"),
+        F.coalesce("ruled", F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")).alias("verdict"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit("0")).alias(c) for c in ("trust", "distrust")],
     )
 
 
@@ -156,12 +136,12 @@ def _oracle() -> str:
     for h, p, v in sorted(RULES, key=lambda r: len(r[0] + r[1])):
         fits = f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
         rule, verdict = f"CASE WHEN {fits} THEN '{h + p}' ELSE {rule} END", f"CASE WHEN {fits} THEN '{v}' ELSE {verdict} END"
-    link = _SCHEME_LINK.replace("'", "''")
+    link = LINK.replace("'", "''")
     steps = ["m0 AS (SELECT * FROM seeds)"]
     for i in range(STEPS):
-        steps.append(f"""m{i + 1} AS MATERIALIZED (SELECT host, sum(trust)::BIGINT AS trust, sum(distrust)::BIGINT AS distrust FROM (
-          SELECT dst AS host, trust * {DAMPING} // 100 // od AS trust, 0::BIGINT AS distrust FROM arcs JOIN m{i} ON host = src
-          UNION ALL SELECT src, 0, distrust * {DAMPING} // 100 // id FROM arcs JOIN m{i} ON host = dst
+        steps.append(f"""m{i + 1} AS MATERIALIZED (SELECT host, sum(trust)::HUGEINT AS trust, sum(distrust)::HUGEINT AS distrust FROM (
+          SELECT dst AS host, trust * {DAMPING} // (100 * od) AS trust, 0::HUGEINT AS distrust FROM arcs JOIN m{i} ON host = src
+          UNION ALL SELECT src, 0, distrust * {DAMPING} // (100 * id) FROM arcs JOIN m{i} ON host = dst
           UNION ALL SELECT host, trust * {100 - DAMPING} // 100, distrust * {100 - DAMPING} // 100 FROM seeds
           WHERE EXISTS (SELECT 1 FROM arcs)
           UNION ALL SELECT host, trust, distrust FROM seeds WHERE NOT EXISTS (SELECT 1 FROM arcs)) GROUP BY host)""")
@@ -169,7 +149,7 @@ def _oracle() -> str:
 WITH r AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 s AS (SELECT page_id, html, {lower.format("regexp_extract(rest, '^[^/?#]*', 0)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
 j AS (SELECT page_id, html, host, path, {rule} AS rule, {verdict} AS ruled FROM s),
-seeds AS MATERIALIZED (SELECT host, ({UNIT} * count(*) FILTER (ruled = 'allow'))::BIGINT AS trust, ({UNIT} * count(*) FILTER (ruled = 'block'))::BIGINT AS distrust
+seeds AS MATERIALIZED (SELECT host, {UNIT}::HUGEINT * count(*) FILTER (ruled = 'allow') AS trust, {UNIT}::HUGEINT * count(*) FILTER (ruled = 'block') AS distrust
   FROM j WHERE host <> '' GROUP BY host),
 above AS (SELECT host AS src, regexp_extract(host, '^[^.]+\\.(.+\\..+)$', 1) AS dst FROM seeds),
 edges AS MATERIALIZED (SELECT DISTINCT src, dst FROM (
@@ -178,7 +158,7 @@ edges AS MATERIALIZED (SELECT DISTINCT src, dst FROM (
 arcs AS MATERIALIZED (SELECT src, dst, count(*) OVER (PARTITION BY src) AS od, count(*) OVER (PARTITION BY dst) AS id FROM edges),
 {", ".join(steps)}
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
-  coalesce(trust, 0)::BIGINT AS trust, coalesce(distrust, 0)::BIGINT AS distrust
+  coalesce(trust, 0)::VARCHAR AS trust, coalesce(distrust, 0)::VARCHAR AS distrust
 FROM j LEFT JOIN m{STEPS} USING (host)
 """
 
