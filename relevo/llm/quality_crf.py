@@ -8,9 +8,9 @@ the lines' lengths in bytes.
 
 Training lines carry their document's label.  The fit runs over a bounded
 sample of labelled documents (``sample_documents``, chosen by a hash of the
-id, the same on every run; whole ones, and fewer of them where they have more
-than ``sample_lines`` lines on average), whose features Spark computes; the
-model is a few dozen numbers.  Scoring is one
+id, the same on every run; whole ones in that order, until ``sample_lines``
+lines a document on average are used up, the last one whole, too), whose
+features Spark computes; the model is a few dozen numbers.  Scoring is one
 pass over the documents without a shuffle.
 
 Defined results: null texts, empty texts and texts of blank lines have no
@@ -152,8 +152,11 @@ class LineModel:
 
     @classmethod
     def fit(cls, documents: list[tuple[np.ndarray, int]], rounds: int = 150, rate: float = 0.15, ridge: float = 1e-4):
-        """Maximum likelihood by full-batch Adam; the same input gives the same
-        model."""
+        """Full-batch Adam along two parts of the likelihood's gradient, each
+        with a scale of its own, so the steps follow no single likelihood: the
+        features' part is a mean over documents, whose lines share a
+        document's weight, and the transitions' part is a mean over pairs of
+        neighbouring lines.  The same input gives the same model."""
         prior = float(np.mean([y for _, y in documents])) if documents else 0.5
         documents = [d for d in documents if len(d[0])]
         if not documents:
@@ -198,22 +201,23 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_documents: int = SAMP
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter((crc_fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("quality").isin(0, 1))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_documents)
     texts = materialize(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "quality-sample")
-    # whole documents, in the sample's order, as far as sample_lines a document on average go
+    # whole documents in the sample's order, until sample_lines a document on average are used
     sizes = texts.groupBy("doc_id").agg(F.sum(F.greatest(F.size(F.split("text", "\n")), F.lit(0))).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     room, taken = sample_documents * sample_lines, []
     for r in sizes:
-        if (r["n"] or 0) <= room:
-            room -= r["n"] or 0
-            taken.append(r["doc_id"])
+        if room <= 0:
+            break
+        room -= r["n"] or 0
+        taken.append(r["doc_id"])
     if len(taken) < len(sizes):
         texts = texts.filter(F.col("doc_id").isin(taken))
 
     def compute(texts):
-        return [[chain_features(document_lines(t)).ravel().tolist() for t in texts]]
+        return [[chain_features(document_lines(t)).astype("<f8").tobytes() for t in texts]]
 
-    rows = map_columns(texts, ["text"], [T.StructField("x", T.ArrayType(T.DoubleType()))], compute).select("doc_id", "quality", "x").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["quality"], r["x"]))
-    return LineModel.fit([(np.array(r["x"]).reshape(-1, WIDTH), r["quality"]) for r in rows])
+    rows = map_columns(texts, ["text"], [T.StructField("x", T.BinaryType())], compute).select("doc_id", "quality", "x").collect()
+    rows = sorted(rows, key=lambda r: (r["doc_id"], r["quality"], bytes(r["x"])))
+    return LineModel.fit([(np.frombuffer(r["x"], "<f8").reshape(-1, WIDTH), r["quality"]) for r in rows])
 
 
 def score_quality(docs: DataFrame, model: LineModel) -> DataFrame:

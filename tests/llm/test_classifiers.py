@@ -97,3 +97,22 @@ def test_short_words_become_entries(spark):
     lexicon = toxicity.learn_lexicon(docs, labels)
     assert " zut " in lexicon.weights and " zut" not in lexicon.weights
     assert lexicon.scores(["a zut"]) > lexicon.scores(["a word"])
+
+
+def test_long_documents_are_in_the_fit(spark, monkeypatch):
+    """Documents are taken in order until the lines are used up, whatever
+    their lengths; the last one is whole."""
+    seen = []
+    monkeypatch.setattr(quality_crf.LineModel, "fit", classmethod(lambda cls, documents: seen.append([len(x) for x, _ in documents]) or cls()))
+    docs = spark.createDataFrame([(i, "a line\n" * (900 if i == 7 else 3)) for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(30)], "doc_id long, quality int")
+    quality_crf.fit_quality(docs, labels, 30, 1000)
+    assert 900 in seen[0]
+    quality_crf.fit_quality(docs, labels, 30, 1)
+    order = [r.doc_id for r in labels.filter("crc32(cast(doc_id as string)) % 3 <> 1").selectExpr("doc_id", "xxhash64(doc_id) h").orderBy("h").collect()]
+    room, want = 30, []
+    for i in order:
+        if room > 0:
+            want.append(900 if i == 7 else 3)
+            room -= 901 if i == 7 else 4
+    assert sorted(seen[1]) == sorted(want)
