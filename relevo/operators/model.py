@@ -241,9 +241,10 @@ def _usable_folds(own: dict[int, dict]) -> list[int]:
 
 
 def default_concurrency(spark) -> tuple[int, int]:
-    """(collections trained at once, fits per collection at once)."""
+    """(collections trained at once, fits per collection at once): together
+    about a fit for every core."""
     cores = max(1, spark.sparkContext.defaultParallelism)
-    return max(1, cores // 2), max(1, min(8, cores))
+    return max(1, cores // 2), 2
 
 
 def train_collections(
