@@ -92,6 +92,26 @@ class Aligner:
         self.index: dict[str, int] = {}
         self.groups: list[str | None] = []
         self.counts, self.first, self.links = array("q"), array("q", [0]), array("I")
+        self.met = np.zeros(0, np.int64)  # how often since the last time room was made
+
+    def make_room(self) -> None:
+        """Forget the chunks met least: once, or more often if these leave
+        more than half of the room."""
+        met = np.zeros(len(self.groups), np.int64)
+        met[: len(self.met)] = self.met
+        length = np.diff(np.frombuffer(self.first, np.int64))
+        most = np.sort(met)[::-1][: KNOWN_CHUNKS // 2]
+        keep = np.flatnonzero(met > max(1, int(most[-1])))
+        if length[keep].sum() > KNOWN_LINKS // 2:
+            keep = keep[:0]
+        first, counts, links, groups, chunks = self.first, self.counts, self.links, self.groups, list(self.index)
+        self.reset()
+        self.index = {chunks[k]: i for i, k in enumerate(keep.tolist())}
+        self.groups = [groups[k] for k in keep.tolist()]
+        self.counts.frombytes(np.frombuffer(counts, np.int64).reshape(-1, 4)[keep].tobytes())
+        begin = np.frombuffer(first, np.int64)[keep]
+        self.links.frombytes(np.frombuffer(links, np.uint32)[ranges(begin, length[keep])].tobytes())
+        self.first.frombytes(np.cumsum(length[keep]).tobytes())
 
     def tokens(self, chunks: list[str]) -> tuple[list, list]:
         """Ids of both sides; a chunk begins with a blank or a line break."""
@@ -137,7 +157,7 @@ class Aligner:
     def numbered(self, texts: list[str | None]) -> list[list[int]]:
         """Chunk numbers of every text (none for null and empty ones)."""
         if len(self.groups) > KNOWN_CHUNKS or len(self.links) > KNOWN_LINKS:
-            self.reset()
+            self.make_room()
         chunks = [_CHUNK.findall(" " + t) if t else [] for t in texts]
         known = self.index
         new = list({c for own in chunks for c in own if c not in known})
@@ -192,6 +212,9 @@ def make_run(aligner: Aligner, texts: list[str | None], radix: int = RADIX) -> t
     groups = aligner.groups
     own = [[] if any(groups[k] is None for k in codes) else codes for codes in own]
     codes = np.fromiter((k for x in own for k in x), np.int64)
+    met = np.bincount(codes, minlength=len(groups))
+    met[: len(aligner.met)] += aligner.met
+    aligner.met = met
     doc = np.repeat(np.arange(len(own)), [len(x) for x in own])
     counts = np.frombuffer(aligner.counts, np.int64).reshape(-1, 4)
     first, links = np.frombuffer(aligner.first, np.int64), np.frombuffer(aligner.links, np.uint32)

@@ -80,11 +80,27 @@ def test_against_whole_texts(spark, libraries, odd_docs, odd_rows, no_docs):
 def test_many_small_runs_and_levels(spark, libraries, monkeypatch):
     monkeypatch.setattr(m, "RUN_CHARS", 200)
     monkeypatch.setattr(m, "BLOCK", 16)
+    monkeypatch.setattr(m, "KNOWN_CHUNKS", 60)
     rows = list(enumerate(odd_texts()))[:300]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert result(m.align_documents(docs, radix=5, fan=3)) == plain(rows, libraries)
 
 
+def test_room_is_made_for_frequent_chunks(libraries, monkeypatch):
+    """Alignments stay the same when chunks are forgotten, and frequent ones
+    are kept."""
+    with open(public.path("byte_bpe_50k.json"), encoding="utf-8") as a, open(public.path("piece_bpe_32k.model"), "rb") as b:
+        aligner = m.Aligner(a.read(), b.read())
+    texts = [t for t in odd_texts() if t] + ["often met words " * 3 + f"rare{i}" for i in range(300)]
+    plenty = [m.make_run(aligner, [t])[0] for t in texts]
+    aligner.reset()
+    monkeypatch.setattr(m, "KNOWN_CHUNKS", 40)
+    tight = [m.make_run(aligner, [t])[0] for t in texts]
+    assert tight == plenty and len(aligner.groups) < 200
+    aligner.make_room()
+    assert {" often", " met", " words"} & set(aligner.index) and " rare7" not in aligner.index
+
+
 def test_merge_and_blocks():
     rng = np.random.default_rng(3)
     runs, want = [], Counter()
