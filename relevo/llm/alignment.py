@@ -84,13 +84,14 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if is_byte else p.replace(BLANK, " ").encode() for p, is_byte in pieces]
         if any("\n" in p or BLANK in p.lstrip(BLANK) for p, _ in pieces):
             raise ValueError("a piece crosses a blank or a line break: texts can't be cut there")
-        self.a_size, self.b_size = [*map(len, self.a_bytes)], [*map(len, self.b_bytes)]
+        self.a_size, self.b_size = (np.array([*map(len, x)], np.int64) for x in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in range(len(self.b_bytes))]
         self.reset()
 
     def reset(self) -> None:
         self.index: dict[str, int] = {}
-        self.groups: list[str | None] = []
+        self.groups: list[str] = []
+        self.bad: set[int] = set()  # chunks that some side doesn't give back
         self.counts, self.first, self.links = array("q"), array("q", [0]), array("I")
         self.met = np.zeros(0, np.int64)  # how often since the last time room was made
 
@@ -104,8 +105,9 @@ class Aligner:
         keep = np.flatnonzero(met > max(1, int(most[-1])))
         if length[keep].sum() > KNOWN_LINKS // 2:
             keep = keep[:0]
-        first, counts, links, groups, chunks = self.first, self.counts, self.links, self.groups, list(self.index)
+        first, counts, links, groups, chunks, bad = self.first, self.counts, self.links, self.groups, sorted(self.index, key=self.index.get), self.bad
         self.reset()
+        self.bad = {i for i, k in enumerate(keep.tolist()) if k in bad}
         self.index = {chunks[k]: i for i, k in enumerate(keep.tolist())}
         self.groups = [groups[k] for k in keep.tolist()]
         self.counts.frombytes(np.frombuffer(counts, np.int64).reshape(-1, 4)[keep].tobytes())
@@ -121,38 +123,38 @@ class Aligner:
         return a, [x if c[0] == " " else x[1:] for c, x in zip(chunks, b, strict=True)]
 
     def add(self, chunks: list[str]) -> None:
-        a_bytes, b_bytes, a_size, b_size, a_text, b_text = self.a_bytes, self.b_bytes, self.a_size, self.b_size, self.a_text, self.b_text
-        for chunk, a, b in zip(chunks, *self.tokens(chunks), strict=True):
-            self.index[chunk] = len(self.groups)
-            data = chunk.encode()
-            if b"".join([a_bytes[i] for i in a]) != data or b"".join([b_bytes[i] for i in b]) != data:
-                self.groups.append(None)
+        a, b = self.tokens(chunks)
+        data = [c.encode() for c in chunks]
+        a_join, b_join = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        if any(b"".join(map(f, (i for own in ids for i in own))) != b"".join(data) for f, ids in ((a_join, a), (b_join, b))):
+            good = [b"".join(map(a_join, x)) == d == b"".join(map(b_join, y)) for x, y, d in zip(a, b, data, strict=True)]
+            for c in [c for c, fits in zip(chunks, good, strict=True) if not fits]:
+                self.bad.add(len(self.groups))
+                self.index[c] = len(self.groups)
+                self.groups.append("")
                 self.counts.extend((0, 0, 0, 0))
                 self.first.append(len(self.links))
-                continue
-            i = j = 0
-            end_a, end_b = a_size[a[0]], b_size[b[0]]
-            from_a = from_b = 0
-            parts, links = [], []
-            while True:
-                links.append(b[j] << 16 | a[i])
-                if end_a == end_b:
-                    parts.append(",".join([a_text[x] for x in a[from_a : i + 1]]) + "|" + ",".join([b_text[x] for x in b[from_b : j + 1]]))
-                    i, j = i + 1, j + 1
-                    if i == len(a):
-                        break
-                    from_a, from_b = i, j
-                    end_a, end_b = end_a + a_size[a[i]], end_b + b_size[b[j]]
-                elif end_a < end_b:
-                    i += 1
-                    end_a += a_size[a[i]]
-                else:
-                    j += 1
-                    end_b += b_size[b[j]]
-            self.groups.append(";".join(parts))
-            self.counts.extend((len(a), len(b), len(parts), len(links)))
-            self.links.extend(links)
-            self.first.append(len(self.links))
+            chunks, a, b, data = ([x for x, fits in zip(own, good, strict=True) if fits] for own in (chunks, a, b, data))
+            if not chunks:
+                return
+        n_a, n_b = (np.array([*map(len, own)], np.int64) for own in (a, b))
+        flat_a, flat_b = (np.fromiter((i for x in own for i in x), np.int64, int(n.sum())) for own, n in ((a, n_a), (b, n_b)))
+        # ends of the tokens in all chunks' joined bytes; every one is a link's end
+        end_a, end_b = np.cumsum(self.a_size[flat_a]), np.cumsum(self.b_size[flat_b])
+        chunk_end = np.cumsum([*map(len, data)])
+        ends, both = np.union1d(end_a, end_b), np.intersect1d(end_a, end_b, assume_unique=True)
+        links = flat_b[np.searchsorted(end_b, ends)] << 16 | flat_a[np.searchsorted(end_a, ends)]
+        link_end, group_end = (np.searchsorted(x, chunk_end, "right") for x in (ends, both))
+        counts = np.stack([n_a, n_b, np.diff(group_end, prepend=0), np.diff(link_end, prepend=0)], 1)
+        a_text, b_text = [self.a_text[i] for i in flat_a.tolist()], [self.b_text[i] for i in flat_b.tolist()]
+        a_cut, b_cut = ([0, *(np.searchsorted(x, both) + 1).tolist()] for x in (end_a, end_b))
+        parts = [",".join(a_text[i:j]) + "|" + ",".join(b_text[k:m]) for i, j, k, m in zip(a_cut, a_cut[1:], b_cut, b_cut[1:], strict=False)]
+        base, cuts = len(self.groups), [0, *group_end.tolist()]
+        self.index.update(zip(chunks, range(base, base + len(chunks)), strict=True))
+        self.groups += [";".join(parts[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
+        self.counts.frombytes(counts.astype(np.int64).tobytes())
+        self.first.frombytes((link_end + len(self.links)).astype(np.int64).tobytes())
+        self.links.frombytes(links.astype(np.uint32).tobytes())
 
     def numbered(self, texts: list[str | None]) -> list[list[int]]:
         """Chunk numbers of every text (none for null and empty ones)."""
@@ -210,7 +212,8 @@ def make_run(aligner: Aligner, texts: list[str | None], radix: int = RADIX) -> t
     """(numbers of every document, records, [(radix, totals)]) of some texts."""
     own = aligner.numbered(texts)
     groups = aligner.groups
-    own = [[] if any(groups[k] is None for k in codes) else codes for codes in own]
+    if aligner.bad:
+        own = [codes if aligner.bad.isdisjoint(codes) else [] for codes in own]
     codes = np.fromiter((k for x in own for k in x), np.int64)
     met = np.bincount(codes, minlength=len(groups))
     met[: len(aligner.met)] += aligner.met
