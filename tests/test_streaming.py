@@ -1,14 +1,16 @@
 """Stream scoring: the stream gives the same scores as the batch path."""
 
 import uuid
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from relevo.functions.text import clean_text, collection_of
-from relevo.operators.model import TuningSpec, score, train_collections
+from relevo.operators.model import TuningSpec, as_table, score, train_collections
 from relevo.operators.preprocess import prepare_texts
 from relevo.session import checkpoint_dir
-from relevo.streaming.scoring import read_scores, start_scoring
+from relevo.streaming.scoring import read_scores, score_document_stream, start_scoring
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -42,6 +44,19 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
 
 
+@pytest.mark.parametrize("files", [0, 3])
+def test_documents_as_a_file_or_a_folder(spark, tmp_path, files):
+    words = ["storm flood river", "music party dance"]
+    docs = spark.createDataFrame([(i, words[i % 2], "en", f"s{i % 2}", 9) for i in range(12)], "doc_id long, text string, lang string, source string, n_chars long")
+    at = tmp_path / "documents.parquet"
+    docs.repartition(files or 1).write.parquet(str(at if files else tmp_path / "x"))
+    if not files:
+        next((tmp_path / "x").glob("part-*.parquet")).rename(at)
+    run = SimpleNamespace(table=as_table({}, docs))
+    out = score_document_stream(spark, str(tmp_path), run).collect()
+    assert sorted((r.id, r.collection_id, r.status) for r in out) == sorted((f"s{i % 2}-{i}", f"s{i % 2}", "untrained") for i in range(12))
+
+
 def test_running_counts_go_on_from_the_checkpoint(spark, tmp_path):
     from relevo.streaming.counts import read_counts, relevance_counts, running_counts, start_counts, with_share
 
