@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from relevo.operators import model
 from relevo.operators.model import TuningSpec, apply_models, ensemble, score, train_collections
 from relevo.operators.report import relevance_share, training_error
 from relevo.plans.jobs import score_histograms
@@ -81,6 +82,27 @@ def test_layout_does_not_change_models(spark, trained):
         assert got == pytest.approx(want, abs=1e-9)
 
 
+def test_fits_of_many_tasks_equal_those_of_one(spark, trained, monkeypatch):
+    train, models = trained
+    want = {r.id: r.probability_relevant for r in score(models, train).collect()}
+    monkeypatch.setattr(model, "TASK_ENTRIES", 20)
+    persisted = []
+    frame = type(train)
+    repartition = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *cols: persisted.append(n) or repartition(self, n, *cols))
+    again = train_collections(train, SMALL, concurrency=2)
+    assert persisted and min(persisted) > 1  # a collection's rows are dealt over tasks by their entries
+    assert {c: m.cv_auc for c, m in again.items()} == pytest.approx({c: m.cv_auc for c, m in models.items()})
+    got = {r.id: r.probability_relevant for r in score(again, train).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_scoring_sorts_no_terms(spark, trained):
+    train, models = trained
+    plan = score(models, train)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_folds_of_one_class_do_not_count(spark):
     rows = [(f"f-{i}", "f", ["good" if i < 3 else "bad", f"w{i}"], 1.0 if i < 3 else 0.0) for i in range(12)]
     df = spark.createDataFrame(rows, "id string, collection_id string, filtered array<string>, label double")
