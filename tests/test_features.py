@@ -59,6 +59,19 @@ def test_tf_idf_equals_the_librarys(spark, training):
     assert hashed_idf(training, 100).filter("df < 1 OR idf IS NULL").count() == 0
 
 
+def test_several_hash_sizes_are_one_pass_over_the_rows(spark, training, tmp_path):
+    training.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    odd = spark.createDataFrame([("n-1", "a", None, 0.0), ("n-2", "a", [], 0.0), (None, None, ["flood"], 0.0), ("a-1", "a", ["flood", "flood"], 0.0), ("z-1", "z", ["flood"], 0.0)], ROWS)
+    both = tf_idf(rows.unionByName(odd), training, (100, 64))
+    order = ["id", "collection_id", "num_features", "idx", "tf", "idf", "tf_idf"]
+    got = sorted(map(repr, both.select(*order).collect()))
+    alone = [tf_idf(rows.unionByName(odd), training, n).withColumn("num_features", F.lit(n)).select(*order) for n in (100, 64)]
+    assert got == sorted(map(repr, alone[0].unionByName(alone[1]).collect()))
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(_tokens") == 2 and "lambdafunction" not in plan  # one vector a size, unrolled as it is
+
+
 def test_fold_idf_equals_fits_on_the_rest(spark, training):
     hashed = hash_tokens(training.withColumn("fold", M.fold_of("id", 3).cast("int")), (20, 64)).cache()
     n_rows = hashed.groupBy("collection_id", "fold").agg(F.count(F.lit(1)).alias("n_rows"))
