@@ -72,6 +72,15 @@ def test_several_hash_sizes_are_one_pass_over_the_rows(spark, training, tmp_path
     assert plan.count("UDF(_tokens") == 2 and "lambdafunction" not in plan  # one vector a size, unrolled as it is
 
 
+def test_terms_of_folds_and_held_out_rows_are_unrolled_as_they_are(spark, training):
+    hashed = hash_tokens(training.select("collection_id", "label", M.fold_of("id", 3).cast("int").alias("fold"), F.monotonically_increasing_id().alias("row"), "filtered"), (20, 64))
+    weights, heads = spark.createDataFrame([], M._CELLS.replace(" idf double,", "")), spark.createDataFrame([("a", 20, 0, 0, [0.5])], M._CELL_HEADS)
+    scored = M._held_out_scores(hashed, weights, heads, (20, 64), 1)
+    for df in (fold_frequencies(hashed, (20, 64)), scored):
+        assert "lambdafunction" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.fold, r.raw_0) for r in scored.collect()} == {(0, 0.5)}
+
+
 def test_fold_idf_equals_fits_on_the_rest(spark, training):
     hashed = hash_tokens(training.withColumn("fold", M.fold_of("id", 3).cast("int")), (20, 64)).cache()
     n_rows = hashed.groupBy("collection_id", "fold").agg(F.count(F.lit(1)).alias("n_rows"))
