@@ -112,3 +112,19 @@ def test_keep_long_terms_equals_split_filter_join(spark):
     df = spark.createDataFrame(rows, "t string")
     ref = F.array_join(F.filter(F.split("t", " "), lambda x: F.length(x) >= 3), " ")
     assert df.filter(keep_long_terms("t") != ref).count() == 0
+
+
+def test_clean_text_makes_signs_once(spark):
+    """The character table's result is used several times, but made once."""
+    plan = spark.createDataFrame([("a",)], "t string").select(clean_text("t").alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1
+
+
+def test_tokenize_drops_no_more_than_its_pattern(spark):
+    ends = ["", " ", "\t", "\n", "\r\n", "\x0b", "\x0c", "\u0085", " ", "  ", " ", "  \n "]
+    rows = [(start + end,) for start in ("", "Abc", "ab cD", " x", "É ") for end in ends] + [(None,)]
+    df = spark.createDataFrame(rows, "t string")
+    low = F.lower("t")
+    body = F.regexp_replace(low, r"\s+$", "")
+    ref = F.when(low == "", F.array(F.lit(""))).when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, r"\s"))
+    assert df.filter(~tokenize("t").eqNullSafe(ref)).count() == 0
