@@ -80,3 +80,19 @@ def test_sorted_windows_and_collisions(monkeypatch):
     assert least.tolist() == [1] * 6 + [1] * 7 + [2] * 7
     s = m.Stretches(data, m.Hashes(data), np.array([0, 1, 111, 112]), np.array([50, 50, 50, 50]), np.array([5, 4, 3, 2]), np.zeros(4, np.uint64))
     assert s.windows.sum() >= 2 and (s.least[s.unique] <= s.doc).all() and s.unique[0] != s.unique[2]
+
+
+def test_windows_without_an_equal_are_not_sorted(monkeypatch):
+    """Of a tag's different stretches only the windows that stand in several
+    are sorted, however many share the tag by chance."""
+    rng = np.random.default_rng(3)
+    stretches = [rng.integers(97, 123, 65).astype(np.uint8) for _ in range(200)]
+    stretches[150][5:60] = stretches[20][10:65]
+    data = np.concatenate(stretches)
+    start, size = np.arange(200) * 65, np.full(200, 65)
+    sorted_, plain_sort = [], m.sort_windows
+    monkeypatch.setattr(m, "sort_windows", lambda d, h, s, g: sorted_.append(len(s)) or plain_sort(d, h, s, g))
+    least = m.least_documents(data, m.Hashes(data), start, size, np.arange(200)[::-1].copy(), np.full(200, 9)).reshape(200, 16)
+    want = np.repeat(np.arange(200)[::-1], 16).reshape(200, 16)
+    want[20, 10:16] = want[150, 5]
+    assert (least == want).all() and sum(sorted_) == 12
