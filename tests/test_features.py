@@ -202,3 +202,23 @@ def test_plan_does_not_grow_with_collections(spark, training):
     models = M.train_collections(training, M.TuningSpec(num_features=(16,), reg_params=(0.1,), num_folds=2), concurrency=3)
     many = {f"{c}{k}": M.CollectionModel(f"{c}{k}", m.kind, m.model, m.cv_auc, {}) for c, m in models.items() for k in range(30)}
     assert _plan(models, spark, 3) == _plan(many, spark, 90)
+
+
+def test_vectors_of_sizes_that_divide_another_are_folded(spark):
+    """Equal to the library's vectors, though only 60 and 7 are hashed to."""
+    from pyspark.ml.feature import HashingTF
+
+    from relevo.operators import features
+
+    rows = spark.createDataFrame([(1, ["a", "b", "a", "c"] + [f"w{i}" for i in range(50)]), (2, []), (3, None), (4, ["x"])], "id long, words array<string>").coalesce(1)
+    hashed_to, plain = [], features.hash_tokens
+    features.hash_tokens = lambda rows, sizes, col: hashed_to.extend(sizes) or plain(rows, sizes, col)
+    try:
+        got = features.hashed_vectors(rows, (10, 60, 7, 20), "words", "folded", ["id"]).orderBy("id").collect()
+    finally:
+        features.hash_tokens = plain
+    assert hashed_to == [60, 7]
+    known = rows.fillna({}).selectExpr("id", "coalesce(words, array()) words")
+    for n in (10, 60, 7, 20):
+        want = HashingTF(inputCol="words", outputCol="v", numFeatures=n).transform(known).orderBy("id").collect()
+        assert [r[f"tf_{n}"] for r in got] == [r.v for r in want]
