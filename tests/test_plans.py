@@ -37,3 +37,14 @@ def test_label_queries_write_and_shuffle_no_text(spark, sf_small):
     assert flagged.columns == ["id", "collection_id", "is_positive", "is_candidate", "n_features"]
     plan = _plan(SQL_CHECKED["training_set"](spark, sf_small))
     assert "text" not in plan and "filtered" not in plan
+
+
+def test_second_classifier_hashes_no_rows_again(spark, sf_small, monkeypatch):
+    from relevo.operators import model
+    from relevo.plans import model_queries
+
+    hashed, plain = [], model.hashed_vectors
+    monkeypatch.setattr(model, "hashed_vectors", lambda *a: hashed.append(1) or plain(*a))
+    model_queries.release_runs()
+    assert model_queries.q_ensemble_scores(spark, sf_small).count()
+    assert len(hashed) == 1
